@@ -110,12 +110,23 @@ def ngrams(w: Words, k: int) -> np.ndarray:
     """Hash of the k words from each position on (meaningless for the last k - 1 of a text)."""
     h = w.hash
     out = h.copy()
-    for j in range(1, k):
+    for j in range(1, min(k, len(h))):
         out *= _STEP
         out[: len(h) - j] += h[j:]
     return mix(out + U64(k))
 
 
+def sequences(w: Words) -> np.ndarray:
+    """A hash of each text's whole word sequence (0 without words)."""
+    count = np.diff(w.ptr)
+    position = np.arange(len(w.hash)) - np.repeat(w.ptr[:-1], count)
+    out = np.zeros(len(count), dtype=U64)
+    some = count > 0
+    if some.any():
+        out[some] = mix(np.add.reduceat(mix(w.hash + position.astype(U64) * _STEP), w.ptr[:-1][some]) + count[some].astype(U64))
+    return out
+
+
 def shingle_sets(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(tokens, ptr): each text's sorted distinct k-word shingles; a text of fewer
     than k words but at least one has its whole sequence as its one shingle."""
@@ -129,11 +140,7 @@ def shingle_sets(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     keep = position <= np.repeat(count, count) - k
     full = np.repeat(~short, size)
     tokens[full] = grams[keep]
-    for i in np.flatnonzero(short):
-        whole = np.array([count[i]], dtype=U64)
-        for h in w.hash[w.ptr[i] : w.ptr[i + 1]]:
-            whole = whole * _STEP + h
-        tokens[ptr[i]] = mix(whole)[0]
+    tokens[ptr[:-1][short]] = sequences(w)[short]
     for a, b in zip(ptr[:-1][size > 1].tolist(), ptr[1:][size > 1].tolist()):
         tokens[a:b].sort()
     fresh = np.ones(len(tokens), dtype=bool)
