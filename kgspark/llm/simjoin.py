@@ -51,7 +51,8 @@ _PARTS = 16
 @dataclass(frozen=True)
 class Join:
     """shingle: words a token; percent: least Jaccard similarity in hundredths;
-    lines: records are lines with a word, not whole texts; sketch_bits: log2 of
+    lines: records are lines with a word, not whole texts; extra: further tokens that
+    the index holds, in hundredths of a set, for a stronger count filter; sketch_bits: log2 of
     the sketch's counters; bloom_bits: log2 of the Bloom filter's bits;
     flush: postings that a map task holds before it sends them on; group: nodes
     under one token beyond which its group is hot."""
@@ -59,14 +60,20 @@ class Join:
     shingle: int = 5
     percent: int = 75
     lines: bool = False
+    extra: int = 5
     sketch_bits: int = 20
     bloom_bits: int = 25
     flush: int = 1_500_000
     group: int = 32
 
     def prefix(self, n: np.ndarray) -> np.ndarray:
+        """Tokens of a set of n that any similar set shares one of, under any global order."""
         return n - (n * self.percent + 99) // 100 + 1
 
+    def indexed(self, n: np.ndarray) -> np.ndarray:
+        """Tokens of a set of n that the index holds: the prefix and `extra` more."""
+        return np.minimum(n, self.prefix(n) + (n * self.extra + 99) // 100)
+
 
 def _line_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(offsets, row, line) of the \\n-split lines of all texts; a line keeps its \\n, which is no word."""
@@ -153,7 +160,7 @@ def _prefix_keys(tokens: np.ndarray, ptr: np.ndarray, level: np.ndarray, join: J
     n = np.diff(ptr)
     for a, b in zip(ptr[:-1][n > 1].tolist(), ptr[1:][n > 1].tolist()):
         key[a:b].sort()
-    length = np.where(n > 0, join.prefix(n), 0)
+    length = np.where(n > 0, join.indexed(n), 0)
     position = np.arange(len(key)) - np.repeat(ptr[:-1], n)
     key = key[position < np.repeat(length, n)]
     record = np.repeat(np.arange(len(n)), length)
@@ -431,16 +438,17 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> Result:
 
 
 def _need(join: Join) -> str:
-    """SQL for the least number of prefix tokens that a pair of at least this similarity
-    shares (na, nb: set sizes); false for sizes that rule the pair out.
+    """SQL for the least number of indexed tokens that a pair of at least this similarity
+    shares (na, nb: set sizes), and for sizes that do not rule the pair out.
 
-    With overlap o a set of n tokens has n - o others; those of its p prefix tokens
-    that the other set has lie in the other's prefix too for the set whose prefix
-    ends first.  So p - (n - o) = o + 1 - ceil(t n) are shared, least for the larger n.
+    With overlap o a set of n tokens has n - o others.  Of the set whose indexed
+    tokens, p in number, end first, those that the other set has are indexed
+    there too: p - (n - o) at least.  Either set may be that one.
     """
-    p = join.percent
-    overlap = f"((na + nb) * {p} + {99 + p}) DIV {100 + p}"
-    return f"({overlap}) + 1 - (greatest(na, nb) * {p} + 99) DIV 100 AND 100 * least(na, nb) >= {p} * greatest(na, nb)"
+    t, extra = join.percent, join.extra
+    overlap = f"((na + nb) * {t} + {99 + t}) DIV {100 + t}"
+    over = [f"least(0, 1 - (n{x} * {t} + 99) DIV 100 + (n{x} * {extra} + 99) DIV 100)" for x in "ab"]
+    return f"{overlap} + least({over[0]}, {over[1]}) AND 100 * least(na, nb) >= {t} * greatest(na, nb)"
 
 
 def _sized(pairs: DataFrame, held: DataFrame) -> DataFrame:
