@@ -9,13 +9,13 @@ join is exact for Jaccard similarity >= percent / 100:
 3. Two similar sets of n tokens share one of the first n - ceil(t n) + 1 tokens
    under *any* global order.  Prefix tokens under the first order are indexed;
    nodes under one token form a group.
-4. Groups of bounded size give pairs with their number of common prefix tokens.
-   A pair passes only with the length filter and with as many common prefix
-   tokens as its two sizes demand (see _need).
+4. A node whose indexed tokens are hardly ever shared can't have a partner of any
+   size and is left out.  Of the rest, groups of bounded size give pairs with their
+   number of common tokens; a pair passes only with the length filter and with as
+   many common tokens as its two sizes demand (see _need).
 5. A hot group is not expanded into pairs: each member is checked against the
-   group's pivot, the node with the most common prefix.  Pivots are chosen in
-   every map task first, then among those pivots, so a hot token costs one row
-   per map task in the reducer.
+   group's pivot, the node with the most shared tokens for its size.  In the
+   index a hot token costs one row per map task.
 6. Before their overlap is counted, candidates must share prefix tokens under
    two further global orders as well.
 7. Verified links give components.  Only hot groups whose members still lie in
@@ -60,7 +60,7 @@ class Join:
     shingle: int = 5
     percent: int = 75
     lines: bool = False
-    extra: int = 5
+    extra: int = 10
     sketch_bits: int = 20
     bloom_bits: int = 25
     flush: int = 1_500_000
@@ -153,55 +153,53 @@ def _levels(described: DataFrame, join: Join) -> np.ndarray:
     return np.clip(np.log2((counts + 1) / (counts.mean() + 1)), 0, 60).astype(np.uint8)
 
 
-def _prefix_keys(tokens: np.ndarray, ptr: np.ndarray, level: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, record) of all prefix tokens under the order (level, hash), and each
-    record's weight: the share of its prefix that is common, in 127ths."""
+def _prefix_keys(tokens: np.ndarray, ptr: np.ndarray, level: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
+    """(key, record) of all indexed tokens under the order (level, hash)."""
     key = (tx.mix(tokens ^ U64(0x2545F4914F6CDD1D)) >> U64(6)) | (level[(tokens & U64(len(level) - 1)).astype(np.int64)].astype(U64) << U64(58))
     n = np.diff(ptr)
     for a, b in zip(ptr[:-1][n > 1].tolist(), ptr[1:][n > 1].tolist()):
         key[a:b].sort()
     length = np.where(n > 0, join.indexed(n), 0)
     position = np.arange(len(key)) - np.repeat(ptr[:-1], n)
-    key = key[position < np.repeat(length, n)]
-    record = np.repeat(np.arange(len(n)), length)
-    common = np.bincount(record[key >= U64(1 << 58)], minlength=len(n))
-    return tx.mix(key), record, (127 * common // np.maximum(length, 1)).astype(np.uint8)
+    return tx.mix(key[position < np.repeat(length, n)]), np.repeat(np.arange(len(n)), length)
 
 
 @dataclass
 class _Groups:
-    """Postings by token without repeats: the heaviest node of each group first."""
+    """Postings by token, without repeats; hot: groups that are too large here, or were in a map task."""
 
     key: np.ndarray
     node: np.ndarray
-    weight: np.ndarray
     at: np.ndarray
     size: np.ndarray
     hot: np.ndarray
 
     @classmethod
-    def of(cls, key: np.ndarray, node: np.ndarray, weight: np.ndarray, most: int) -> _Groups:
-        order = np.lexsort((node, 255 - (weight & 127), key))
-        key, node, weight = key[order], node[order], weight[order]
+    def of(cls, key: np.ndarray, node: np.ndarray, mark: np.ndarray, most: int) -> _Groups:
+        order = np.lexsort((node, key))
+        key, node, mark = key[order], node[order], mark[order]
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        key, node, weight = key[fresh], node[fresh], weight[fresh]
         head = np.ones(len(key), bool)
         head[1:] = key[1:] != key[:-1]
+        marked = np.add.reduceat(mark.astype(np.int64), np.flatnonzero(head)) > 0 if len(key) else np.empty(0, bool)
+        key, node, head = key[fresh], node[fresh], head[fresh]
         at = np.flatnonzero(head)
         size = np.diff(np.append(at, len(key)))
-        marked = np.add.reduceat((weight >= 128).astype(np.int64), at) > 0 if len(at) else np.empty(0, bool)
-        return cls(key, node, weight, at, size, (size > most) | marked)
+        return cls(key, node, at, size, (size > most) | marked)
 
-    def stars(self) -> Iterator[pa.RecordBatch]:
-        """Hot groups: kind 1, (token, node); kind 2, distinct (member, pivot)."""
+    def members(self) -> Iterator[pa.RecordBatch]:
+        """Hot groups: kind 1, (token, node)."""
         member = np.repeat(self.hot, self.size)
         if member.any():
-            pivot = np.repeat(self.node[self.at], self.size)[member]
-            node = self.node[member]
-            yield _rows(1, self.key[member].view(np.int64), node)
-            pairs = np.unique(np.stack((node[node != pivot], pivot[node != pivot]), 1), axis=0)
-            yield _rows(2, pairs[:, 0], pairs[:, 1])
+            yield _rows(1, self.key[member].view(np.int64), self.node[member])
+
+    def shared(self) -> Iterator[pa.RecordBatch]:
+        """Other groups of two or more: kind 2, (node, 0) and its number of tokens here."""
+        node = self.node[np.repeat(~self.hot & (self.size > 1), self.size)]
+        if len(node):
+            found, n = np.unique(node, return_counts=True)
+            yield _rows(2, found, np.zeros_like(found), n)
 
     def pairs(self) -> Iterator[pa.RecordBatch]:
         """Other groups, of bounded size: kind 3, (larger node, smaller node) and their number of common tokens here."""
@@ -230,23 +228,25 @@ _POSTINGS = "kind int, a bigint, b bigint, c bigint, keys binary, nodes binary"
 
 
 def _post(join: Join, level, buckets: int):
-    """Hot groups within this task (kinds 1 and 2), and for each bucket of tokens
-    one blob of postings (kind 0, a: bucket), in which a hot group is its pivot."""
+    """Members of groups that are hot within this task (kind 1), and for each bucket of
+    tokens one blob of postings (kind 0, a: bucket), in which one marked node stands
+    for a hot group: so a hot token costs the reducer a row for each map task."""
 
     def flush(held):
         g = _Groups.of(*(np.concatenate(x) for x in zip(*held)), join.group)
-        yield from g.stars()
-        g.weight[g.at[g.hot]] |= 128
+        yield from g.members()
+        mark = np.zeros(len(g.key), np.uint8)
+        mark[g.at[g.hot]] = 1
         sent = np.repeat(~g.hot, g.size)
         sent[g.at] = True
-        key, node, weight = g.key[sent], g.node[sent], g.weight[sent]
+        key, node, mark = g.key[sent], g.node[sent], mark[sent]
         bucket = (key >> U64(32)) * U64(buckets) >> U64(32)
         edge = np.searchsorted(bucket, np.arange(buckets + 1, dtype=U64))
         for b in range(buckets):
             i, j = edge[b], edge[b + 1]
             if i < j:
                 step = np.diff(key[i:j], prepend=U64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
-                yield _batch(kind=np.zeros(1, np.int32), a=np.array([b], np.int64), b=np.zeros(1, np.int64), c=np.zeros(1, np.int64), keys=[step], nodes=[node[i:j].tobytes() + weight[i:j].tobytes()])
+                yield _batch(kind=np.zeros(1, np.int32), a=np.array([b], np.int64), b=np.zeros(1, np.int64), c=np.zeros(1, np.int64), keys=[step], nodes=[node[i:j].tobytes() + mark[i:j].tobytes()])
 
     def run(batches):
         held, n = [], 0
@@ -255,9 +255,9 @@ def _post(join: Join, level, buckets: int):
                 node = _nodes(tokens, ptr)
                 sole = np.zeros(len(node), bool)
                 sole[np.unique(node, return_index=True)[1]] = True
-                key, record, weight = _prefix_keys(tokens, ptr, level.value, join)
+                key, record = _prefix_keys(tokens, ptr, level.value, join)
                 take = sole[record]
-                held.append((key[take], node[record[take]], weight[record[take]]))
+                held.append((key[take], node[record[take]], np.zeros(int(take.sum()), np.uint8)))
                 n += int(take.sum())
                 if n > join.flush:
                     yield from flush(held)
@@ -280,7 +280,8 @@ def _gather(join: Join):
                 held.setdefault(b, []).append((np.cumsum(step), rest[: 8 * len(step)].copy().view(np.int64), rest[8 * len(step) :].copy()))
         for b in sorted(held):
             g = _Groups.of(*(np.concatenate(x) for x in zip(*held.pop(b))), join.group)
-            yield from g.stars()
+            yield from g.members()
+            yield from g.shared()
             yield from g.pairs()
 
     return run
@@ -409,10 +410,14 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> Result:
     posted = materialize(rows.mapInArrow(_post(join, level, buckets), _POSTINGS))
     across = materialize(posted.where("kind = 0").repartition(buckets // 2, "a").mapInArrow(_gather(join), _POSTINGS))
     found = posted.where("kind > 0").select("kind", "a", "b", "c").union(across.select("kind", "a", "b", "c"))
-    stars = materialize(found.where("kind = 2").select("a", "b").distinct())
     hot = materialize(found.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node")).distinct())
     size = records.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"))
-    held = size.join(hot.groupBy("node").agg(F.count("*").alias("h")), "node", "left").select("node", "n", F.coalesce("h", F.lit(0)).alias("h"))
+    mine = hot.groupBy("node").agg(F.count("*").alias("h"), F.lit(0).cast("long").alias("s")).union(found.where("kind = 2").groupBy("a").agg(F.lit(0).cast("long"), F.sum("c")))
+    held = materialize(size.join(mine.groupBy("node").agg(F.sum("h").alias("h"), F.sum("s").alias("s")), "node").where(f"h + s >= {_least(join)}").select("node", "n", "h", "s"))
+    whole, hot = hot, materialize(hot.join(held.select("node", ((F.col("h") + F.col("s")) / F.col("n")).alias("common")), "node"))
+    pivots = hot.groupBy("token").agg(F.max_by("node", F.struct("common", "node")).alias("pivot"))
+    stars = materialize(hot.join(pivots, "token").where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
+    drop_table(whole)
     small = materialize(_sized(found.where("kind = 3").groupBy("a", "b").agg(F.sum("c").alias("c")), held))
     drop_table(posted), drop_table(across)
     del posted, across, found
@@ -431,7 +436,7 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> Result:
         again = materialize(verify(more, sets, join))
         links = links.union(again.where("ok").select("a", "b"))
         labels = materialize(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(again.where("ok").select("a", "b"))))
-    for table in (sets, hot, stars, small):
+    for table in (sets, hot, stars, small, held):
         drop_table(table)
     release(spark)
     return Result(records, links, labels)
@@ -451,6 +456,14 @@ def _need(join: Join) -> str:
     return f"{overlap} + least({over[0]}, {over[1]}) AND 100 * least(na, nb) >= {t} * greatest(na, nb)"
 
 
+def _least(join: Join) -> str:
+    """SQL for a lower bound of _need over all sizes of a partner of a set of n."""
+    t, extra = join.percent, join.extra
+    over = lambda m: f"least(0, 1 - ({m} * {t} + 99) DIV 100 + ({m} * {extra} + 99) DIV 100)"
+    f = lambda a, b: f"((({a} + {b}) * {t} + {99 + t}) DIV {100 + t} + {over(b)})"
+    return f"least({f(f'((n * {t} + 99) DIV 100)', 'n')}, {f('n', f'(n * 100 DIV {t})')}) - 2"
+
+
 def _sized(pairs: DataFrame, held: DataFrame) -> DataFrame:
     for x in "ab":
         pairs = pairs.join(held.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("h").alias(f"h{x}")), x)
