@@ -7,10 +7,13 @@ document again only replaces its facts.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.functions.ids import edge_id, entity_id
+from kgspark.plans.tables import cut
 
 
 def ordered_set(ord_: Column, values: Column) -> Column:
@@ -80,7 +83,7 @@ def unresolved(relations: DataFrame, surfaces: DataFrame) -> DataFrame:
 
 def orphan_edges(edge_table: DataFrame, nodes: DataFrame) -> DataFrame:
     ids = nodes.select(F.col("entity_id").alias("id"))
-    return edge_table.where(F.lit(True)).join(ids, F.col("source_id") == F.col("id"), "left_anti").unionByName(edge_table.join(ids, F.col("target_id") == F.col("id"), "left_anti")).distinct()
+    return edge_table.join(ids, F.col("source_id") == F.col("id"), "left_anti").unionByName(edge_table.join(ids, F.col("target_id") == F.col("id"), "left_anti")).distinct()
 
 
 def builder_stats(entity_facts: DataFrame, edge_facts: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -131,26 +134,35 @@ def neighbors(edge_table: DataFrame, seeds: DataFrame, direction: str = "out", p
     return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
+def _frontiers(edge_table: DataFrame, seeds: DataFrame, hops: int) -> Iterator[DataFrame]:
+    """(entity_id, distance) reached so far, after 0, 1, ... hops; each step joins only the last frontier."""
+    both = cut(edge_table.select(F.col("source_id").alias("a"), F.col("target_id").alias("b")).union(edge_table.select("target_id", "source_id")).distinct())
+    seen = cut(seeds.select("entity_id").distinct().withColumn("distance", F.lit(0)))
+    yield seen
+    for d in range(1, hops + 1):
+        last = seen.where(F.col("distance") == d - 1)
+        step = last.join(both, F.col("entity_id") == F.col("a")).select(F.col("b").alias("entity_id"), F.lit(d).alias("distance")).distinct()
+        seen = cut(seen.unionByName(step.join(seen, "entity_id", "left_anti")))
+        yield seen
+
+
 def k_hop(edge_table: DataFrame, seeds: DataFrame, hops: int = 2) -> DataFrame:
     """(entity_id, distance) of nodes within `hops` edges of the seeds, edges taken both ways."""
-    both = edge_table.select(F.col("source_id").alias("a"), F.col("target_id").alias("b")).union(edge_table.select("target_id", "source_id")).distinct()
-    seen = seeds.select("entity_id").distinct().withColumn("distance", F.lit(0))
-    for d in range(1, hops + 1):
-        step = seen.where(F.col("distance") == d - 1).join(both, F.col("entity_id") == F.col("a")).select(F.col("b").alias("entity_id"), F.lit(d).alias("distance")).distinct()
-        seen = seen.unionByName(step.join(seen, "entity_id", "left_anti"))
+    for seen in _frontiers(edge_table, seeds, hops):
+        pass
     return seen
 
 
 def shortest_path_length(edge_table: DataFrame, source: DataFrame, target: DataFrame, most: int = 6) -> DataFrame:
     """(entity_id, distance) of the target within `most` edges; no row where it is out of reach.
 
-    A frontier per step is joined to the edges, and the search ends with the step that meets the target.
+    The search ends with the step that meets the target.
     """
     wanted = target.select("entity_id").distinct()
-    for hops in range(most + 1):
-        met = k_hop(edge_table, source, hops).join(wanted, "entity_id", "left_semi")
+    for seen in _frontiers(edge_table, source, most):
+        met = seen.join(wanted, "entity_id", "left_semi")
         if met.limit(1).count():
-            return met
+            break
     return met
 
 

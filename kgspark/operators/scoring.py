@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kgspark.operators.fuzzy import partial_ratio
 
@@ -25,7 +26,7 @@ def grounded_native(surface: Column, target: Column) -> Column:
     return (low != "") & (t.contains(low) | words)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def grounded_fuzzy(surface: pd.Series, target: pd.Series) -> pd.Series:
     """Partial similarity of 85 or more; for what the native test leaves."""
     return pd.Series([bool(s) and bool(t) and partial_ratio(s.lower(), t.lower()) >= 85 for s, t in zip(surface, target)])

@@ -8,6 +8,7 @@ import pandas as pd
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kgspark.functions import ids, paths
 
@@ -20,7 +21,8 @@ GRAPH = (
     "nodes array<struct<id: string, type: string, subtype: string, properties: struct<name: string, title: string, aliases: array<string>, canonical_path: string, content_hash: string>>>, "
     "edges array<struct<id: string, type: string, source: string, target: string, properties: struct<confidence: double, provenance_tag: string, source_doc_ids: array<string>>>>"
 )
-_FRONT = "struct<title: string, aliases: array<string>, tags: array<string>, source_url: string, parent: string, created: string, updated: string, fetched_at: string, content_hash: string, license: string, error: string>"
+_STRINGS = ["title", "source_url", "parent", "created", "updated", "fetched_at", "content_hash", "license", "error"]
+_FRONT = T.StructType([T.StructField(n, T.ArrayType(T.StringType()) if n in ("aliases", "tags") else T.StringType()) for n in ("title", "aliases", "tags", *_STRINGS[1:])])
 
 
 def read_markdown(spark: SparkSession, sources: Sequence[tuple[str, str, str]]) -> DataFrame:
