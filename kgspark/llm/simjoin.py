@@ -413,7 +413,7 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> Result:
     hot = materialize(found.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node")).distinct())
     size = records.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"))
     mine = hot.groupBy("node").agg(F.count("*").alias("h"), F.lit(0).cast("long").alias("s")).union(found.where("kind = 2").groupBy("a").agg(F.lit(0).cast("long"), F.sum("c")))
-    held = materialize(size.join(mine.groupBy("node").agg(F.sum("h").alias("h"), F.sum("s").alias("s")), "node").where(f"h + s >= {_least(join)}").select("node", "n", "h", "s"))
+    held = materialize(size.join(mine.groupBy("node").agg(F.sum("h").alias("h"), F.sum("s").alias("s")), "node").where(f"h + s >= {_least(join)}").withColumn("free", F.expr(_free(join))).where(f"free >= (n * {join.percent} + 99) DIV 100").select("node", "n", "h", "s", "free"))
     whole, hot = hot, materialize(hot.join(held.select("node", ((F.col("h") + F.col("s")) / F.col("n")).alias("common")), "node"))
     pivots = hot.groupBy("token").agg(F.max_by("node", F.struct("common", "node")).alias("pivot"))
     stars = materialize(hot.join(pivots, "token").where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
@@ -456,6 +456,11 @@ def _need(join: Join) -> str:
     return f"{overlap} + least({over[0]}, {over[1]}) AND 100 * least(na, nb) >= {t} * greatest(na, nb)"
 
 
+def _free(join: Join) -> str:
+    """SQL for the tokens of a set of n that another set may have: all but the indexed ones that no other set holds."""
+    return f"n - (least(n, n - (n * {join.percent} + 99) DIV 100 + 1 + (n * {join.extra} + 99) DIV 100) - h - s)"
+
+
 def _least(join: Join) -> str:
     """SQL for a lower bound of _need over all sizes of a partner of a set of n."""
     t, extra = join.percent, join.extra
@@ -486,9 +491,9 @@ def _across(checked: DataFrame, stars: DataFrame, hot: DataFrame, labels: DataFr
     tokens = hot.join(doubtful, "node", "left_semi").select("token").distinct()
     members = hot.join(tokens, "token", "left_semi").join(labels, "node", "left").select("token", "node", F.coalesce("label", "node").alias("label"))
     mixed = members.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
-    members = materialize(members.join(mixed, "token", "left_semi").join(held, "node").select("token", "node", "label", "n"))
+    members = materialize(members.join(mixed, "token", "left_semi").join(held, "node").select("token", "node", "label", "n", "free"))
     x, y = members.alias("x"), members.alias("y")
-    met = x.join(y, F.expr(f"x.token = y.token AND x.label < y.label AND 100 * least(x.n, y.n) >= {join.percent} * greatest(x.n, y.n)"))
+    met = x.join(y, F.expr(f"x.token = y.token AND x.label < y.label AND 100 * least(x.n, y.n) >= {join.percent} * greatest(x.n, y.n) AND least(x.free, y.free) >= ((x.n + y.n) * {join.percent} + {99 + join.percent}) DIV {100 + join.percent}"))
     met = met.select(F.expr("greatest(x.node, y.node) AS a"), F.expr("least(x.node, y.node) AS b")).groupBy("a", "b").agg(F.count("*").alias("c"))
     met = _sized(met, held).join(small.select("a", "b", F.col("c").alias("also")), ["a", "b"], "left").where(f"c + coalesce(also, 0) >= {_need(join)}")
     done = checked.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
