@@ -18,10 +18,10 @@ join is exact for Jaccard similarity >= percent / 100:
    index a hot token costs one row per map task.
 6. Before their overlap is counted, candidates must share prefix tokens under
    two further global orders as well.
-7. Verified links give components.  Only hot groups whose members still lie in
-   different components are expanded, into pairs across components; those pass
-   the same filters and the same verification, and a second run of components
-   adds their links.  So no link between components is lost.
+7. Verified links give components.  Hot groups whose members still lie in different
+   components are joined again, on the tokens in which members differ from the
+   pivot (see _across); candidates pass the same verification, and a second run
+   of components adds their links.  So no link between components is lost.
 
 What is broadcast has a fixed size: the level table (2**sketch_bits bytes) and
 a Bloom filter (2**bloom_bits bits) of nodes with candidates.  Neither affects
@@ -50,7 +50,7 @@ _PARTS = 16
 
 @dataclass(frozen=True)
 class Join:
-    """shingle: words a token; percent: least Jaccard similarity in hundredths;
+    """shingle: words a token; percent: least Jaccard similarity in hundredths, 50 or more;
     lines: records are lines with a word, not whole texts; extra: further tokens that
     the index holds, in hundredths of a set, for a stronger count filter; sketch_bits: log2 of
     the sketch's counters; bloom_bits: log2 of the Bloom filter's bits;
@@ -431,7 +431,7 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> Result:
     checked = materialize(verify(pairs, sets, join))
     links = checked.where("ok").select("a", "b")
     labels = materialize(components(links))
-    more = _across(checked, stars, hot, labels, held, small, join)
+    more = _across(checked, stars, labels, held, sets, level, join)
     if more is not None:
         again = materialize(verify(more, sets, join))
         links = links.union(again.where("ok").select("a", "b"))
@@ -475,26 +475,78 @@ def _sized(pairs: DataFrame, held: DataFrame) -> DataFrame:
     return pairs
 
 
-def _across(checked: DataFrame, stars: DataFrame, hot: DataFrame, labels: DataFrame, held: DataFrame, small: DataFrame, join: Join) -> DataFrame | None:
-    """Pairs not yet checked that share the tokens of hot groups, in different components.
+def _difference(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Values of a sorted array that another sorted one has not."""
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    return x[y[at] != x]
 
-    Star edges join all members of a hot group, so only the groups of an edge that
-    failed can have members in two components.
+
+def _differences(join: Join, level):
+    """For each member of a pivot's group, the tokens of its symmetric difference with
+    the pivot: all of them where the member is not similar to the pivot, else those
+    of its prefix (pre)."""
+    a, b = 100 - join.percent, 100 + join.percent
+
+    def run(batches):
+        last, pivot = None, None
+        for batch in batches:
+            node, key, most, ok = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            parts = []
+            for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
+                if key[i] != last:
+                    last, pivot = key[i], _unpack(y)
+                x = _unpack(x)
+                gained, lost = _difference(x, pivot), _difference(pivot, x)
+                tokens = np.concatenate((gained, lost))
+                order = np.lexsort((tokens, level.value[(tokens & U64(len(level.value) - 1)).astype(np.int64)], np.arange(len(tokens)) >= len(gained)))
+                n, d = len(x), len(tokens)
+                if ok[i]:
+                    common = -((-d - a * (len(pivot) - n) // b - 1) // 2)
+                else:
+                    common = d - a * (n + min(int(most[i]), 100 * n // join.percent)) // b // 2
+                prefix = d - common + 1
+                if ok[i]:
+                    order = order[:prefix]
+                parts.append((np.full(len(order), i), tokens[order].view(np.int64), np.full(len(order), d), np.arange(len(order)) < prefix))
+            if parts:
+                row, tokens, d, pre = (np.concatenate(x) for x in zip(*parts))
+                yield _batch(pivot=key[row], token=tokens, node=node[row], d=d, ok=ok[row], pre=pre)
+
+    return run
+
+
+def _across(checked: DataFrame, stars: DataFrame, labels: DataFrame, held: DataFrame, sets: DataFrame, level, join: Join) -> DataFrame | None:
+    """Pairs not yet checked that share a pivot, in different components.
+
+    All members of a hot group have an edge to its pivot p, so a group with two
+    components has an edge that failed.  With D = x ^ p, sets x and y differ in
+    |Dx ^ Dy| tokens; similar ones differ in at most (100 - t) / (100 + t) of the
+    sum of their sizes, and a set that is not similar to p differs from it in
+    more.  So a similar pair of two components, of which one at least is not similar to p,
+    has at least half of the smaller difference in common, about: the join on the
+    differences has prefixes of its own, of one side, against the whole difference
+    of the other.  Copies that vary a text differ from it in tokens that few others have.
     """
-    edges = checked.join(stars, ["a", "b"], "left_semi").where("NOT ok").select("a", "b")
+    edges = checked.join(stars, ["a", "b"], "left_semi")
     for x in "ab":
         edges = edges.join(labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")), x, "left")
-    apart = materialize(edges.where("coalesce(la, a) != coalesce(lb, b)").select("a", "b"))
-    if not apart.limit(1).count():
+    edges = materialize(edges.select("a", "b", "ok", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")))
+    mixed = edges.where("la != lb").select("b").distinct()
+    if not mixed.limit(1).count():
         return None
-    doubtful = apart.select(F.col("a").alias("node")).union(apart.select("b")).distinct()
-    tokens = hot.join(doubtful, "node", "left_semi").select("token").distinct()
-    members = hot.join(tokens, "token", "left_semi").join(labels, "node", "left").select("token", "node", F.coalesce("label", "node").alias("label"))
-    mixed = members.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
-    members = materialize(members.join(mixed, "token", "left_semi").join(held, "node").select("token", "node", "label", "n", "free"))
-    x, y = members.alias("x"), members.alias("y")
-    met = x.join(y, F.expr(f"x.token = y.token AND x.label < y.label AND 100 * least(x.n, y.n) >= {join.percent} * greatest(x.n, y.n) AND least(x.free, y.free) >= ((x.n + y.n) * {join.percent} + {99 + join.percent}) DIV {100 + join.percent}"))
-    met = met.select(F.expr("greatest(x.node, y.node) AS a"), F.expr("least(x.node, y.node) AS b")).groupBy("a", "b").agg(F.count("*").alias("c"))
-    met = _sized(met, held).join(small.select("a", "b", F.col("c").alias("also")), ["a", "b"], "left").where(f"c + coalesce(also, 0) >= {_need(join)}")
+    members = edges.join(mixed, "b", "left_semi").join(held.select(F.col("node").alias("a"), "n", "free"), "a")
+    members = materialize(members.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "ok", F.col("la").alias("label"), "n", "free"))
+    most = members.groupBy("pivot").agg(F.max("n").alias("most"))
+    both = members.join(most, "pivot").join(sets.select("node", F.col("tokens").alias("x")), "node").join(sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("y")), "pivot")
+    told = both.select("node", "pivot", "most", "ok", "x", "y").mapInArrow(_differences(join, level), "pivot bigint, token bigint, node bigint, d bigint, ok boolean, pre boolean")
+    told = materialize(told.join(members.select("node", "pivot", "label", "n", "free"), ["node", "pivot"]))
+    x, y = told.where("pre").alias("x"), told.where("NOT ok").alias("y")
+    a, b = 100 - join.percent, 100 + join.percent
+    on = [
+        "x.pivot = y.pivot AND x.token = y.token AND x.label != y.label AND (x.ok OR x.d < y.d OR x.d = y.d AND x.node < y.node)",
+        f"100 * least(x.n, y.n) >= {join.percent} * greatest(x.n, y.n) AND {b} * abs(x.d - y.d) <= {a} * (x.n + y.n)",
+        f"least(x.free, y.free) >= ((x.n + y.n) * {join.percent} + {b - 1}) DIV {b}",
+    ]
+    met = x.join(y, F.expr(" AND ".join(on))).select(F.expr("greatest(x.node, y.node) AS a"), F.expr("least(x.node, y.node) AS b")).distinct()
     done = checked.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    return materialize(met.select("a", "b").join(done, ["a", "b"], "left_anti"))
+    return materialize(met.join(done, ["a", "b"], "left_anti"))
