@@ -13,9 +13,11 @@ join is exact for Jaccard similarity >= percent / 100:
    size and is left out.  Of the rest, groups of bounded size give pairs with their
    number of common tokens; a pair passes only with the length filter and with as
    many common tokens as its two sizes demand (see _need).
-5. A hot group is not expanded into pairs: each member is checked against the
-   group's pivot, the node with the most shared tokens for its size.  In the
-   index a hot token costs one row per map task.
+5. A hot group is not expanded into pairs: each class of set sizes in it has a pivot,
+   the node with the most shared tokens for its size; each member is checked
+   against the pivots of its own class and of the next smaller one, so any two
+   members whose sizes allow a link share a pivot.  In the index a hot token costs
+   one row per map task.
 6. Before their overlap is counted, candidates must share prefix tokens under
    two further global orders as well.
 7. Verified links give components.  Hot groups whose members still lie in different
@@ -31,6 +33,7 @@ through to an exact join.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -414,9 +417,9 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> Result:
     size = records.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"))
     mine = hot.groupBy("node").agg(F.count("*").alias("h"), F.lit(0).cast("long").alias("s")).union(found.where("kind = 2").groupBy("a").agg(F.lit(0).cast("long"), F.sum("c")))
     held = materialize(size.join(mine.groupBy("node").agg(F.sum("h").alias("h"), F.sum("s").alias("s")), "node").where(f"h + s >= {_least(join)}").withColumn("free", F.expr(_free(join))).where(f"free >= (n * {join.percent} + 99) DIV 100").select("node", "n", "h", "s", "free"))
-    whole, hot = hot, materialize(hot.join(held.select("node", ((F.col("h") + F.col("s")) / F.col("n")).alias("common")), "node"))
-    pivots = hot.groupBy("token").agg(F.max_by("node", F.struct("common", "node")).alias("pivot"))
-    stars = materialize(hot.join(pivots, "token").where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
+    whole, hot = hot, materialize(hot.join(held.select("node", "n", ((F.col("h") + F.col("s")) / F.col("n")).alias("common")), "node").withColumn("size", F.expr(_size(join))))
+    pivots = hot.groupBy("token", "size").agg(F.max_by("node", F.struct("common", "node")).alias("pivot"))
+    stars = materialize(hot.withColumn("size", F.explode(F.array("size", F.col("size") - 1))).join(pivots, ["token", "size"]).where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
     drop_table(whole)
     small = materialize(_sized(found.where("kind = 3").groupBy("a", "b").agg(F.sum("c").alias("c")), held))
     drop_table(posted), drop_table(across)
@@ -456,6 +459,11 @@ def _need(join: Join) -> str:
     return f"{overlap} + least({over[0]}, {over[1]}) AND 100 * least(na, nb) >= {t} * greatest(na, nb)"
 
 
+def _size(join: Join) -> str:
+    """SQL for the class of a set of n: sets that may be similar are of the same or of adjacent classes."""
+    return f"cast(floor(ln(n) / {max(1.001 * math.log(100 / join.percent), 0.01)}) AS int)"
+
+
 def _free(join: Join) -> str:
     """SQL for the tokens of a set of n that another set may have: all but the indexed ones that no other set holds."""
     return f"n - (least(n, n - (n * {join.percent} + 99) DIV 100 + 1 + (n * {join.extra} + 99) DIV 100) - h - s)"
@@ -484,7 +492,7 @@ def _difference(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _differences(join: Join, level):
     """For each member of a pivot's group, the tokens of its symmetric difference with
     the pivot: all of them where the member is not similar to the pivot, else those
-    of its prefix (pre)."""
+    of its prefix, which come first."""
     a, b = 100 - join.percent, 100 + join.percent
 
     def run(batches):
@@ -505,16 +513,28 @@ def _differences(join: Join, level):
                 else:
                     common = d - a * (n + min(int(most[i]), 100 * n // join.percent)) // b // 2
                 prefix = d - common + 1
-                if ok[i]:
-                    order = order[:prefix]
-                parts.append((np.full(len(order), i), tokens[order].view(np.int64), np.full(len(order), d), np.arange(len(order)) < prefix))
+                order = order[: prefix if ok[i] else d]
+                parts.append((d, prefix, tokens[order].tobytes()))
             if parts:
-                row, tokens, d, pre = (np.concatenate(x) for x in zip(*parts))
-                yield _batch(pivot=key[row], token=tokens, node=node[row], d=d, ok=ok[row], pre=pre)
+                d, prefix, blobs = zip(*parts)
+                yield _batch(node=node, pivot=key, d=np.array(d, np.int64), prefix=np.array(prefix, np.int64), tokens=list(blobs))
 
     return run
 
 
+def _spread(batches):
+    """One row for each token of a blob; pre: it is one of the first `prefix`."""
+    for batch in batches:
+        tokens = [np.frombuffer(b.as_buffer(), np.int64) for b in batch.column(9)]
+        size = np.array([len(t) for t in tokens], np.int64)
+        row = np.repeat(np.arange(len(size)), size)
+        if len(row):
+            position = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            kept = batch.select(range(8)).take(pa.array(row))
+            pre = position < batch.column(8).to_numpy()[row]
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(pre), pa.array(np.concatenate(tokens))], names=[*kept.schema.names, "pre", "token"])
+
+
 def _across(checked: DataFrame, stars: DataFrame, labels: DataFrame, held: DataFrame, sets: DataFrame, level, join: Join) -> DataFrame | None:
     """Pairs not yet checked that share a pivot, in different components.
 
@@ -534,16 +554,22 @@ def _across(checked: DataFrame, stars: DataFrame, labels: DataFrame, held: DataF
     mixed = edges.where("la != lb").select("b").distinct()
     if not mixed.limit(1).count():
         return None
-    members = edges.join(mixed, "b", "left_semi").join(held.select(F.col("node").alias("a"), "n", "free"), "a")
-    members = materialize(members.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "ok", F.col("la").alias("label"), "n", "free"))
+    members = edges.join(mixed, "b", "left_semi").join(held.select(F.col("node").alias("a"), "n", "free", F.expr(_size(join)).alias("size")), "a")
+    members = members.join(held.select(F.col("node").alias("b"), F.expr(_size(join)).alias("own")), "b")
+    members = materialize(members.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "ok", F.col("la").alias("label"), "n", "free", (F.col("size") == F.col("own")).alias("own")))
     most = members.groupBy("pivot").agg(F.max("n").alias("most"))
     both = members.join(most, "pivot").join(sets.select("node", F.col("tokens").alias("x")), "node").join(sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("y")), "pivot")
-    told = both.select("node", "pivot", "most", "ok", "x", "y").mapInArrow(_differences(join, level), "pivot bigint, token bigint, node bigint, d bigint, ok boolean, pre boolean")
-    told = materialize(told.join(members.select("node", "pivot", "label", "n", "free"), ["node", "pivot"]))
-    x, y = told.where("pre").alias("x"), told.where("NOT ok").alias("y")
+    told = both.select("node", "pivot", "most", "ok", "x", "y").mapInArrow(_differences(join, level), "node bigint, pivot bigint, d bigint, prefix bigint, tokens binary")
+    told = materialize(told.join(members, ["node", "pivot"]))
     a, b = 100 - join.percent, 100 + join.percent
+    # a member of the larger class needs one of the pivot's own class as a partner
+    far = told.where("own").groupBy("pivot").agg(F.max("d").alias("far"))
+    told = told.join(far, "pivot").where(f"own OR {b} * (d - far) <= {a} * (n + n * 100 DIV {join.percent})")
+    columns = ["pivot", "node", "label", "n", "free", "d", "ok", "own"]
+    told = materialize(told.select(*columns, "prefix", "tokens").mapInArrow(_spread, "pivot bigint, node bigint, label bigint, n bigint, free bigint, d bigint, ok boolean, own boolean, pre boolean, token bigint"))
+    x, y = told.where("pre").alias("x"), told.where("NOT ok").alias("y")
     on = [
-        "x.pivot = y.pivot AND x.token = y.token AND x.label != y.label AND (x.ok OR x.d < y.d OR x.d = y.d AND x.node < y.node)",
+        "x.pivot = y.pivot AND x.token = y.token AND x.label != y.label AND (x.own OR y.own) AND (x.ok OR x.d < y.d OR x.d = y.d AND x.node < y.node)",
         f"100 * least(x.n, y.n) >= {join.percent} * greatest(x.n, y.n) AND {b} * abs(x.d - y.d) <= {a} * (x.n + y.n)",
         f"least(x.free, y.free) >= ((x.n + y.n) * {join.percent} + {b - 1}) DIV {b}",
     ]
