@@ -5,12 +5,17 @@ Goldenberg, Koucky, 2016) maps a window of m words to 3m symbols: step j emits
 the word under the cursor and moves on if a random bit of (j, word) says so.
 Sequences at a small edit distance come out at a small Hamming distance, so they
 agree on a random sample of positions with fair probability; several walks with
-several samples each reach the target recall.  Windows are item-sized: lengths
+several samples each find most passages.  Windows are item-sized: lengths
 run over a geometric grid, and an item is embedded by its first words, as many as
 the largest grid length that it has.  Every candidate is verified by the exact
 edit distance between the whole item and its best place in the text.
 
-A gate that loses nothing spares most windows: with at most k edits a passage
+What the embedding misses, exact pieces find: an item that may lose k words to
+edits is cut into k + 1 disjoint pieces, of which k edits leave one whole, at most
+k words off its own place.  So no match is lost at any length and any kind of
+edits, nor at the ends of a text or where the text is shorter than the item.
+
+A gate that loses nothing spares most windows of the embedding: with at most k edits a passage
 keeps n - 1 - 2k of an item's n - 1 word pairs, so a place without enough of
 the items' word pairs nearby can't match.
 """
@@ -73,6 +78,27 @@ def embed_keys(h: np.ndarray, start: np.ndarray, m: int, search: Search) -> np.n
     return keys
 
 
+def least_edits(item: np.ndarray, words: np.ndarray) -> int:
+    """Edits at the best place of `words`, as in best_place, by bit-parallel columns (Myers, 1999)."""
+    peq: dict[int, int] = {}
+    for i, w in enumerate(item.tolist()):
+        peq[w] = peq.get(w, 0) | 1 << i
+    full, top = (1 << len(item)) - 1, 1 << (len(item) - 1)
+    plus, minus, score = full, 0, len(item)
+    best = score
+    for w in words.tolist():
+        eq = peq.get(w, 0)
+        down = eq | minus
+        across = (((eq & plus) + plus) ^ plus) | eq
+        up = minus | (full & ~(across | plus))
+        fall = plus & across
+        score += bool(up & top) - bool(fall & top)
+        up, fall = (up << 1) & full, (fall << 1) & full
+        plus, minus = fall | (full & ~(down | up)), up & down
+        best = min(best, score)
+    return best
+
+
 def best_place(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     """(edits, start, end): the place of `words` at the least edit distance from the item (Sellers, 1980)."""
     row = [(0, j) for j in range(len(words) + 1)]
@@ -118,10 +144,43 @@ class Index:
             flat = np.concatenate([self.words[i][:m] for i in of])
             keys = embed_keys(flat, np.arange(len(of)) * m, m, search)
             self.tables[m] = [(k[o := np.argsort(k, kind="stable")], of[o]) for k in keys]
+        self.pieces = self.cut(w, keep)
 
     def edits(self, n: int) -> int:
         return n * self.search.percent // 100
 
+    def cut(self, w: tx.Words, keep: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By length: sorted (key, item, offset) of the edits + 1 disjoint pieces of every item."""
+        held: dict[int, list[tuple[int, int, int]]] = {}
+        for k, i in enumerate(keep.tolist()):
+            n = len(self.words[k])
+            ends = np.linspace(0, n, self.edits(n) + 2).astype(np.int64).tolist()
+            for a, b in zip(ends, ends[1:]):
+                held.setdefault(b - a, []).append((k, a, int(w.ptr[i]) + a))
+        out = {}
+        for size, rows in held.items():
+            item, offset, at = np.array(rows, dtype=np.int64).T
+            key = tx.ngrams(w, size)[at]
+            o = np.argsort(key, kind="stable")
+            out[size] = key[o], item[o], offset[o]
+        return out
+
+    def seeds(self, w: tx.Words) -> np.ndarray:
+        """Distinct (text, item, start): where an item would start by a piece that the text holds."""
+        doc = np.repeat(np.arange(len(w.ptr) - 1), np.diff(w.ptr))
+        found = [np.zeros((0, 3), dtype=np.int64)]
+        for size, (known, item, offset) in self.pieces.items():
+            at = np.flatnonzero(np.arange(len(w.hash)) + size <= w.ptr[doc + 1])
+            key = tx.ngrams(w, size)[at]
+            lo = np.searchsorted(known, key)
+            hit = known[np.minimum(lo, len(known) - 1)] == key
+            at, key, lo = at[hit], key[hit], lo[hit]
+            many = np.searchsorted(known, key, "right") - lo
+            row = np.repeat(lo - np.cumsum(many) + many, many) + np.arange(many.sum())
+            at = np.repeat(at, many)
+            found.append(np.stack([doc[at], item[row], at - offset[row]], 1))
+        return np.unique(np.concatenate(found), axis=0)
+
     def windows(self, w: tx.Words, m: int) -> np.ndarray:
         """Starts of m-word windows within a text that pass the gate."""
         doc = np.repeat(np.arange(len(w.ptr) - 1), np.diff(w.ptr))
@@ -140,7 +199,7 @@ class Index:
         some = np.flatnonzero(hit)
         hit[some] = self.pairs[np.minimum(np.searchsorted(self.pairs, pairs[some]), len(self.pairs) - 1)] == pairs[some]
         self.total = np.concatenate(([0], np.cumsum(hit)))
-        found: set[tuple[int, int, int]] = set()
+        found: set[tuple[int, int, int]] = set(map(tuple, self.seeds(w).tolist()))
         for m, tables in self.tables.items():
             start = self.windows(w, m)
             if not len(start):
@@ -158,12 +217,13 @@ class Index:
             item = self.words[k]
             slack = max(1, self.edits(len(item)))
             # a candidate that a verified stretch covers adds nothing
-            if s < seen.get((t, k), -1):
+            if s < seen.get((t, k), s):
                 continue
             lo, hi = max(int(w.ptr[t]), s - 2 * slack), min(int(w.ptr[t + 1]), s + len(item) + 3 * slack)
             seen[t, k] = s + slack
-            d, a, b = best_place(item, w.hash[lo:hi])
-            if d <= self.edits(len(item)) and ((t, k) not in best or d < best[t, k][0]):
+            least = least_edits(item, w.hash[lo:hi])
+            if least <= self.edits(len(item)) and ((t, k) not in best or least < best[t, k][0]):
+                d, a, b = best_place(item, w.hash[lo:hi])
                 best[t, k] = (d, lo + a - int(w.ptr[t]), b - a)
         return [(t, k, *x) for (t, k), x in sorted(best.items())]
 
@@ -172,7 +232,8 @@ def matches(docs: DataFrame, items: DataFrame, search: Search = Search()) -> Dat
     """(doc_id, item_id, item_words, edits, start_word, n_words): the best place of each item in each text that has one.
 
     Items of fewer than least_words words (null and empty ones too) are not
-    searched.  Texts that are null, empty or shorter than an item have no match.
+    searched.  Null and empty texts have no match; a text shorter than an item
+    matches where the words that it lacks are within the edits allowed.
     Repeated rows match as often as they occur, repeated items likewise; an empty
     table on either side gives no rows; other columns are ignored.  Items are
     held in blocks of bounded size, each against all texts, without a shuffle.

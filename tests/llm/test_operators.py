@@ -164,6 +164,35 @@ def test_decontamination(spark, docs):
     assert op1.matches(table, bench.limit(0)).count() == 0
 
 
+def edited(rng, w, edits, kind):
+    """w after `edits` edits at distinct words; kind: delete, replace, insert or mixed."""
+    w = list(w)
+    for j in sorted(rng.sample(range(len(w)), edits), reverse=True):
+        do = rng.choice(("delete", "replace", "insert")) if kind == "mixed" else kind
+        w[j : j + 1] = {"delete": [], "replace": ["new"], "insert": [w[j], "more"]}[do]
+    return w
+
+
+def found_pairs(spark, rows, items):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    return {(r["doc_id"], r["item_id"]): r["edits"] for r in op1.matches(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()}
+
+
+def test_decontamination_at_the_ends_of_texts(spark):
+    rng = random.Random(21)
+    items, rows, want = [prose(rng, n, 50_000) for n in (8, 15, 50, 59) for _ in range(4)], [], set()
+    for k, item in enumerate(items):
+        w = words(item)
+        most = len(w) // 5
+        for edits in {1, most}:
+            for short in (w[edits:], w[:-edits], edited(rng, w, edits, "delete")):
+                for text in (short, words(prose(rng, 90)) + short, short + words(prose(rng, 90))):
+                    want.add((len(rows), k))
+                    rows.append((len(rows), " ".join(text)))
+        rows.append((len(rows), " ".join(w[most + 1 :])))
+    assert set(found_pairs(spark, rows, items)) == want
+
+
 def test_edit_distance():
     def brute(a, b):
         best = None
