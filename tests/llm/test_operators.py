@@ -193,6 +193,27 @@ def test_decontamination_at_the_ends_of_texts(spark):
     assert set(found_pairs(spark, rows, items)) == want
 
 
+@pytest.mark.parametrize("kind", ["delete", "replace", "insert", "mixed"])
+def test_decontamination_at_the_limit_of_edits(spark, kind):
+    rng = random.Random(22)
+    items = [prose(rng, n, 50_000) for n in (8, 30, 50, 59, 93, 180, 400) for _ in range(4)]
+    rows, want = [], set()
+    for k, item in enumerate(items):
+        most = len(words(item)) // 5
+        for edits in {most, most * 3 // 4}:
+            want.add((len(rows), k))
+            rows.append((len(rows), " ".join(words(prose(rng, 60)) + edited(rng, words(item), edits, kind) + words(prose(rng, 60)))))
+    got = found_pairs(spark, rows, items)
+    assert set(got) == want and all(d <= len(words(items[k])) // 5 for (_, k), d in got.items())
+
+
+def test_least_edits_is_that_of_the_best_place():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        a, b = rng.integers(0, 4, rng.integers(1, 80)), rng.integers(0, 4, rng.integers(0, 90))
+        assert op1.least_edits(a, b) == op1.best_place(a, b)[0]
+
+
 def test_edit_distance():
     def brute(a, b):
         best = None
