@@ -1,10 +1,12 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 Slot i of the schedule takes the van der Corput point of i through the cumulative
-target weights, which names its source; the slots of a source are ranked, and
-the slot of rank r takes block r (modulo the source's blocks) of the source's
-shuffled texts, cut into blocks of equal token counts.  After every prefix of
-the schedule each source is within a few blocks of its share.
+slots that the sources need, which names its source; the slots of a source are
+ranked, and the slot of rank r takes block r (modulo the source's blocks) of the
+source's shuffled texts, cut into blocks of equal token counts.  A source below the
+common block length has one block of its own size.  After every prefix of the
+schedule each source is within a few blocks of its share; at its end, slots beyond
+a source's target go, missing ones come, and the last one is cut to the target.
 """
 
 from __future__ import annotations
@@ -81,11 +83,25 @@ def schedule(spark: SparkSession, targets: DataFrame, slots: int) -> DataFrame:
     return part.withColumn("_i", F.row_number().over(inside) - 1).join(counts, ["source_key", "_p"]).select("slot", "source_key", (F.col("_base") + F.col("_i")).alias("rank"))
 
 
+def block_plan(targets: DataFrame, block: int, repeats: int) -> DataFrame:
+    """(source_key, source_size, _len, _blocks, _slots, _short) of sources with words.
+
+    _len: tokens of the source's own blocks, at most `block`; _slots: slots that reach
+    the target; _short: tokens by which the last of them would go beyond it.
+    """
+    plan = targets.where("source_size > 0").withColumn("_goal", F.expr(f"least(cast(round(target) AS bigint), {repeats} * source_size)"))
+    plan = plan.withColumn("_len", F.expr(f"source_size DIV ((source_size + {block} - 1) DIV {block}) + if(source_size % ((source_size + {block} - 1) DIV {block}) > 0, 1, 0)"))
+    plan = plan.withColumn("_blocks", F.expr("(source_size + _len - 1) DIV _len")).withColumn("_rest", F.expr("_goal % source_size"))
+    plan = plan.withColumn("_slots", F.expr("_goal DIV source_size * _blocks + (_rest + _len - 1) DIV _len"))
+    short = F.expr("if(_rest = 0, 0, least(source_size, (_rest + _len - 1) DIV _len * _len) - _rest)")
+    return plan.where("_slots > 0").select("source_key", "source_size", "_len", "_blocks", "_slots", short.alias("_short"))
+
+
 def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), repeats: int = 3, block_tokens: int = 4096, least_slots: int = 512, seed: int = 20) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every row of docs (doc_id, source, text).
 
     block_tokens: tokens of a block, made smaller where a schedule would have fewer
-    than least_slots slots a source.  taken: words of the row that the schedule
+    than least_slots slots a source, and for a source to its size over its number of blocks.  taken: words of the row that the schedule
     takes, repeats counted, never more than `repeats` times its size.  A null or
     empty text has size 0 and gives nothing; a null source is a source of its own.
     Rows equal in doc_id and size are interchangeable.  Reruns agree, as the
@@ -97,15 +113,25 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), repeats: int = 3, b
     rows, total, sources = sized.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0)), F.count_distinct(F.coalesce("source", F.lit("")), F.col("source").isNull())).first()
     targets = materialize(source_targets(sized, weights, repeats).withColumn("source_key", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))))
     block = max(1, min(block_tokens, total // max(1, sources * least_slots)))
-    slots = -(-total // block)
-    taken = schedule(spark, targets, slots).join(targets.select("source_key", F.expr(f"({block} + source_size - 1) DIV {block}").alias("_blocks"), F.expr(f"{repeats} * source_size").alias("_most")), "source_key")
-    # each block's number of slots; the discrepancy of the schedule never adds a further pass
-    taken = taken.where(f"rank < {repeats} * _blocks").groupBy("source_key", F.expr("rank % _blocks").alias("block")).agg(F.count("*").alias("times"))
+    plan = materialize(block_plan(targets, block, repeats))
+    slots = plan.agg(F.coalesce(F.sum("_slots"), F.lit(0))).first()[0]
+    # each block's number of slots; the discrepancy of the schedule never goes beyond the slots of a source
+    dealt = schedule(spark, plan.select("source_key", F.col("_slots").cast("double").alias("target")), slots).join(plan, "source_key").where("rank < _slots")
+    dealt = dealt.groupBy("source_key", F.expr("rank % _blocks").alias("block")).agg(F.count("*").alias("times"))
+    # and where it gives a source too few, the next ranks follow
+    served = plan.join(dealt.groupBy("source_key").agg(F.sum("times").alias("_served")), "source_key", "left").withColumn("_served", F.coalesce("_served", F.lit(0)))
+    missing = served.where("_served < _slots").withColumn("rank", F.explode(F.expr("sequence(_served, _slots - 1)"))).select("source_key", F.expr("rank % _blocks").alias("block"), F.lit(1).cast("long").alias("times"))
+    taken = dealt.union(missing).groupBy("source_key", "block").agg(F.sum("times").alias("times")).join(plan, "source_key")
+    # one of the slots of the last block ends at _upto
+    upto = F.expr("least(source_size, (block + 1) * _len) - if(block = (_slots - 1) % _blocks, _short, 0)")
+    taken = taken.select("source_key", "block", "times", upto.alias("_upto"))
     placed = shuffled(sized.join(targets.select(F.col("source").alias("_src"), "source_key", "source_size", "target"), F.col("source").eqNullSafe(F.col("_src"))).drop("_src"), ["source_key"], ["doc_id", "size"], seed, buckets_for(rows), "size")
     placed = materialize(placed.withColumn("_id", F.monotonically_increasing_id()))
-    pieces = placed.where("size > 0").select("_id", "source_key", "before", "size", F.explode(F.expr(f"sequence(before DIV {block}, (before + size - 1) DIV {block})")).alias("block"))
-    words = F.expr(f"least(before + size, (block + 1) * {block}) - greatest(before, block * {block})")
-    got = pieces.join(taken, ["source_key", "block"]).groupBy("_id").agg(F.sum(words * F.col("times")).alias("taken"))
+    pieces = placed.where("size > 0").join(plan.select("source_key", "_len"), "source_key")
+    pieces = pieces.select("_id", "source_key", "before", "size", "_len", F.explode(F.expr("sequence(before DIV _len, (before + size - 1) DIV _len)")).alias("block"))
+    pieces = pieces.select("_id", "source_key", "block", F.expr("greatest(before, block * _len)").alias("_lo"), F.expr("least(before + size, (block + 1) * _len)").alias("_hi"))
+    words = F.expr("(_hi - _lo) * times - greatest(0, _hi - greatest(_lo, _upto))")
+    got = pieces.join(taken, ["source_key", "block"]).groupBy("_id").agg(F.sum(words).alias("taken"))
     return placed.join(got, "_id", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 

@@ -282,6 +282,18 @@ def test_mixing_reaches_targets(docs):
     assert dict(zip(again.doc_id, again.taken)) == dict(zip(rows.doc_id, rows.taken))
 
 
+@pytest.mark.parametrize("least_slots", [2, 16])
+def test_mixing_small_sources_reach_targets(spark, least_slots):
+    sizes = {"hot": [997] * 150, "mid": [333] * 40, "t1": [500], "t2": [700, 800], "t3": [5000], "t4": [4096, 1], "t5": [1], "t6": [3000, 5200, 40], None: [17, 4], "void": [0]}
+    rows = [(1000 * k + i, source, " ".join(["w"] * n)) for k, (source, of) in enumerate(sizes.items()) for i, n in enumerate(of)]
+    got = mix(spark.createDataFrame(rows, "doc_id bigint, source string, text string").repartition(3), least_slots=least_slots).toPandas()
+    assert len(got) == len(rows) and (got.taken <= 3 * got["size"]).all() and (got.taken >= 0).all()
+    for k, source in enumerate(sizes):
+        mine = got[got.doc_id // 1000 == k]
+        assert mine.taken.sum() == pytest.approx(mine.target.iloc[0], abs=1), source
+    assert got.taken.sum() == pytest.approx(got["size"].sum(), abs=len(sizes))
+
+
 def test_pii_base_spans():
     patterns = {
         "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
