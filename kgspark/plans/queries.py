@@ -162,7 +162,7 @@ def entity_ids(spark, d):
 
 @query(rf"SELECT doc_id, {norm(chr(39) + ' ' + chr(39) + ' || substr(text, 1, 60)')} AS norm FROM documents")
 def normalize_names(spark, d):
-    return read(spark, d, "documents").select("doc_id", ids.normalize_name(F.concat(F.lit(" "), F.substring("text", 1, 60))).alias("norm"))
+    return read(spark, d, "documents").select("doc_id", ids.normalize_name(F.concat(F.lit(" "), "text")).alias("norm"))
 
 
 @query(f"SELECT doc_id, {sha16('chk_', chr(39) + 'd' + chr(39) + ' || doc_id || ' + chr(39) + '|0|' + chr(39) + ' || text')} AS chunk_id, sha256('v0' || chr(0) || text) AS cache_key FROM documents")

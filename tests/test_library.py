@@ -105,3 +105,13 @@ def test_queries_match_sql(spark, name):
         return sorted(tuple(round(float(v), 5) if isinstance(v, (int, float)) or hasattr(v, "dtype") else str(v) for v in r) for r in frame[sorted(frame.columns)].itertuples(index=False))
 
     assert rows(got) == rows(want)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_names_are_normalized_to_the_end_of_the_text(spark):
+    import duckdb
+
+    # the query's own SQL cuts the texts; here it takes them whole
+    sql = ORACLE["normalize_names"].replace("substr(text, 1, 60)", "text").replace("FROM documents", f"FROM '{SF}/documents.parquet'")
+    want = dict(duckdb.sql(sql).fetchall())
+    assert {r["doc_id"]: r["norm"] for r in QUERIES["normalize_names"](spark, SF).collect()} == want
