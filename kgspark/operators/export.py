@@ -16,13 +16,20 @@ def escape_xml(c: Column) -> Column:
 
 
 def node_rows(entities: DataFrame) -> DataFrame:
-    return entities.select("entity_id", F.to_json(F.struct(F.col("entity_id").alias("id"), F.lit("Entity").alias("type"), F.col("type").alias("subtype"), F.struct("name", "mention_count", "first_seen_doc").alias("properties"))).alias("json"))
+    """A node's aliases and description are written where the table has them."""
+    rest = [c for c in ("aliases", "description") if c in entities.columns]
+    return entities.select("entity_id", F.to_json(F.struct(F.col("entity_id").alias("id"), F.lit("Entity").alias("type"), F.col("type").alias("subtype"), F.struct("name", "mention_count", "first_seen_doc", *rest).alias("properties"))).alias("json"))
 
 
 def edge_rows(edges: DataFrame) -> DataFrame:
     return edges.select("edge_id", F.to_json(F.struct(F.col("edge_id").alias("id"), F.col("predicate").alias("type"), F.col("source_id").alias("source"), F.col("target_id").alias("target"), F.struct("confidence", "provenance_tag").alias("properties"))).alias("json"))
 
 
+def source_rows(table: DataFrame, value: str) -> DataFrame:
+    """A row for each document or span of an edge (edge_documents, edge_spans); they are in the order of `first`."""
+    return table.select("edge_id", F.to_json(F.struct(F.col("edge_id").alias("edge"), value, F.struct(*[c for c in ("g", "ord") if c in table.columns]).alias("first"))).alias("json"))
+
+
 def graphml_rows(entities: DataFrame) -> DataFrame:
     xml = F.concat(F.lit('<node id="'), "entity_id", F.lit('"><data key="subtype">'), escape_xml(F.col("type")), F.lit('</data><data key="name">'), escape_xml(F.col("name")), F.lit("</data></node>"))
     return entities.select("entity_id", xml.alias("xml"))
@@ -39,9 +46,15 @@ def vault_pages(entities: DataFrame, least: int = 2) -> DataFrame:
     return entities.where(F.col("mention_count") >= least).select("entity_id", page.alias("page"))
 
 
-def write_graph(entities: DataFrame, edges: DataFrame, folder: str, metadata: dict) -> None:
-    """nodes/ and edges/ as JSON lines, and graph.meta.json/ with counts, under a folder Spark can write."""
+def write_graph(entities: DataFrame, edges: DataFrame, folder: str, metadata: dict, documents: DataFrame | None = None, spans: DataFrame | None = None) -> None:
+    """nodes/ and edges/ as JSON lines, and graph.meta.json/ with counts, under a folder Spark can write.
+
+    documents and spans (edge_documents, edge_spans) go to folders of these names, a line each.
+    """
     spark = entities.sparkSession
+    for name, value, table in (("edge_documents", "doc_id", documents), ("edge_spans", "evidence_span", spans)):
+        if table is not None:
+            source_rows(table, value).select("json").write.mode("overwrite").text(str(PurePosixPath(folder) / name))
     node_rows(entities).select("json").write.mode("overwrite").text(str(PurePosixPath(folder) / "nodes"))
     edge_rows(edges).select("json").write.mode("overwrite").text(str(PurePosixPath(folder) / "edges"))
     meta = metadata | {"schema_version": "1.0", "entity_count": entities.count(), "edge_count": edges.count()}

@@ -37,18 +37,24 @@ def first_by_group(facts: DataFrame, keys: list[str], value: str) -> DataFrame:
 def entities(facts: DataFrame) -> DataFrame:
     """First-write-wins upsert of (entity_id, name, type, aliases, doc_id, ord); mentions are counted.
 
-    Aliases are reduced to distinct arrays before they are collected.
+    Aliases are reduced to distinct arrays before they are collected.  Facts with a
+    description give their entity the first one.
     """
     surface = facts.withColumn("al", F.concat(F.coalesce("aliases", F.array().cast("array<string>")), F.array("name")))
     alias = surface.groupBy("entity_id", "al").agg(F.min("ord").alias("ord")).groupBy("entity_id").agg(ordered_set(F.col("ord"), F.col("al")).alias("aliases"))
     core = facts.groupBy("entity_id").agg(
-        F.min_by("name", "ord").alias("name"), F.min_by("type", "ord").alias("type"), F.min_by("doc_id", "ord").alias("first_seen_doc"), F.count("*").alias("mention_count")
+        F.min_by("name", "ord").alias("name"), F.min_by("type", "ord").alias("type"), F.min_by("doc_id", "ord").alias("first_seen_doc"), F.count("*").alias("mention_count"),
+        *[F.min_by(c, "ord").alias(c) for c in facts.columns if c == "description"],
     )
     return core.join(alias, "entity_id")
 
 
 def edges(facts: DataFrame) -> DataFrame:
-    """Upsert by (source, target, predicate): first tag, greatest confidence, ordered sets of documents and spans."""
+    """Upsert by (source, target, predicate): first tag, greatest confidence, counts of facts and documents.
+
+    The ordered sets of documents and spans are tables of their own (edge_documents,
+    edge_spans), as one edge may have any number of them.
+    """
     core = facts.groupBy("edge_id").agg(
         F.min_by("source_id", "ord").alias("source_id"), F.min_by("target_id", "ord").alias("target_id"), F.min_by("predicate", "ord").alias("predicate"),
         F.min_by("provenance_tag", "ord").alias("provenance_tag"), F.round(F.max("confidence"), 6).alias("confidence"), F.count("*").alias("n_facts"), F.count_distinct("doc_id").alias("n_docs"),
@@ -61,6 +67,11 @@ def edge_documents(facts: DataFrame) -> DataFrame:
     return first_by_group(facts, ["edge_id"], "doc_id")
 
 
+def edge_spans(facts: DataFrame) -> DataFrame:
+    """(edge_id, evidence_span, ord) of each edge's distinct spans; ord: where each appears first."""
+    return first_by_group(facts.where("evidence_span IS NOT NULL"), ["edge_id"], "evidence_span")
+
+
 def resolve(relations: DataFrame, surfaces: DataFrame) -> DataFrame:
     """Relations (chunk_id, source, target, predicate, ...) with source_id and target_id.
 
@@ -102,18 +113,43 @@ def replace_documents(facts: DataFrame, changed: DataFrame, fresh: DataFrame) ->
     return facts.join(changed.select("doc_id").distinct(), "doc_id", "left_anti").unionByName(fresh)
 
 
+def _merged_ids(nodes: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """nodes with merged_id, and links with the merged ends and edge id as merged_*."""
+    n = nodes.withColumn("merged_id", entity_id(F.col("name"), F.col("type")))
+    ids = n.select("entity_id", "merged_id")
+    e = links.join(ids.toDF("source_id", "merged_source"), "source_id").join(ids.toDF("target_id", "merged_target"), "target_id")
+    return n, e.withColumn("merged_edge", edge_id(F.col("merged_source"), F.col("merged_target"), F.col("predicate")))
+
+
 def merge(graphs: list[tuple[DataFrame, DataFrame]]) -> tuple[DataFrame, DataFrame]:
-    """Union of graphs (entities, edges): nodes meet by normalized name and type."""
+    """Union of graphs (entities, edges): nodes meet by normalized name and type.
+
+    The first graph's name, first document, description
+    and tag win, aliases are an ordered union.  See merge_sources for documents and spans.
+    """
     nodes = links = None
     for i, (n, e) in enumerate(graphs):
-        n = n.withColumn("g", F.lit(i)).withColumn("merged_id", entity_id(F.col("name"), F.col("type")))
-        ids = n.select("entity_id", "merged_id")
-        e = e.join(ids.toDF("source_id", "s"), "source_id").join(ids.toDF("target_id", "t"), "target_id")
-        e = e.select(F.lit(i).alias("g"), F.col("s").alias("source_id"), F.col("t").alias("target_id"), "predicate", "confidence", "n_facts")
-        nodes, links = (n, e) if nodes is None else (nodes.unionByName(n), links.unionByName(e))
-    merged = nodes.groupBy(F.col("merged_id").alias("entity_id")).agg(F.min_by("name", F.struct("g", "entity_id")).alias("name"), F.min("type").alias("type"), F.sum("mention_count").alias("mention_count"), F.count_distinct("g").alias("n_graphs"))
-    edge = links.groupBy("source_id", "target_id", "predicate").agg(F.max("confidence").alias("confidence"), F.sum("n_facts").alias("n_facts"))
-    return merged, edge
+        n, e = _merged_ids(n.withColumn("g", F.lit(i)), e)
+        e = e.select(F.lit(i).alias("g"), F.col("merged_edge").alias("edge_id"), F.col("merged_source").alias("source_id"), F.col("merged_target").alias("target_id"), "predicate", "confidence", "provenance_tag", "n_facts", F.col("edge_id").alias("from"))
+        nodes, links = (n, e) if nodes is None else (nodes.unionByName(n, allowMissingColumns=True), links.unionByName(e))
+    first = F.struct("g", "entity_id")
+    merged = nodes.groupBy(F.col("merged_id").alias("entity_id")).agg(
+        F.min_by("name", first).alias("name"), F.min("type").alias("type"), F.sum("mention_count").alias("mention_count"), F.count_distinct("g").alias("n_graphs"),
+        F.min_by("first_seen_doc", first).alias("first_seen_doc"), *[F.min_by(c, first).alias(c) for c in nodes.columns if c == "description"],
+    )
+    alias = nodes.select("merged_id", "g", F.col("entity_id").alias("from"), F.posexplode("aliases").alias("pos", "alias")).groupBy(F.col("merged_id").alias("entity_id"), "alias").agg(F.min(F.struct("g", "from", "pos")).alias("ord"))
+    alias = alias.groupBy("entity_id").agg(ordered_set(F.col("ord"), F.array("alias")).alias("aliases"))
+    edge = links.groupBy("edge_id", "source_id", "target_id", "predicate").agg(F.max("confidence").alias("confidence"), F.sum("n_facts").alias("n_facts"), F.min_by("provenance_tag", F.struct("g", "from")).alias("provenance_tag"))
+    return merged.join(alias, "entity_id", "left"), edge
+
+
+def merge_sources(graphs: list[tuple[DataFrame, DataFrame]], tables: list[DataFrame], value: str) -> DataFrame:
+    """(edge_id, value, g, ord) of the merged edges from each graph's edge_documents or edge_spans: where each value appears first."""
+    found = None
+    for i, ((n, e), t) in enumerate(zip(graphs, tables, strict=True)):
+        one = t.join(_merged_ids(n, e)[1].select("edge_id", "merged_edge"), "edge_id").select(F.col("merged_edge").alias("edge_id"), value, F.struct(F.lit(i).alias("g"), "ord").alias("first"))
+        found = one if found is None else found.unionByName(one)
+    return found.groupBy("edge_id", value).agg(F.min("first").alias("first")).select("edge_id", value, "first.g", "first.ord")
 
 
 # --- graph queries ---------------------------------------------------------

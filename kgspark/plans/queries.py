@@ -237,6 +237,12 @@ def edge_documents(spark, d):
     return graph.edge_documents(relation_facts(spark, d)).select("edge_id", "doc_id", F.col("ord.key.l_orderkey").alias("k1"), F.col("ord.key.l_linenumber").alias("k2"))
 
 
+@query(f"""WITH {RELS}, f AS (SELECT edge_id, source || ' ' || lower(predicate) || ' ' || target AS evidence_span, min((k1, k2, k3, k4, o)) AS p FROM rels GROUP BY ALL)
+SELECT edge_id, evidence_span, p[1] AS k1, p[2] AS k2 FROM f""")
+def edge_spans(spark, d):
+    return graph.edge_spans(relation_facts(spark, d)).select("edge_id", "evidence_span", F.col("ord.key.l_orderkey").alias("k1"), F.col("ord.key.l_linenumber").alias("k2"))
+
+
 @query(f"""WITH {ENTS}, e AS (SELECT count(DISTINCT entity_id) AS c, count(*) AS n FROM ents), {RELS.replace(CHUNKS + ', ', '')}, r AS (SELECT count(DISTINCT edge_id) AS c, count(*) AS n FROM rels)
 SELECT e.c AS entities_created, e.n - e.c AS entities_updated, e.n AS mentions_created, r.c AS edges_created, r.n - r.c AS edges_updated FROM e, r""")
 def builder_stats(spark, d):
@@ -576,7 +582,8 @@ def find_stale(spark, d):
 
 @query(f"""WITH {NODES} SELECT entity_id, '{{"id":"' || entity_id || '","type":"Entity","subtype":"' || type || '","properties":{{"name":"' || name || '","mention_count":' || mention_count || ',"first_seen_doc":"' || first_seen_doc || '"}}}}' AS json FROM nodes""")
 def export_nodes(spark, d):
-    return export.node_rows(node_table(spark, d))
+    """Without aliases, as its SQL has them; export.node_rows writes those that its table has."""
+    return export.node_rows(node_table(spark, d).drop("aliases"))
 
 
 @query(f"WITH {EDGES} SELECT count(*) AS edges, count(DISTINCT source_id) AS sources, count(DISTINCT predicate) AS kinds FROM edges")
@@ -585,6 +592,14 @@ def export_edges(spark, d):
     return rows.agg(F.count("*").alias("edges"), F.count_distinct("source").alias("sources"), F.count_distinct("type").alias("kinds"))
 
 
+@query(f"""WITH {EDGES} SELECT edge_id, source_id AS source, target_id AS target, predicate AS type, confidence, provenance_tag FROM edges""")
+def export_edge_rows(spark, d):
+    """Every exported edge, read back."""
+    kind = "struct<id: string, type: string, source: string, target: string, properties: struct<confidence: double, provenance_tag: string>>"
+    rows = export.edge_rows(edge_table(spark, d)).select("edge_id", F.from_json("json", kind).alias("j"))
+    return rows.select("edge_id", "j.source", "j.target", "j.type", "j.properties.confidence", "j.properties.provenance_tag")
+
+
 @query(f"""WITH {NODES} SELECT entity_id, '<node id="' || entity_id || '"><data key="subtype">' || type || '</data><data key="name">' || replace(replace(name, '&', '&amp;'), '<', '&lt;') || '</data></node>' AS xml FROM nodes""")
 def graphml_rows(spark, d):
     return export.graphml_rows(node_table(spark, d))

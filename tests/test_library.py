@@ -1,12 +1,13 @@
 """Golden vectors, folds against hand-made cases, and queries against DuckDB."""
 
+import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from kgspark.functions import ids
-from kgspark.operators import chunker, extraction, fuzzy, metrics
+from kgspark.operators import chunker, export, extraction, fuzzy, graph, metrics
 from kgspark.plans.queries import ORACLE, QUERIES
 from kgspark.sources import corpus
 
@@ -115,3 +116,37 @@ def test_names_are_normalized_to_the_end_of_the_text(spark):
     sql = ORACLE["normalize_names"].replace("substr(text, 1, 60)", "text").replace("FROM documents", f"FROM '{SF}/documents.parquet'")
     want = dict(duckdb.sql(sql).fetchall())
     assert {r["doc_id"]: r["norm"] for r in QUERIES["normalize_names"](spark, SF).collect()} == want
+
+
+def _small_graph(spark, name, spans):
+    ents = [("a", name, ["x"], "first", "d1", 1), ("a", name, ["y", "x"], "second", "d2", 2), ("b", "B", [], None, "d1", 3)]
+    facts = spark.createDataFrame([(i, n, "Work", al, de, d, o) for i, n, al, de, d, o in ents], "entity_id string, name string, type string, aliases array<string>, description string, doc_id string, ord int")
+    facts = facts.withColumn("entity_id", ids.entity_id(F.col("name"), F.col("type")))
+    rels = spark.createDataFrame([(d, s, o) for o, (d, s) in enumerate(spans)], "doc_id string, evidence_span string, ord int")
+    ends = {"source_id": ids.entity_id(F.lit(name), F.lit("Work")), "target_id": ids.entity_id(F.lit("B"), F.lit("Work")), "predicate": F.lit("P"), "provenance_tag": F.lit("INFERRED"), "confidence": F.lit(0.7)}
+    rels = rels.withColumns(ends).withColumn("edge_id", ids.edge_id(F.col("source_id"), F.col("target_id"), F.col("predicate")))
+    return (graph.entities(facts), graph.edges(rels)), graph.edge_documents(rels), graph.edge_spans(rels)
+
+
+def test_graphs_keep_descriptions_aliases_documents_and_spans(spark, tmp_path):
+    one, docs1, spans1 = _small_graph(spark, "A", [("d2", "s2"), ("d1", "s1"), ("d1", "s2"), ("d3", None)])
+    two, docs2, spans2 = _small_graph(spark, "a!", [("d9", "s1"), ("d1", "s9")])
+    assert [r["evidence_span"] for r in spans1.orderBy("ord").collect()] == ["s2", "s1"]
+    nodes, edges = graph.merge([one, two])
+    a = nodes.where("name = 'A'").first()
+    assert (a["description"], a["aliases"], a["first_seen_doc"], a["n_graphs"]) == ("first", ["x", "A", "y", "a!"], "d1", 2)
+    edge = edges.collect()
+    assert [(e["provenance_tag"], e["n_facts"]) for e in edge] == [("INFERRED", 6)]
+    documents, spans = graph.merge_sources([one, two], [docs1, docs2], "doc_id"), graph.merge_sources([one, two], [spans1, spans2], "evidence_span")
+    assert [(r["edge_id"], r["doc_id"]) for r in documents.orderBy("g", "ord").collect()] == [(edge[0]["edge_id"], d) for d in ("d2", "d1", "d3", "d9")]
+    assert [r["evidence_span"] for r in spans.orderBy("g", "ord").collect()] == ["s2", "s1", "s9"]
+    export.write_graph(nodes, edges, str(tmp_path), {}, documents, spans)
+    written = {n: [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / n)).collect()] for n in ("nodes", "edge_documents", "edge_spans")}
+    assert {n["properties"]["name"]: n["properties"]["aliases"] for n in written["nodes"]}["A"] == ["x", "A", "y", "a!"]
+    assert {r["doc_id"] for r in written["edge_documents"]} == {"d1", "d2", "d3", "d9"} and {r["evidence_span"] for r in written["edge_spans"]} == {"s1", "s2", "s9"}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", ["edge_spans", "export_nodes", "export_edge_rows", "export_edges", "graph_edges"])
+def test_graph_tables_match_sql(spark, name):
+    test_queries_match_sql(spark, name)
