@@ -1,8 +1,7 @@
 """Line deduplication by an exact set-similarity join of lines.
 
-Lines become sets of five-word shingles, ordered by rarity; prefix, positional
-(as the least number of common prefix tokens) and length filters leave few
-candidates, whose Jaccard similarity is verified (kgspark.llm.simjoin).  Of each
+Lines become sets of five-word shingles, ordered by rarity; prefix, count (the
+least number of common indexed tokens) and length filters leave few candidates, whose Jaccard similarity is verified (kgspark.llm.simjoin).  Of each
 group of linked lines the first in order of (doc_id, line) stays; the later
 ones are removed.
 """
