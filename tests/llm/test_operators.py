@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from kgspark.llm import op1_decontamination as op1
 from kgspark.llm import op2_quality as op2
 from kgspark.llm import op4_pii as op4
@@ -22,6 +23,7 @@ from kgspark.llm.op7_chat import format_chats, read_back
 from kgspark.llm.op8_line_dedup import later_matches, remove_lines
 from kgspark.llm.op9_host_rules import quality_rules
 from kgspark.llm.op10_sharding import communication_matrix, shard
+from kgspark.llm.shared import materialize
 from kgspark.llm.simjoin import Join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -388,3 +390,54 @@ def test_repeated_rows(spark):
     same = spark.createDataFrame([(1, "a b c d e f g", "en", "s", 1)] * 40 + [(None, None, None, None, None)] * 2, DOCS)
     assert [r["component_id"] for r in ngram_components(same, Join(**SMALL)).where("doc_id = 1").collect()] == [1] * 40
     assert mix(same).count() == shard(same).count() == 42
+
+
+def test_pipeline_stages(spark, tmp_path):
+    rng = random.Random(31)
+    prose_ = lambda n: prose(rng, n, 30_000)
+    items = [prose_(n) for n in (20, 40, 59)]
+    rows = [(i, prose_(rng.randrange(40, 160)), f"src{i % 5}") for i in range(150)]
+    near = {}
+    for i in range(0, 40, 4):
+        w = words(rows[i][1])
+        w[len(w) // 2] = "changed"
+        near[200 + i] = i
+        rows.append((200 + i, " ".join(w) if i % 8 else rows[i][1], rows[i][2]))
+    leaks = {300 + i for i in range(9)}
+    for i in leaks:
+        w = words(items[i % 3])
+        rows.append((i, prose_(50) + " " + " ".join(edited(rng, w, len(w) // 5, "mixed")) + ("" if i % 2 else " " + prose_(30)), f"src{i % 5}"))
+    bad = {400: "too short", 401: "a b c d e f a b c d e f a b c d e f", 402: None, 403: "# " * 60}
+    rows += [(i, t, "src1") for i, t in bad.items()] + [(500 + i, "short", "junk") for i in range(60)] + [(599, prose_(50), "junk")]
+    table = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], DOCS)
+    table.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs, seen = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, str(tmp_path)))
+        seen[name] = docs.collect()
+    by = {n: sorted(r["doc_id"] for r in got) for n, got in seen.items()}
+    text, source = {i: t for i, t, _ in rows}, {i: s for i, _, s in rows}
+    left = [i for i, _, s in rows if i not in bad and s != "junk"]
+    assert by["quality_rules"] == sorted(left)
+    group = closure(left, linked(sets({i: text[i] for i in left})))
+    assert all(group[i] == group[j] for i, j in near.items())
+    left = [i for i in left if group[i] == i]
+    assert by["ngram_join"] == sorted(left)
+    left = [i for i in left if i not in leaks]
+    assert by["decontamination"] == sorted(left)
+    size = {i: len(words(text[i])) for i in left}
+    names = sorted({source[i] for i in left})
+    total, weight = sum(size.values()), {s: 1 + k % 3 for k, s in enumerate(names)}
+    for s in names:
+        mine, target = [i for i in left if source[i] == s], total * weight[s] / sum(weight.values())
+        copies = {i: by["mixing"].count(i) for i in mine}
+        assert target < 3 * sum(size[i] for i in mine) and max(copies.values()) - min(copies.values()) <= 1
+        assert abs(sum(size[i] * n for i, n in copies.items()) - target) <= max(size.values()) / 2 + 1
+    assert set(by["mixing"]) <= set(left) and by["sharding"] == by["mixing"]
+    slots = {}
+    for r in seen["sharding"]:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    key = lambda found: sorted((r["doc_id"], r["text"], r["shard"], r["slot"]) for r in found)
+    assert key(corpus_pipeline.run(spark, str(tmp_path)).collect()) == key(seen["sharding"])
