@@ -29,22 +29,21 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
-    """(node, label) of every node with an edge; label: the component's smallest node.
+    """(node, label) of every node with an edge, as a shared table; label: the component's smallest node.
 
-    edges: two bigint columns a and b; repeated rows, loops and both directions are allowed.
+    edges: two bigint columns a and b; repeated rows, loops and both directions are
+    allowed.  A component of any shape of 2**most nodes ends within `most` rounds; more are an error.
     """
     now = materialize(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(now)
     for _ in range(most):
         if not state[0]:
             break
-        after = materialize(_small(_large(now)))
-        fresh = _state(after)
-        drop_table(now)
-        now = after
+        after = materialize(_small(_large(now)), now)
+        fresh, now = _state(after), after
         if fresh == state:
             break
         state = fresh
     else:
         raise RuntimeError(f"components: no end after {most} rounds")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
+    return materialize(now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()), now)

@@ -10,22 +10,30 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: a key is heavy if it holds more than one row in this many; so at most this many are
+HEAVY = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder's path under spark.checkpoint.dir; a local one of our own only where that is unset."""
+    """A new folder's path under spark.checkpoint.dir; where that is unset, a folder of our own in local mode, an error on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="kgspark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/kgspark/{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write df as a shared table and read it back."""
+def materialize(df: DataFrame, *used: DataFrame) -> DataFrame:
+    """Write df as a shared table and read it back; then delete the tables `used`, which nothing else needs."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
+    for table in used:
+        drop_table(table)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -43,3 +51,25 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def attach(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """left LEFT JOIN right USING (key), for tables that can be read again; right has each key once.
+
+    Keys that hold more than one row in HEAVY, at most that many, meet their rows
+    by a broadcast, the others by a shuffle; rows of a null key move nowhere.
+    """
+    counts = left.where(F.col(key).isNotNull()).groupBy(key).count()
+    total = left.agg(F.count(key)).first()[0]
+    heavy = F.broadcast(counts.where(F.col("count") * HEAVY > total).where("count > 1000").select(key))
+    some = left.where(F.col(key).isNotNull())
+    none = left.where(F.col(key).isNull()).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key])
+    many = some.join(heavy, key, "left_semi").join(F.broadcast(right.join(heavy, key, "left_semi")), key, "left")
+    few = some.join(heavy, key, "left_anti").join(right, key, "left")
+    order = [*left.columns, *[c for c in right.columns if c != key]]
+    return many.select(order).union(few.select(order)).union(none.select(order))
+
+
+def same(a: Column, b: Column) -> Column:
+    """Equality in which null equals null."""
+    return a.eqNullSafe(b)

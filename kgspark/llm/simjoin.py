@@ -1,29 +1,28 @@
-"""Exact set-similarity self-join over shingle sets, with connected components.
+"""Exact set-similarity self-join over shingle sets.
 
 Records (whole documents, or their lines) become sets of 64-bit shingles.  The
 join is exact for Jaccard similarity >= percent / 100:
 
 1. Records with equal sets fold into one node (a 64-bit fingerprint of the set).
-2. A count sketch of fixed size over all shingles gives each a rarity level.
-   The first global order sorts by (level, hash): rare shingles first.
+2. A count sketch of fixed size over all shingles gives each a rarity level.  A
+   global order sorts by (level, hash): rare shingles first.  There are `orders` of
+   them, each with a hash of its own.
 3. Two similar sets of n tokens share one of the first n - ceil(t n) + 1 tokens
-   under *any* global order.  Prefix tokens under the first order are indexed;
+   under *any* global order, and more of a longer prefix.  A token is indexed if it
+   is in the prefix under one of the orders, with the orders of which that holds;
    nodes under one token form a group.
-4. A node whose indexed tokens are hardly ever shared can't have a partner of any
-   size and is left out.  Of the rest, groups of bounded size give pairs with their
-   number of common tokens; a pair passes only with the length filter and with as
-   many common tokens as its two sizes demand (see _need).
+4. Groups of bounded size give pairs that pass the length filter and, where
+   postings carry positions, the positional filter: two sets that share a token at
+   positions i and j have at most min(i, j) tokens in common before it and as many
+   after it as the shorter rest.  The candidates are the intersection over all
+   orders: a pair must share as many prefix tokens as its two sizes demand under
+   each of them (see _need).  This comes before any set is moved.
 5. A hot group is not expanded into pairs: each class of set sizes in it has a pivot,
    the node with the most shared tokens for its size; each member is checked
    against the pivots of its own class and of the next smaller one, so any two
    members whose sizes allow a link share a pivot.  In the index a hot token costs
-   one row per map task.
-6. Before their overlap is counted, candidates must share prefix tokens under
-   two further global orders as well.
-7. Verified links give components.  Hot groups whose members still lie in different
-   components are joined again, on the tokens in which members differ from the
-   pivot (see _across); candidates pass the same verification, and a second run
-   of components adds their links.  So no link between components is lost.
+   one row per map task.  What the pivots leave open is compared in blocks
+   (kgspark.llm.blocks), which give links, not pairs.
 
 What is broadcast has a fixed size: the level table (2**sketch_bits bytes) and
 a Bloom filter (2**bloom_bits bits) of nodes with candidates.  Neither affects
@@ -36,6 +35,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -44,40 +44,50 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kgspark.llm import text as tx
-from kgspark.llm.components import components
 from kgspark.llm.shared import drop_table, materialize, release
 
 U64 = np.uint64
 _PARTS = 16
+#: marks the one posting that stands for a group that is hot within its task
+_MARK = np.uint32(1 << 31)
 
 
 @dataclass(frozen=True)
 class Join:
     """shingle: words a token; percent: least Jaccard similarity in hundredths, 50 or more;
-    lines: records are lines with a word, not whole texts; extra: further tokens that
-    the index holds, in hundredths of a set, for a stronger count filter; sketch_bits: log2 of
+    lines: records are lines with a word, not whole texts; orders: global token orders
+    that candidates must agree under; extra: further tokens that the index holds under
+    each order, in hundredths of a set, for a stronger filter; sketch_bits: log2 of
     the sketch's counters; bloom_bits: log2 of the Bloom filter's bits;
-    flush: postings that a map task holds before it sends them on; group: nodes
-    under one token beyond which its group is hot."""
+    flush: postings that a map task holds before it sends them on; bucket: postings
+    that a task gathers at once, about; group: nodes under one token beyond which its
+    group is hot; block: nodes of a hot group that are compared at once."""
 
     shingle: int = 5
     percent: int = 75
     lines: bool = False
+    orders: int = 3
     extra: int = 10
     sketch_bits: int = 20
     bloom_bits: int = 25
     flush: int = 1_500_000
+    bucket: int = 4_000_000
     group: int = 32
+    block: int = 512
 
     def prefix(self, n: np.ndarray) -> np.ndarray:
         """Tokens of a set of n that any similar set shares one of, under any global order."""
         return n - (n * self.percent + 99) // 100 + 1
 
     def indexed(self, n: np.ndarray) -> np.ndarray:
-        """Tokens of a set of n that the index holds: the prefix and `extra` more."""
+        """Tokens of a set of n that the index holds under each order: the prefix and `extra` more."""
         return np.minimum(n, self.prefix(n) + (n * self.extra + 99) // 100)
 
 
+#: lines hold one order with positions
+LINES = Join(lines=True, orders=1)
+
+
 def _line_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(offsets, row, line) of the \\n-split lines of all texts; a line keeps its \\n, which is no word."""
     inner = np.flatnonzero(buf == 10) + 1
@@ -116,6 +126,24 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: v if isinstance(v, (pa.Array, list)) else pa.array(v) for k, v in columns.items()})
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """The bytes of an array plane by plane, which compresses well."""
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _unplanes(data: np.ndarray, kind) -> np.ndarray:
+    return data.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
+def _pack(tokens: np.ndarray) -> bytes:
+    """A sorted set of tokens."""
+    return _planes(np.diff(tokens, prepend=U64(0)))
+
+
+def unpack(blob) -> np.ndarray:
+    return np.cumsum(_unplanes(np.frombuffer(blob.as_buffer(), np.uint8), U64))
+
+
 def _describe(join: Join):
     """Records as rows, and this task's part of the sketch as blobs."""
 
@@ -133,38 +161,74 @@ def _describe(join: Join):
                     m = int(keep.sum())
                     yield _batch(doc_id=ids, line=(line[keep] if line is not None else np.zeros(m, np.int64)), n=n[keep], node=pa.array(node[keep], mask=n[keep] == 0), part=pa.nulls(m, pa.int32()), blob=pa.nulls(m, pa.binary()))
         if counts is not None:
-            blobs = [x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes() for x in np.split(counts, _PARTS)]
+            blobs = [_planes(x.astype(np.uint32)) for x in np.split(counts, _PARTS)]
             none = pa.nulls(_PARTS, pa.int64())
             yield pa.RecordBatch.from_arrays([pa.nulls(_PARTS, batch.column(0).type), none, none, none, pa.array(range(_PARTS), pa.int32()), pa.array(blobs)], names=["doc_id", "line", "n", "node", "part", "blob"])
 
     return run
 
 
-def _sum_parts(pdf):
-    planes = [np.frombuffer(b, np.uint8).reshape(4, -1) for b in pdf["blob"]]
-    total = sum(sum(p[i].astype(np.int64) << (8 * i) for i in range(4)) for p in planes)
-    return pdf.iloc[:1][["part"]].assign(blob=[total.tobytes()])
+def _fold(blobs: DataFrame, read, add) -> dict[int, np.ndarray]:
+    """The blobs (part, blob) of each part, read and added up in two rounds; a task holds one sum a part."""
+
+    def run(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = read(np.frombuffer(blob.as_buffer(), np.uint8))
+                held[part] = add(held[part], x, out=held[part]) if part in held else x.copy()
+        for part, x in held.items():
+            yield _batch(part=np.array([part], np.int32), blob=[x.tobytes()])
+
+    def again(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = np.frombuffer(blob.as_buffer(), kind)
+                held[part] = add(held[part], x, out=held[part]) if part in held else x.copy()
+        for part, x in held.items():
+            yield _batch(part=np.array([part], np.int32), blob=[x.tobytes()])
+
+    kind = read(np.zeros(8, np.uint8)).dtype
+    schema = "part int, blob binary"
+    first = blobs.withColumn("salt", F.monotonically_increasing_id()).repartition("part", "salt").select("part", "blob").mapInArrow(run, schema)
+    return {part: np.frombuffer(blob, kind) for part, blob in first.repartition(_PARTS, "part").mapInArrow(again, schema).collect()}
 
 
 def _levels(described: DataFrame, join: Join) -> np.ndarray:
     """Rarity level of each counter: 0 up to twice the mean count, then the log2 of their ratio."""
-    parts = described.where("part IS NOT NULL").select("part", "blob").groupBy("part").applyInPandas(_sum_parts, "part int, blob binary").collect()
+    parts = _fold(described.where("part IS NOT NULL").select("part", "blob"), lambda b: _unplanes(b, np.uint32).astype(np.int64), np.add)
     counts = np.zeros(1 << join.sketch_bits, np.int64)
-    for part, blob in parts:
-        one = np.frombuffer(blob, np.int64)
+    for part, one in parts.items():
         counts[part * len(one) : (part + 1) * len(one)] = one
     return np.clip(np.log2((counts + 1) / (counts.mean() + 1)), 0, 60).astype(np.uint8)
 
 
-def _prefix_keys(tokens: np.ndarray, ptr: np.ndarray, level: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
-    """(key, record) of all indexed tokens under the order (level, hash)."""
-    key = (tx.mix(tokens ^ U64(0x2545F4914F6CDD1D)) >> U64(6)) | (level[(tokens & U64(len(level) - 1)).astype(np.int64)].astype(U64) << U64(58))
+def _prefix_keys(tokens: np.ndarray, ptr: np.ndarray, level: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, record, told) of all indexed tokens.  told: with one order the token's
+    position under it, else the orders under which the token is in the prefix, as bits."""
+    rank = level[(tokens & U64(len(level) - 1)).astype(np.int64)].astype(U64) << U64(58)
+    key = (tx.mix(tokens ^ U64(0x2545F4914F6CDD1D)) >> U64(6)) | rank
     n = np.diff(ptr)
-    for a, b in zip(ptr[:-1][n > 1].tolist(), ptr[1:][n > 1].tolist()):
-        key[a:b].sort()
     length = np.where(n > 0, join.indexed(n), 0)
-    position = np.arange(len(key)) - np.repeat(ptr[:-1], n)
-    return tx.mix(key[position < np.repeat(length, n)]), np.repeat(np.arange(len(n)), length)
+    record = np.repeat(np.arange(len(n)), n)
+    if join.orders == 1:
+        for a, b in zip(ptr[:-1][n > 1].tolist(), ptr[1:][n > 1].tolist()):
+            key[a:b].sort()
+        told = np.arange(len(key)) - ptr[record]
+        held = told < length[record]
+    else:
+        told = np.zeros(len(key), np.int64)
+        most = np.zeros(len(n), U64)
+        some = np.flatnonzero(n > 0)
+        at = list(zip(some.tolist(), ptr[some].tolist(), ptr[some + 1].tolist(), (length[some] - 1).tolist()))
+        for k in range(join.orders):
+            by = key if k == 0 else (tx.mix(key ^ U64(k)) >> U64(6)) | rank
+            for i, a, b, p in at:
+                most[i] = np.partition(by[a:b], p)[p]
+            told |= (by <= most[record]).astype(np.int64) << k
+        held = told > 0
+    return tx.mix(key[held]), record[held], told[held].astype(np.uint32)
 
 
 @dataclass
@@ -173,83 +237,113 @@ class _Groups:
 
     key: np.ndarray
     node: np.ndarray
+    n: np.ndarray
+    told: np.ndarray
     at: np.ndarray
     size: np.ndarray
     hot: np.ndarray
+    join: Join
 
     @classmethod
-    def of(cls, key: np.ndarray, node: np.ndarray, mark: np.ndarray, most: int) -> _Groups:
+    def of(cls, key: np.ndarray, node: np.ndarray, n: np.ndarray, told: np.ndarray, join: Join) -> _Groups:
         order = np.lexsort((node, key))
-        key, node, mark = key[order], node[order], mark[order]
+        key, node, n, told = key[order], node[order], n[order], told[order]
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
         head = np.ones(len(key), bool)
         head[1:] = key[1:] != key[:-1]
-        marked = np.add.reduceat(mark.astype(np.int64), np.flatnonzero(head)) > 0 if len(key) else np.empty(0, bool)
-        key, node, head = key[fresh], node[fresh], head[fresh]
+        marked = np.bitwise_or.reduceat(told, np.flatnonzero(head)) >= _MARK if len(key) else np.empty(0, bool)
+        key, node, n, told, head = key[fresh], node[fresh], n[fresh], told[fresh] & ~_MARK, head[fresh]
         at = np.flatnonzero(head)
         size = np.diff(np.append(at, len(key)))
-        return cls(key, node, at, size, (size > most) | marked)
+        return cls(key, node, n, told, at, size, (size > join.group) | marked, join)
+
+    def bits(self, told: np.ndarray) -> list[np.ndarray]:
+        """For each order, whether it holds the posting in its prefix."""
+        if self.join.orders == 1:
+            return [np.ones(len(told), np.int64)]
+        return [(told >> np.uint32(k) & np.uint32(1)).astype(np.int64) for k in range(self.join.orders)]
 
     def members(self) -> Iterator[pa.RecordBatch]:
         """Hot groups: kind 1, (token, node)."""
         member = np.repeat(self.hot, self.size)
         if member.any():
-            yield _rows(1, self.key[member].view(np.int64), self.node[member])
+            yield _rows(1, self.key[member].view(np.int64), self.node[member], self.n[member], self.bits(self.told[member]))
 
     def shared(self) -> Iterator[pa.RecordBatch]:
         """Other groups of two or more: kind 2, (node, 0) and its number of tokens here."""
-        node = self.node[np.repeat(~self.hot & (self.size > 1), self.size)]
+        take = np.repeat(~self.hot & (self.size > 1), self.size)
+        node = self.node[take]
         if len(node):
-            found, n = np.unique(node, return_counts=True)
-            yield _rows(2, found, np.zeros_like(found), n)
+            found, first, at = np.unique(node, return_index=True, return_inverse=True)
+            yield _rows(2, found, np.zeros_like(found), self.n[take][first], [np.bincount(at, b, len(found)) for b in self.bits(self.told[take])])
 
     def pairs(self) -> Iterator[pa.RecordBatch]:
         """Other groups, of bounded size: kind 3, (larger node, smaller node) and their number of common tokens here."""
-        a, b = [], []
+        t, a, b, told = self.join.percent, [], [], []
         for m in np.unique(self.size[~self.hot & (self.size > 1)]).tolist():
-            member = self.node[self.at[~self.hot & (self.size == m)][:, None] + np.arange(m)]
-            i, j = np.triu_indices(m, 1)
-            a.append(np.maximum(member[:, i], member[:, j]).ravel())
-            b.append(np.minimum(member[:, i], member[:, j]).ravel())
-        if a:
-            a, b = np.concatenate(a), np.concatenate(b)
+            at = self.at[~self.hot & (self.size == m)][:, None] + np.arange(m)
+            i, j = (at[:, x].ravel() for x in np.triu_indices(m, 1))
+            x, y = self.n[i].astype(np.int64), self.n[j].astype(np.int64)
+            pass_ = 100 * np.minimum(x, y) >= t * np.maximum(x, y)
+            if self.join.orders == 1:
+                p, q = self.told[i].astype(np.int64), self.told[j].astype(np.int64)
+                pass_ &= np.minimum(p, q) + 1 + np.minimum(x - p, y - q) - 1 >= ((x + y) * t + 99 + t) // (100 + t)
+                both = np.ones(len(i), np.uint32)
+            else:
+                both = self.told[i] & self.told[j]
+                pass_ &= both > 0
+            i, j, both = i[pass_], j[pass_], both[pass_]
+            a.append(np.maximum(self.node[i], self.node[j]))
+            b.append(np.minimum(self.node[i], self.node[j]))
+            told.append(both)
+        if sum(map(len, a)):
+            a, b, told = np.concatenate(a), np.concatenate(b), np.concatenate(told)
             order = np.lexsort((b, a))
-            a, b = a[order], b[order]
+            a, b, told = a[order], b[order], told[order]
             fresh = np.ones(len(a), bool)
             fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
             at = np.flatnonzero(fresh)
-            yield _rows(3, a[at], b[at], np.diff(np.append(at, len(a))))
+            yield _rows(3, a[at], b[at], np.zeros(len(at), np.int64), [np.add.reduceat(x, at) for x in self.bits(told)])
 
 
-def _rows(kind: int, a: np.ndarray, b: np.ndarray, c: np.ndarray | None = None) -> pa.RecordBatch:
-    n = len(a)
-    return _batch(kind=np.full(n, kind, np.int32), a=a, b=b, c=np.ones(n, np.int64) if c is None else c.astype(np.int64), keys=pa.nulls(n, pa.binary()), nodes=pa.nulls(n, pa.binary()))
+def _rows(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, counts: list[np.ndarray], bucket: np.ndarray | None = None) -> pa.RecordBatch:
+    m = len(a)
+    return _batch(
+        bucket=np.zeros(m, np.int32) if bucket is None else bucket.astype(np.int32), kind=np.full(m, kind, np.int32), a=a, b=b, n=n.astype(np.int64),
+        **{f"c{k}": c.astype(np.int64) for k, c in enumerate(counts)}, keys=pa.nulls(m, pa.binary()), nodes=pa.nulls(m, pa.binary()),
+    )
 
 
-_POSTINGS = "kind int, a bigint, b bigint, c bigint, keys binary, nodes binary"
+def _postings(join: Join) -> str:
+    counts = ", ".join(f"c{k} bigint" for k in range(join.orders))
+    return f"bucket int, kind int, a bigint, b bigint, n bigint, {counts}, keys binary, nodes binary"
 
 
 def _post(join: Join, level, buckets: int):
     """Members of groups that are hot within this task (kind 1), and for each bucket of
-    tokens one blob of postings (kind 0, a: bucket), in which one marked node stands
+    tokens one blob of postings (kind 0), in which one marked posting stands
     for a hot group: so a hot token costs the reducer a row for each map task."""
 
+    def bucket_of(key):
+        return (key >> U64(32)) * U64(buckets) >> U64(32)
+
     def flush(held):
-        g = _Groups.of(*(np.concatenate(x) for x in zip(*held)), join.group)
-        yield from g.members()
-        mark = np.zeros(len(g.key), np.uint8)
-        mark[g.at[g.hot]] = 1
+        g = _Groups.of(*(np.concatenate(x) for x in zip(*held)), join)
+        for rows in g.members():
+            yield rows.set_column(0, "bucket", pa.array(bucket_of(rows.column(2).to_numpy().view(U64)).astype(np.int32)))
+        g.told[g.at[g.hot]] |= _MARK
         sent = np.repeat(~g.hot, g.size)
         sent[g.at] = True
-        key, node, mark = g.key[sent], g.node[sent], mark[sent]
-        bucket = (key >> U64(32)) * U64(buckets) >> U64(32)
-        edge = np.searchsorted(bucket, np.arange(buckets + 1, dtype=U64))
-        for b in range(buckets):
-            i, j = edge[b], edge[b + 1]
-            if i < j:
-                step = np.diff(key[i:j], prepend=U64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
-                yield _batch(kind=np.zeros(1, np.int32), a=np.array([b], np.int64), b=np.zeros(1, np.int64), c=np.zeros(1, np.int64), keys=[step], nodes=[node[i:j].tobytes() + mark[i:j].tobytes()])
+        key, node, n, told = g.key[sent], g.node[sent], g.n[sent], g.told[sent]
+        edge = np.searchsorted(bucket_of(key), np.arange(buckets + 1, dtype=U64))
+        zero = np.zeros(1, np.int64)
+        for b in np.flatnonzero(np.diff(edge)).tolist():
+            s = slice(edge[b], edge[b + 1])
+            yield _batch(
+                bucket=np.array([b], np.int32), kind=np.zeros(1, np.int32), a=zero, b=zero, n=zero, **{f"c{k}": zero for k in range(join.orders)},
+                keys=[_pack(key[s])], nodes=[node[s].tobytes() + _planes(n[s]) + _planes(told[s])],
+            )
 
     def run(batches):
         held, n = [], 0
@@ -258,10 +352,11 @@ def _post(join: Join, level, buckets: int):
                 node = _nodes(tokens, ptr)
                 sole = np.zeros(len(node), bool)
                 sole[np.unique(node, return_index=True)[1]] = True
-                key, record = _prefix_keys(tokens, ptr, level.value, join)
+                key, record, told = _prefix_keys(tokens, ptr, level.value, join)
                 take = sole[record]
-                held.append((key[take], node[record[take]], np.zeros(int(take.sum()), np.uint8)))
-                n += int(take.sum())
+                record = record[take]
+                held.append((key[take], node[record], np.diff(ptr)[record].astype(np.uint32), told[take]))
+                n += len(record)
                 if n > join.flush:
                     yield from flush(held)
                     held, n = [], 0
@@ -272,17 +367,26 @@ def _post(join: Join, level, buckets: int):
 
 
 def _gather(join: Join):
-    """Groups across tasks, a bucket's postings at a time."""
+    """Groups across tasks, from rows in order of buckets, a bucket's postings at a time."""
+    names = ["bucket", "kind", "a", "b", "n", *(f"c{k}" for k in range(join.orders)), "keys", "nodes"]
 
-    def run(batches):
-        held: dict[int, list] = {}
+    def blobs(batches):
         for batch in batches:
-            for b, k, n in zip(batch.column(1).to_pylist(), batch.column(4), batch.column(5)):
-                step = np.frombuffer(k.as_buffer(), np.uint8).reshape(8, -1).T.copy().view(U64).ravel()
-                rest = np.frombuffer(n.as_buffer(), np.uint8)
-                held.setdefault(b, []).append((np.cumsum(step), rest[: 8 * len(step)].copy().view(np.int64), rest[8 * len(step) :].copy()))
-        for b in sorted(held):
-            g = _Groups.of(*(np.concatenate(x) for x in zip(*held.pop(b))), join.group)
+            kind = batch.column(1).to_numpy()
+            if (kind == 1).any():
+                yield None, pa.RecordBatch.from_arrays(batch.filter(pa.array(kind == 1)).columns, names=names)
+            sent = batch.filter(pa.array(kind == 0))
+            for b, k, v in zip(sent.column(0).to_pylist(), sent.column(-2), sent.column(-1)):
+                key = unpack(k)
+                rest, m = np.frombuffer(v.as_buffer(), np.uint8), len(key)
+                yield b, (key, rest[: 8 * m].copy().view(np.int64), _unplanes(rest[8 * m : 12 * m], np.uint32), _unplanes(rest[12 * m :], np.uint32))
+
+    def run(batches):
+        for b, held in groupby(blobs(batches), key=lambda x: x[0]):
+            if b is None:
+                yield from (x for _, x in held)
+                continue
+            g = _Groups.of(*(np.concatenate(x) for x in zip(*(x for _, x in held))), join)
             yield from g.members()
             yield from g.shared()
             yield from g.pairs()
@@ -296,7 +400,7 @@ def _bloom_at(node: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bloom(nodes: DataFrame, bits: int) -> np.ndarray:
-    """A Bloom filter of a bigint column as a boolean array."""
+    """A Bloom filter of a bigint column, as packed bits."""
 
     def part(batches):
         mask = np.zeros(1 << bits, bool)
@@ -309,15 +413,11 @@ def _bloom(nodes: DataFrame, bits: int) -> np.ndarray:
             for i, x in enumerate(np.split(mask, _PARTS)):
                 yield _batch(part=np.array([i], np.int32), blob=[np.packbits(x).tobytes()])
 
-    def union(pdf):
-        total = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in pdf["blob"]])
-        return pdf.iloc[:1][["part"]].assign(blob=[total.tobytes()])
-
-    mask = np.zeros(1 << bits, bool)
+    mask = np.zeros((1 << bits) // 8, np.uint8)
     size = len(mask) // _PARTS
-    for i, blob in nodes.mapInArrow(part, "part int, blob binary").groupBy("part").applyInPandas(union, "part int, blob binary").collect():
-        mask[i * size : (i + 1) * size] = np.unpackbits(np.frombuffer(blob, np.uint8)).astype(bool)
-    return np.packbits(mask)
+    for i, blob in _fold(nodes.mapInArrow(part, "part int, blob binary"), lambda b: b, np.bitwise_or).items():
+        mask[i * size : (i + 1) * size] = blob
+    return mask
 
 
 def _pick_sets(join: Join, bloom):
@@ -333,34 +433,19 @@ def _pick_sets(join: Join, bloom):
                 hit = np.flatnonzero(mask[one] & mask[two] & (np.diff(ptr) > 0))
                 take = [i for i in hit.tolist() if node[i] not in seen and not seen.add(node[i])]
                 if take:
-                    blobs = [np.diff(tokens[ptr[i] : ptr[i + 1]], prepend=U64(0)).view(np.uint8).reshape(-1, 8).T.tobytes() for i in take]
-                    yield _batch(node=node[take], tokens=blobs)
+                    yield _batch(node=node[take], tokens=[_pack(tokens[ptr[i] : ptr[i + 1]]) for i in take])
 
     return run
 
 
-def _unpack(blob) -> np.ndarray:
-    return np.cumsum(np.frombuffer(blob.as_buffer(), np.uint8).reshape(8, -1).T.copy().view(U64).ravel())
-
-
-def _shares(x: np.ndarray, y: np.ndarray) -> bool:
-    """Whether two short arrays have a common value."""
-    both = np.concatenate((x, y))
-    both.sort()
-    return bool((both[1:] == both[:-1]).any())
-
-
-def similar(x: np.ndarray, y: np.ndarray, join: Join) -> bool:
-    """Length filter, two more global orders (hash ascending, hash descending), then the overlap of sorted sets."""
-    if 100 * min(len(x), len(y)) < join.percent * max(len(x), len(y)):
-        return False
-    p, q = int(join.prefix(np.int64(len(x)))), int(join.prefix(np.int64(len(y))))
-    if not _shares(x[:p], y[:q]) or not _shares(x[len(x) - p :], y[len(y) - q :]):
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether the Jaccard similarity of two sorted sets reaches percent / 100."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
         return False
     both = np.concatenate((x, y))
     both.sort()
     common = int((both[1:] == both[:-1]).sum())
-    return 100 * common >= join.percent * (len(both) - common)
+    return 100 * common >= percent * (len(both) - common)
 
 
 def _verify(join: Join):
@@ -371,37 +456,45 @@ def _verify(join: Join):
             ok = np.zeros(len(a), bool)
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
                 if b[i] != last:
-                    last, pivot = b[i], _unpack(y)
-                ok[i] = similar(_unpack(x), pivot, join)
-            yield _batch(a=a, b=b, ok=ok)
+                    last, pivot = b[i], unpack(y)
+                ok[i] = similar(unpack(x), pivot, join.percent)
+            yield _batch(a=a[ok], b=b[ok])
 
     return run
 
 
 def verify(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """(a, b, ok) for pairs (a, b) of nodes."""
+    """The similar ones of pairs (a, b) of nodes."""
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_verify(join), "a bigint, b bigint, ok boolean")
+    return both.select("a", "b", "x", "y").mapInArrow(_verify(join), "a bigint, b bigint")
 
 
 @dataclass
-class Result:
-    """records: (doc_id, line, n, node), node null for an empty set; links: verified (a, b) that
-    connect the components; labels: (node, label) of every node that has a link."""
+class Found:
+    """records: (doc_id, line, n, node), node null for an empty set; links: verified pairs
+    (a, b) of nodes; members: (pivot, node, n), the hot groups, in which
+    only links to the pivot are known yet; sets: (node, tokens) of all nodes in links and members.
+    The tables stay until drop()."""
 
     records: DataFrame
     links: DataFrame
-    labels: DataFrame
+    members: DataFrame
+    sets: DataFrame
+
+    def drop(self) -> None:
+        for table in (self.records, self.links, self.members, self.sets):
+            drop_table(table)
+        release(self.records.sparkSession)
 
 
-def similarity_join(docs: DataFrame, join: Join = Join()) -> Result:
-    """Components of the similarity graph over the records of docs (doc_id, text).
+def similarity_join(docs: DataFrame, join: Join = Join()) -> Found:
+    """Links between the records of docs (doc_id, text), but for those within hot groups.
 
     Null or empty texts, and texts without words, have empty sets: they get a
     record without a node and no links (in line mode no record).  Repeated rows
     are records of one node.  An empty table gives empty results.  Other columns
-    of docs are ignored.
+    of docs are ignored; a text is one record at any length.
     """
     spark: SparkSession = docs.sparkSession
     rows = docs.select("doc_id", "text")
@@ -409,45 +502,48 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> Result:
     described = materialize(rows.mapInArrow(_describe(join), T.StructType([T.StructField("doc_id", kind), T.StructField("line", T.LongType()), T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("blob", T.BinaryType())])))
     level = spark.sparkContext.broadcast(_levels(described, join))
     records = described.where("part IS NULL").select("doc_id", "line", "n", "node")
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    posted = materialize(rows.mapInArrow(_post(join, level, buckets), _POSTINGS))
-    across = materialize(posted.where("kind = 0").repartition(buckets // 2, "a").mapInArrow(_gather(join), _POSTINGS))
-    found = posted.where("kind > 0").select("kind", "a", "b", "c").union(across.select("kind", "a", "b", "c"))
-    hot = materialize(found.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node")).distinct())
-    size = records.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"))
-    mine = hot.groupBy("node").agg(F.count("*").alias("h"), F.lit(0).cast("long").alias("s")).union(found.where("kind = 2").groupBy("a").agg(F.lit(0).cast("long"), F.sum("c")))
-    held = materialize(size.join(mine.groupBy("node").agg(F.sum("h").alias("h"), F.sum("s").alias("s")), "node").where(f"h + s >= {_least(join)}").withColumn("free", F.expr(_free(join))).where(f"free >= (n * {join.percent} + 99) DIV 100").select("node", "n", "h", "s", "free"))
-    whole, hot = hot, materialize(hot.join(held.select("node", "n", ((F.col("h") + F.col("s")) / F.col("n")).alias("common")), "node").withColumn("size", F.expr(_size(join))))
-    pivots = hot.groupBy("token", "size").agg(F.max_by("node", F.struct("common", "node")).alias("pivot"))
-    stars = materialize(hot.withColumn("size", F.explode(F.array("size", F.col("size") - 1))).join(pivots, ["token", "size"]).where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
-    drop_table(whole)
-    small = materialize(_sized(found.where("kind = 3").groupBy("a", "b").agg(F.sum("c").alias("c")), held))
-    drop_table(posted), drop_table(across)
-    del posted, across, found
+    tokens = records.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    share = 1 - (join.percent - join.extra) / 100
+    postings = int(tokens * (1 - (1 - share) ** join.orders))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-postings // (2 * join.bucket)))
+    posted = rows.mapInArrow(_post(join, level, 2 * parts), _postings(join))
+    across = materialize(posted.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_gather(join), _postings(join)).drop("bucket", "keys", "nodes"))
     release(spark)
-    pairs = small.where(f"c + least(ha, hb) >= {_need(join)}").select("a", "b").union(stars).distinct()
+    each = range(join.orders)
+    hot = across.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node"), "n", *[f"c{k}" for k in each]).distinct()
+    hot = materialize(hot)
+    zero = F.lit(0).cast("long")
+    mine = hot.groupBy("node").agg(F.first("n").alias("n"), *[F.sum(f"c{k}").alias(f"h{k}") for k in each], *[zero.alias(f"s{k}") for k in each])
+    mine = mine.union(across.where("kind = 2").groupBy("a").agg(F.first("n"), *[zero for _ in each], *[F.sum(f"c{k}") for k in each]))
+    held = mine.groupBy("node").agg(F.first("n").alias("n"), *[F.sum(f"{x}{k}").alias(f"{x}{k}") for x in "hs" for k in each])
+    for k in each:
+        held = held.where(f"h{k} + s{k} >= {_least(join)}").where(f"{_free(join, k)} >= (n * {join.percent} + 99) DIV 100")
+    held = materialize(held)
+    hot = hot.where("c0 > 0").select("token", "node").join(held.select("node", "n", ((F.col("h0") + F.col("s0")) / F.col("n")).alias("common")), "node").withColumn("size", F.expr(_size(join)))
+    pivots = hot.groupBy("token", "size").agg(F.max_by("node", F.struct("common", "node")).alias("pivot"))
+    members = hot.withColumn("size", F.explode(F.array("size", F.col("size") - 1))).join(pivots, ["token", "size"])
+    members = materialize(members.select("pivot", "node", "n").distinct())
+    pairs = across.where("kind = 3").groupBy("a", "b").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in each])
+    for x in "ab":
+        pairs = pairs.join(held.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), *[F.col(f"h{k}").alias(f"h{x}{k}") for k in each]), x)
+    for k in each:
+        pairs = pairs.where(f"c{k} + least(ha{k}, hb{k}) >= {_need(join)}")
+    stars = members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    pairs = materialize(pairs.select("a", "b").union(stars).distinct())
+    drop_table(across), drop_table(held)
     live = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     bloom = spark.sparkContext.broadcast(_bloom(live, join.bloom_bits))
     picked = rows.mapInArrow(_pick_sets(join, bloom), "node bigint, tokens binary").join(live, "node", "left_semi")
     sets = materialize(picked.groupBy("node").agg(F.first("tokens").alias("tokens")))
+    links = materialize(verify(pairs, sets, join))
+    drop_table(pairs)
     release(spark)
-    checked = materialize(verify(pairs, sets, join))
-    links = checked.where("ok").select("a", "b")
-    labels = materialize(components(links))
-    more = _across(checked, stars, labels, held, sets, level, join)
-    if more is not None:
-        again = materialize(verify(more, sets, join))
-        links = links.union(again.where("ok").select("a", "b"))
-        labels = materialize(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(again.where("ok").select("a", "b"))))
-    for table in (sets, hot, stars, small, held):
-        drop_table(table)
-    release(spark)
-    return Result(records, links, labels)
+    return Found(records, links, members, sets)
 
 
 def _need(join: Join) -> str:
-    """SQL for the least number of indexed tokens that a pair of at least this similarity
-    shares (na, nb: set sizes), and for sizes that do not rule the pair out.
+    """SQL for the least number of tokens indexed under one order that a pair of at least
+    this similarity shares (na, nb: set sizes), and for sizes that do not rule the pair out.
 
     With overlap o a set of n tokens has n - o others.  Of the set whose indexed
     tokens, p in number, end first, those that the other set has are indexed
@@ -464,9 +560,9 @@ def _size(join: Join) -> str:
     return f"cast(floor(ln(n) / {max(1.001 * math.log(100 / join.percent), 0.01)}) AS int)"
 
 
-def _free(join: Join) -> str:
+def _free(join: Join, order: int) -> str:
     """SQL for the tokens of a set of n that another set may have: all but the indexed ones that no other set holds."""
-    return f"n - (least(n, n - (n * {join.percent} + 99) DIV 100 + 1 + (n * {join.extra} + 99) DIV 100) - h - s)"
+    return f"n - (least(n, n - (n * {join.percent} + 99) DIV 100 + 1 + (n * {join.extra} + 99) DIV 100) - h{order} - s{order})"
 
 
 def _least(join: Join) -> str:
@@ -475,104 +571,3 @@ def _least(join: Join) -> str:
     over = lambda m: f"least(0, 1 - ({m} * {t} + 99) DIV 100 + ({m} * {extra} + 99) DIV 100)"
     f = lambda a, b: f"((({a} + {b}) * {t} + {99 + t}) DIV {100 + t} + {over(b)})"
     return f"least({f(f'((n * {t} + 99) DIV 100)', 'n')}, {f('n', f'(n * 100 DIV {t})')}) - 2"
-
-
-def _sized(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    for x in "ab":
-        pairs = pairs.join(held.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("h").alias(f"h{x}")), x)
-    return pairs
-
-
-def _difference(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Values of a sorted array that another sorted one has not."""
-    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-    return x[y[at] != x]
-
-
-def _differences(join: Join, level):
-    """For each member of a pivot's group, the tokens of its symmetric difference with
-    the pivot: all of them where the member is not similar to the pivot, else those
-    of its prefix, which come first."""
-    a, b = 100 - join.percent, 100 + join.percent
-
-    def run(batches):
-        last, pivot = None, None
-        for batch in batches:
-            node, key, most, ok = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            parts = []
-            for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
-                if key[i] != last:
-                    last, pivot = key[i], _unpack(y)
-                x = _unpack(x)
-                gained, lost = _difference(x, pivot), _difference(pivot, x)
-                tokens = np.concatenate((gained, lost))
-                order = np.lexsort((tokens, level.value[(tokens & U64(len(level.value) - 1)).astype(np.int64)], np.arange(len(tokens)) >= len(gained)))
-                n, d = len(x), len(tokens)
-                if ok[i]:
-                    common = -((-d - a * (len(pivot) - n) // b - 1) // 2)
-                else:
-                    common = d - a * (n + min(int(most[i]), 100 * n // join.percent)) // b // 2
-                prefix = d - common + 1
-                order = order[: prefix if ok[i] else d]
-                parts.append((d, prefix, tokens[order].tobytes()))
-            if parts:
-                d, prefix, blobs = zip(*parts)
-                yield _batch(node=node, pivot=key, d=np.array(d, np.int64), prefix=np.array(prefix, np.int64), tokens=list(blobs))
-
-    return run
-
-
-def _spread(batches):
-    """One row for each token of a blob; pre: it is one of the first `prefix`."""
-    for batch in batches:
-        tokens = [np.frombuffer(b.as_buffer(), np.int64) for b in batch.column(9)]
-        size = np.array([len(t) for t in tokens], np.int64)
-        row = np.repeat(np.arange(len(size)), size)
-        if len(row):
-            position = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-            kept = batch.select(range(8)).take(pa.array(row))
-            pre = position < batch.column(8).to_numpy()[row]
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(pre), pa.array(np.concatenate(tokens))], names=[*kept.schema.names, "pre", "token"])
-
-
-def _across(checked: DataFrame, stars: DataFrame, labels: DataFrame, held: DataFrame, sets: DataFrame, level, join: Join) -> DataFrame | None:
-    """Pairs not yet checked that share a pivot, in different components.
-
-    All members of a hot group have an edge to its pivot p, so a group with two
-    components has an edge that failed.  With D = x ^ p, sets x and y differ in
-    |Dx ^ Dy| tokens; similar ones differ in at most (100 - t) / (100 + t) of the
-    sum of their sizes, and a set that is not similar to p differs from it in
-    more.  So a similar pair of two components, of which one at least is not similar to p,
-    has at least half of the smaller difference in common, about: the join on the
-    differences has prefixes of its own, of one side, against the whole difference
-    of the other.  Copies that vary a text differ from it in tokens that few others have.
-    """
-    edges = checked.join(stars, ["a", "b"], "left_semi")
-    for x in "ab":
-        edges = edges.join(labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")), x, "left")
-    edges = materialize(edges.select("a", "b", "ok", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")))
-    mixed = edges.where("la != lb").select("b").distinct()
-    if not mixed.limit(1).count():
-        return None
-    members = edges.join(mixed, "b", "left_semi").join(held.select(F.col("node").alias("a"), "n", "free", F.expr(_size(join)).alias("size")), "a")
-    members = members.join(held.select(F.col("node").alias("b"), F.expr(_size(join)).alias("own")), "b")
-    members = materialize(members.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "ok", F.col("la").alias("label"), "n", "free", (F.col("size") == F.col("own")).alias("own")))
-    most = members.groupBy("pivot").agg(F.max("n").alias("most"))
-    both = members.join(most, "pivot").join(sets.select("node", F.col("tokens").alias("x")), "node").join(sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("y")), "pivot")
-    told = both.select("node", "pivot", "most", "ok", "x", "y").mapInArrow(_differences(join, level), "node bigint, pivot bigint, d bigint, prefix bigint, tokens binary")
-    told = materialize(told.join(members, ["node", "pivot"]))
-    a, b = 100 - join.percent, 100 + join.percent
-    # a member of the larger class needs one of the pivot's own class as a partner
-    far = told.where("own").groupBy("pivot").agg(F.max("d").alias("far"))
-    told = told.join(far, "pivot").where(f"own OR {b} * (d - far) <= {a} * (n + n * 100 DIV {join.percent})")
-    columns = ["pivot", "node", "label", "n", "free", "d", "ok", "own"]
-    told = materialize(told.select(*columns, "prefix", "tokens").mapInArrow(_spread, "pivot bigint, node bigint, label bigint, n bigint, free bigint, d bigint, ok boolean, own boolean, pre boolean, token bigint"))
-    x, y = told.where("pre").alias("x"), told.where("NOT ok").alias("y")
-    on = [
-        "x.pivot = y.pivot AND x.token = y.token AND x.label != y.label AND (x.own OR y.own) AND (x.ok OR x.d < y.d OR x.d = y.d AND x.node < y.node)",
-        f"100 * least(x.n, y.n) >= {join.percent} * greatest(x.n, y.n) AND {b} * abs(x.d - y.d) <= {a} * (x.n + y.n)",
-        f"least(x.free, y.free) >= ((x.n + y.n) * {join.percent} + {b - 1}) DIV {b}",
-    ]
-    met = x.join(y, F.expr(" AND ".join(on))).select(F.expr("greatest(x.node, y.node) AS a"), F.expr("least(x.node, y.node) AS b")).distinct()
-    done = checked.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    return materialize(met.join(done, ["a", "b"], "left_anti"))
