@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: a word; what separates words is ASCII white space only
@@ -15,6 +17,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def clashing(df, names: list[str]) -> list[str]:
-    """Columns of df that are not in names, which an operator drops before it adds its own."""
-    return [c for c in df.columns if c not in names]
+def packed(df: DataFrame) -> Column:
+    """All columns of df as one struct, so that the columns an operator adds can't clash with them."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+
+
+def unpacked(names: Sequence[str], without: Sequence[str] = (), row: str = "row") -> list[Column]:
+    """The columns `names` of a packed row, but for those in `without`."""
+    return [F.col(row).getField(c).alias(c) for c in names if c not in without]

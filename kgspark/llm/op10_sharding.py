@@ -9,7 +9,6 @@ shuffle with shard sizes at most one row apart.
 
 from __future__ import annotations
 
-import json
 import math
 import random
 from itertools import accumulate
@@ -17,10 +16,15 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kgspark.llm.columns import packed, unpacked
 from kgspark.llm.order import buckets_for, shuffled
 from kgspark.llm.shared import materialize
 
 
+#: logical parts at most, so that the matrix stays small; beyond it parts get larger
+MOST_PARTS = 65_536
+
+
 def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
     """Good items among `draws` of good + bad, by inversion from the mode outwards: O(standard deviation)."""
     low, high = max(0, draws - bad), min(good, draws)
@@ -71,26 +75,26 @@ def communication_matrix(counts: list[int], shards: int, seed: int) -> list[list
 def shard(docs: DataFrame, shards: int = 8, seed: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with `shard` (0 to shards - 1) and `slot` (0 and up in each shard, gapless).
 
-    Columns of docs named shard or slot are replaced.  Nulls in any column are
-    values like others; repeated rows are dealt like distinct ones; an empty table
-    gives an empty result.  Equal texts need not stay together: this law is about
-    row counts.  Only one count per part (a few for each 20,000 rows) reaches the driver.
+    Columns of docs named shard or slot are replaced; all others keep names and
+    values, whatever they are called.  Nulls in any column are values like others, a null
+    text counting as empty; rows that tie in key and text are interchangeable, and
+    repeated rows are dealt like distinct ones; a text of any length is one row; an
+    empty table gives an empty result.  Equal texts need not stay together: this law
+    is about row counts.  One count per part reaches the driver, at most MOST_PARTS.
     """
-    spark, docs = docs.sparkSession, docs.drop("shard", "slot")
-    tie = [c for c in (key, "_crc") if c]
-    named = docs.withColumn("_crc", F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    spark = docs.sparkSession
     rows = docs.count()
-    parts = buckets_for(rows)
-    split = named.withColumn("_part", F.expr(f"pmod(xxhash64(`{key}`, _crc, {seed}), {parts})"))
-    found = {p: n for p, n in split.groupBy("_part").count().collect()}
+    parts = min(MOST_PARTS, buckets_for(rows))
+    named = docs.select(packed(docs).alias("row"), F.col(key).alias("key"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("crc"))
+    split = named.withColumn("part", F.expr(f"pmod(xxhash64(key, crc, {seed}), {parts})"))
+    found = {p: n for p, n in split.groupBy("part").count().collect()}
     matrix = communication_matrix([found.get(p, 0) for p in range(parts)], shards, seed)
-    # the running sums of each part's row of the matrix, as a table: a part's rows below edge s + 1 go to shard s
-    edges = json.dumps([{"_part": p, "_edges": list(accumulate(row))} for p, row in enumerate(matrix)])
-    table = spark.range(1).select(F.inline(F.from_json(F.lit(edges), "array<struct<_part: bigint, _edges: array<bigint>>>")))
-    local = shuffled(split, ["_part"], tie, seed + 1, 1)
-    dealt = local.join(table, "_part").withColumn("shard", F.expr("cast(size(filter(_edges, e -> before >= e)) as int)")).drop("before", "_edges", "_part")
-    placed = shuffled(dealt, ["shard"], tie, seed + 2, parts)
-    return placed.withColumnRenamed("before", "slot").drop("_crc").select(*docs.columns, "shard", "slot")
+    # the running sums of each part's row of the matrix: a part's rows below edge s + 1 go to shard s
+    edges = spark.createDataFrame([(p, list(accumulate(row))) for p, row in enumerate(matrix)], "part bigint, edges array<bigint>")
+    local = shuffled(split, ["part"], ["key", "crc"], seed + 1, 1)
+    dealt = local.join(F.broadcast(edges), "part").withColumn("shard", F.expr("cast(size(filter(edges, e -> before >= e)) as int)")).drop("before", "edges", "part")
+    placed = shuffled(dealt, ["shard"], ["key", "crc"], seed + 2, parts)
+    return placed.select(*unpacked(docs.columns, ("shard", "slot")), "shard", F.col("before").alias("slot"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,7 +106,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), repeats: int = 3, b
     empty text has size 0 and gives nothing; a null source is a source of its own.
     Rows equal in doc_id and size are interchangeable.  Reruns agree, as the
     shuffle depends on doc_id, size and seed only.  An empty table gives an empty
-    result.  Other columns are ignored.
+    result.  Other columns are ignored; a text of any length is one row.
     """
     spark = docs.sparkSession
     sized = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
@@ -132,7 +132,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), repeats: int = 3, b
     pieces = pieces.select("_id", "source_key", "block", F.expr("greatest(before, block * _len)").alias("_lo"), F.expr("least(before + size, (block + 1) * _len)").alias("_hi"))
     words = F.expr("(_hi - _lo) * times - greatest(0, _hi - greatest(_lo, _upto))")
     got = pieces.join(taken, ["source_key", "block"]).groupBy("_id").agg(F.sum(words).alias("taken"))
-    return placed.join(got, "_id", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+    return materialize(placed.join(got, "_id", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")), sized, targets, plan, placed)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kgspark.llm.columns import SPACE
-from kgspark.llm.shared import materialize
+from kgspark.llm.columns import SPACE, packed, unpacked
+from kgspark.llm.shared import attach, materialize
 
-#: hosts up to which the rejected ones are broadcast; beyond it Spark picks the join
+#: rejected hosts up to which they are broadcast; beyond it only those of many documents are
 _FEW_HOSTS = 50_000
 
 
@@ -72,8 +72,9 @@ def keep_by_host(judged: DataFrame, names: list[str], host: str = "source", limi
     """judged, a table that can be read twice, with base_failed and kept instead of the rule columns."""
     rejected = materialize(host_verdicts(judged, names, host, limit).where("rejected"))
     if rejected.count() <= _FEW_HOSTS:
-        rejected = F.broadcast(rejected)
-    joined = judged.join(rejected, host, "left")
+        joined = judged.join(F.broadcast(rejected), host, "left")
+    else:
+        joined = attach(judged, rejected, host)
     return joined.select(
         *[c for c in judged.columns if c not in names],
         F.col("_base").alias("base_failed"),
@@ -81,22 +82,31 @@ def keep_by_host(judged: DataFrame, names: list[str], host: str = "source", limi
     )
 
 
+_MADE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+
+
+def judge(rows: DataFrame, limit: float = 0.5) -> DataFrame:
+    """rows (row, host, text) with the columns of _MADE instead of host and text."""
+    judged = text_counts(rows).withColumns({f"_{r}": c for r, c in rules().items()}).drop("text")
+    return keep_by_host(materialize(judged), [f"_{r}" for r in rules()], "host", limit).drop("host")
+
+
 def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", limit: float = 0.5) -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and kept.
 
-    Columns of docs with these names are replaced.  A null text counts as empty
-    and fails; a null host gets no verdict; repeated rows count as often as they
-    occur; an empty table gives an empty result.
+    Columns of docs with these names are replaced; all others keep names and values,
+    whatever they are called.  A null text counts as empty and fails; a null host gets
+    no verdict; repeated rows, and hosts that tie, are judged each by itself and count as
+    often as they occur; a text is judged whole at any length, its words being one
+    array in memory; an empty table gives an empty result.
     """
-    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    judged = text_counts(docs.drop(*made), text).withColumns({f"_{r}": c for r, c in rules().items()})
-    return keep_by_host(materialize(judged), [f"_{r}" for r in rules()], host, limit)
+    rows = docs.select(packed(docs).alias("row"), F.col(host).alias("host"), F.col(text).alias("text"))
+    return judge(rows, limit).select(*unpacked(docs.columns, _MADE), *_MADE)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    made = text_counts(docs).withColumns({f"_{r}": c for r, c in rules().items()}).drop("text")
-    return keep_by_host(materialize(made), [f"_{r}" for r in rules()]).drop("source")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return judge(docs.select(F.struct("doc_id").alias("row"), F.col("source").alias("host"), "text")).select("row.doc_id", *_MADE)
 
 
 SQL = r"""

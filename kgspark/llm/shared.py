@@ -9,12 +9,16 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: a key is heavy if it holds more than one row in this many; so at most this many are
 HEAVY = 10_000
+#: folders of the tables made in each open scope, innermost last
+_scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,20 +35,41 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, *used: DataFrame) -> DataFrame:
     """Write df as a shared table and read it back; then delete the tables `used`, which nothing else needs."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     for table in used:
         drop_table(table)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete the files of a table made by materialize()."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
         if "/kgspark/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(df.sparkSession, folder)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Deletes, at its end, the tables made inside; those put into the list that it gives stay."""
+    made, kept = [], []
+    _scopes.append(made)
+    try:
+        yield kept
+    finally:
+        _scopes.remove(made)
+        stay = {f.rpartition("/")[0].rpartition("/")[2] for df in kept for f in df.inputFiles()}
+        for folder in made:
+            if folder.rpartition("/")[2] not in stay:
+                _delete(spark, folder)
+            elif _scopes:
+                _scopes[-1].append(folder)
 
 
 def release(spark: SparkSession) -> None:
@@ -53,23 +78,24 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def attach(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """left LEFT JOIN right USING (key), for tables that can be read again; right has each key once.
+def attach(left: DataFrame, right: DataFrame, *keys: str, counts: DataFrame | None = None) -> DataFrame:
+    """left LEFT JOIN right USING (keys), for tables that can be read again; right has each key once.
 
     Keys that hold more than one row in HEAVY, at most that many, meet their rows
     by a broadcast, the others by a shuffle; rows of a null key move nowhere.
+    counts: (keys, count) of left, where that is known.
     """
-    counts = left.where(F.col(key).isNotNull()).groupBy(key).count()
-    total = left.agg(F.count(key)).first()[0]
-    heavy = F.broadcast(counts.where(F.col("count") * HEAVY > total).where("count > 1000").select(key))
-    some = left.where(F.col(key).isNotNull())
-    none = left.where(F.col(key).isNull()).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key])
+    key, some = list(keys), left
+    for k in keys:
+        some = some.where(F.col(k).isNotNull())
+    counts = some.groupBy(*key).count() if counts is None else counts
+    total = left.count()
+    heavy = F.broadcast(counts.where(F.col("count") * HEAVY > total).where("count > 1000").select(*key))
     many = some.join(heavy, key, "left_semi").join(F.broadcast(right.join(heavy, key, "left_semi")), key, "left")
     few = some.join(heavy, key, "left_anti").join(right, key, "left")
-    order = [*left.columns, *[c for c in right.columns if c != key]]
-    return many.select(order).union(few.select(order)).union(none.select(order))
-
-
-def same(a: Column, b: Column) -> Column:
-    """Equality in which null equals null."""
-    return a.eqNullSafe(b)
+    order = [*left.columns, *[c for c in right.columns if c not in key]]
+    out = many.select(order).union(few.select(order))
+    if any(left.schema[k].nullable for k in key):
+        null = " OR ".join(f"`{k}` IS NULL" for k in key)
+        out = out.union(left.where(null).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name not in key]))
+    return out

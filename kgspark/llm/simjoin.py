@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kgspark.llm import text as tx
-from kgspark.llm.shared import drop_table, materialize, release
+from kgspark.llm.shared import attach, drop_table, materialize, release
 
 U64 = np.uint64
 _PARTS = 16
@@ -70,8 +70,8 @@ class Join:
     extra: int = 10
     sketch_bits: int = 20
     bloom_bits: int = 25
-    flush: int = 1_500_000
-    bucket: int = 4_000_000
+    flush: int = 1_000_000
+    bucket: int = 1_000_000
     group: int = 32
     block: int = 512
 
@@ -510,8 +510,7 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> Found:
     across = materialize(posted.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_gather(join), _postings(join)).drop("bucket", "keys", "nodes"))
     release(spark)
     each = range(join.orders)
-    hot = across.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node"), "n", *[f"c{k}" for k in each]).distinct()
-    hot = materialize(hot)
+    hot = materialize(across.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("node"), "n", *[f"c{k}" for k in each]).distinct())
     zero = F.lit(0).cast("long")
     mine = hot.groupBy("node").agg(F.first("n").alias("n"), *[F.sum(f"c{k}").alias(f"h{k}") for k in each], *[zero.alias(f"s{k}") for k in each])
     mine = mine.union(across.where("kind = 2").groupBy("a").agg(F.first("n"), *[zero for _ in each], *[F.sum(f"c{k}") for k in each]))
@@ -519,10 +518,11 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> Found:
     for k in each:
         held = held.where(f"h{k} + s{k} >= {_least(join)}").where(f"{_free(join, k)} >= (n * {join.percent} + 99) DIV 100")
     held = materialize(held)
-    hot = hot.where("c0 > 0").select("token", "node").join(held.select("node", "n", ((F.col("h0") + F.col("s0")) / F.col("n")).alias("common")), "node").withColumn("size", F.expr(_size(join)))
-    pivots = hot.groupBy("token", "size").agg(F.max_by("node", F.struct("common", "node")).alias("pivot"))
-    members = hot.withColumn("size", F.explode(F.array("size", F.col("size") - 1))).join(pivots, ["token", "size"])
-    members = materialize(members.select("pivot", "node", "n").distinct())
+    told = held.select("node", "n", ((F.col("h0") + F.col("s0")) / F.col("n")).alias("common"))
+    classed = materialize(hot.where("c0 > 0").select("token", "node").join(told, "node").withColumn("size", F.expr(_size(join))), hot)
+    pivots = materialize(classed.groupBy("token", "size").agg(F.max_by("node", F.struct("common", "node")).alias("pivot")))
+    members = attach(classed.withColumn("size", F.explode(F.array("size", F.col("size") - 1))), pivots, "token", "size")
+    members = materialize(members.where("pivot IS NOT NULL").select("pivot", "node", "n").distinct(), classed, pivots)
     pairs = across.where("kind = 3").groupBy("a", "b").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in each])
     for x in "ab":
         pairs = pairs.join(held.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), *[F.col(f"h{k}").alias(f"h{x}{k}") for k in each]), x)

@@ -1,52 +1,65 @@
-"""The operators as stages over `documents`: each returns a table of documents."""
+"""The operators as stages over `documents`: each returns a table of documents.
+
+Every stage takes whole tables and whole texts of any length.  A null text counts
+as empty, a null source is a source of its own without a host's verdict, a null
+doc_id is an id.  Columns beyond those of documents stay, whatever they are called;
+an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kgspark.llm.columns import packed, unpacked
 from kgspark.llm.op1_decontamination import matches
 from kgspark.llm.op3_mixing import mix
 from kgspark.llm.op5_ngram_join import ngram_components
-from kgspark.llm.op9_host_rules import quality_rules
+from kgspark.llm.op9_host_rules import judge
 from kgspark.llm.op10_sharding import shard
 from kgspark.llm.shared import materialize
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no rule and no host verdict rejects."""
-    return quality_rules(docs).where("kept").select(*docs.columns)
+    """Documents that no rule and no host verdict rejects; repeated rows are judged alike."""
+    judged = judge(docs.select(packed(docs).alias("row"), F.col("source").alias("host"), "text"))
+    return judged.where("kept").select(*unpacked(docs.columns))
 
 
 def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    return docs.join(ids.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), how)
+    return docs.alias("l").join(ids.select(F.col("doc_id").alias("id")).alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.id")), how)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shingle links join: the one of the smallest doc_id.
 
     Only the ids that go are joined to the texts.  Rows that repeat a doc_id that
-    stays are reduced to one where there are any.
+    stays are reduced to one where there are any; of rows that tie, any one.
     """
-    found = materialize(ngram_components(docs))
+    found = ngram_components(docs)
     kept = _only(docs, found.where("NOT doc_id <=> component_id").select("doc_id").distinct(), "left_anti")
     repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count()
     return kept.dropDuplicates(["doc_id"]) if repeated else kept
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
-    hit = materialize(matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
-    return _only(docs, hit.select("doc_id").distinct(), "left_anti")
+    """Documents without a passage of a benchmark item; rows that repeat an id go together."""
+    hit = materialize(matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct())
+    return _only(docs, hit, "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: its words taken over its size, rounded."""
-    taken = mix(docs).select(F.col("doc_id").alias("_id"), F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int").alias("_times")).where("_times > 0")
-    joined = docs.join(materialize(taken), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    """Each document as often as the mix takes it: its words taken over its size, rounded.
+
+    Rows that repeat a doc_id are taken as often as all of them together, evenly.
+    """
+    times = mix(docs).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size")).where("size > 0")
+    times = times.select(F.col("doc_id").alias("id"), F.round(F.col("taken") / F.col("size")).cast("int").alias("times")).where("times > 0")
+    joined = docs.alias("l").join(materialize(times).alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.id")))
+    row = F.struct(*[F.col("l.`" + c.replace("`", "``") + "`") for c in docs.columns])
+    return joined.select(F.explode(F.array_repeat(row, F.col("r.times"))).alias("row")).select(*unpacked(docs.columns))
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and slot."""
+    """Documents with their shard and slot; ties and repeated rows are dealt like others."""
     return shard(docs)
