@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kgspark.llm import stages
-from kgspark.llm.shared import materialize
+from kgspark.llm.shared import drop_table, materialize, scope
 
 STAGES = [
     ("quality_rules", stages.rules),
@@ -19,12 +19,16 @@ STAGES = [
     ("sharding", stages.sharded),
 ]
 
-#: SQL can express neither the edit distance search nor the seeded shuffles; tests hold run() against brute force
+#: SQL can express neither the edit distance search nor the seeded shuffles; tests/llm hold every stage and run() against brute force
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
+        with scope(spark) as kept:
+            after = materialize(stage(spark, docs, sf_dir))
+            kept.append(after)
+        drop_table(docs)  # of a stage before; not of the input
+        docs = after
     return docs
