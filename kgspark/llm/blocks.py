@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kgspark.llm import text as tx
 from kgspark.llm.simjoin import Join, unpack
 
 #: tokens of a block, about
@@ -150,6 +151,7 @@ def _compare(join: Join, find: Callable):
                     held.append(batch.slice(s, e - s))
         if held:
             yield from close(held)
+        tx.trim()
 
     return run
 

@@ -32,10 +32,12 @@ def later_matches(docs: DataFrame, join: Join = LINES) -> DataFrame:
     nodes = materialize(found.records.groupBy("node").agg(F.count("*").alias("count"), F.min("doc_id").alias("doc_id"), F.min("line").alias("line")))
     repeated = nodes.where("count > 1").select("node", "count")
     lines = materialize(attach(found.records.select("doc_id", "line", "node"), repeated, "node", counts=repeated).where("count > 1").drop("count"))
-    # the order of lines, as one of nodes: each at its first line
-    firsts = materialize(lines.groupBy("node").agg(F.min(F.struct("doc_id", "line", "node")).alias("first")).union(nodes.where("count = 1").select("node", F.struct("doc_id", "line", "node"))))
     wanted = found.links.select(F.col("a").alias("node")).union(found.links.select("b")).union(found.members.select("node")).distinct()
-    places = materialize(firsts.join(wanted, "node"))
+    # the order of lines, as one of nodes: each at its first line
+    heads = lines.groupBy("node").agg(F.min(F.struct("doc_id", "line", "node")).alias("first"))
+    single = nodes.where("count = 1").join(wanted, "node", "left_semi").select("node", F.struct("doc_id", "line", "node").alias("first"))
+    firsts = materialize(heads.select("*", F.lit(True).alias("again")).union(single.select("*", F.lit(False))), nodes)
+    places = materialize(firsts.join(wanted, "node").select("node", "first"))
     links = found.links
     for x in "ab":
         links = links.join(places.select(F.col("node").alias(x), F.col("first").alias(f"f{x}")), x)
@@ -45,12 +47,13 @@ def later_matches(docs: DataFrame, join: Join = LINES) -> DataFrame:
     members = members.select("pivot", "node", "n", F.coalesce("_open", F.lit(True)).alias("open"), "first.doc_id", "first.line")
     more = compare(members, found.sets, join, earlier).join(places.select(F.col("node").alias("b"), F.col("first").alias("match")), "b")
     whole = materialize(met.union(more.select(F.col("a").alias("node"), "match")).groupBy("node").agg(F.min("match").alias("match")))
-    of = firsts.join(repeated, "node").join(whole, "node", "left").select("node", "first", "match")
-    copies = attach(lines, of, "node", counts=repeated).withColumn("_first", F.expr("doc_id <=> first.doc_id AND line = first.line")).where("NOT _first OR match IS NOT NULL")
+    told = materialize(firsts.join(whole, "node", "left"))
+    copies = attach(lines, told.where("again").select("node", "first", "match"), "node")
+    copies = copies.withColumn("_first", F.expr("doc_id <=> first.doc_id AND line = first.line")).where("NOT _first OR match IS NOT NULL")
     copies = copies.select("doc_id", "line", F.when(F.col("_first"), F.col("match")).otherwise(F.col("first")).alias("match"))
-    single = nodes.where("count = 1").join(whole, "node").select("doc_id", "line", "match")
+    single = told.where("NOT again AND match IS NOT NULL").select("first.doc_id", "first.line", "match")
     out = materialize(copies.distinct().union(single).select("doc_id", "line", F.col("match.doc_id").alias("first_doc_id"), F.col("match.line").alias("first_line")))
-    for table in (nodes, lines, firsts, places, met, whole):
+    for table in (lines, firsts, places, met, whole, told):
         drop_table(table)
     found.drop()
     return out

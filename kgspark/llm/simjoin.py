@@ -35,7 +35,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +47,8 @@ from kgspark.llm.shared import attach, drop_table, materialize, release
 
 U64 = np.uint64
 _PARTS = 16
+#: pairs that a task holds at once before they are filtered, about
+_PAIRS = 250_000
 #: marks the one posting that stands for a group that is hot within its task
 _MARK = np.uint32(1 << 31)
 
@@ -70,7 +71,7 @@ class Join:
     extra: int = 10
     sketch_bits: int = 20
     bloom_bits: int = 25
-    flush: int = 1_000_000
+    flush: int = 400_000
     bucket: int = 1_000_000
     group: int = 32
     block: int = 512
@@ -278,11 +279,18 @@ class _Groups:
             found, first, at = np.unique(node, return_index=True, return_inverse=True)
             yield _rows(2, found, np.zeros_like(found), self.n[take][first], [np.bincount(at, b, len(found)) for b in self.bits(self.told[take])])
 
+    def runs(self) -> Iterator[tuple[np.ndarray, int]]:
+        """Heads and size of groups of two or more that are not hot, with a bounded number of pairs at a time."""
+        for m in np.unique(self.size[~self.hot & (self.size > 1)]).tolist():
+            heads, step = self.at[~self.hot & (self.size == m)], max(1, _PAIRS // (m * (m - 1) // 2))
+            for k in range(0, len(heads), step):
+                yield heads[k : k + step], m
+
     def pairs(self) -> Iterator[pa.RecordBatch]:
         """Other groups, of bounded size: kind 3, (larger node, smaller node) and their number of common tokens here."""
         t, a, b, told = self.join.percent, [], [], []
-        for m in np.unique(self.size[~self.hot & (self.size > 1)]).tolist():
-            at = self.at[~self.hot & (self.size == m)][:, None] + np.arange(m)
+        for heads, m in self.runs():
+            at = heads[:, None] + np.arange(m)
             i, j = (at[:, x].ravel() for x in np.triu_indices(m, 1))
             x, y = self.n[i].astype(np.int64), self.n[j].astype(np.int64)
             pass_ = 100 * np.minimum(x, y) >= t * np.maximum(x, y)
@@ -362,6 +370,7 @@ def _post(join: Join, level, buckets: int):
                     held, n = [], 0
         if n:
             yield from flush(held)
+        tx.trim()
 
     return run
 
@@ -370,26 +379,29 @@ def _gather(join: Join):
     """Groups across tasks, from rows in order of buckets, a bucket's postings at a time."""
     names = ["bucket", "kind", "a", "b", "n", *(f"c{k}" for k in range(join.orders)), "keys", "nodes"]
 
-    def blobs(batches):
+    def close(held):
+        g = _Groups.of(*(np.concatenate(x) for x in zip(*held)), join)
+        yield from g.members()
+        yield from g.shared()
+        yield from g.pairs()
+
+    def run(batches):
+        held, last = [], None
         for batch in batches:
             kind = batch.column(1).to_numpy()
             if (kind == 1).any():
-                yield None, pa.RecordBatch.from_arrays(batch.filter(pa.array(kind == 1)).columns, names=names)
+                yield pa.RecordBatch.from_arrays(batch.filter(pa.array(kind == 1)).columns, names=names)
             sent = batch.filter(pa.array(kind == 0))
             for b, k, v in zip(sent.column(0).to_pylist(), sent.column(-2), sent.column(-1)):
-                key = unpack(k)
+                if b != last and held:
+                    yield from close(held)
+                    held = []
+                last, key = b, unpack(k)
                 rest, m = np.frombuffer(v.as_buffer(), np.uint8), len(key)
-                yield b, (key, rest[: 8 * m].copy().view(np.int64), _unplanes(rest[8 * m : 12 * m], np.uint32), _unplanes(rest[12 * m :], np.uint32))
-
-    def run(batches):
-        for b, held in groupby(blobs(batches), key=lambda x: x[0]):
-            if b is None:
-                yield from (x for _, x in held)
-                continue
-            g = _Groups.of(*(np.concatenate(x) for x in zip(*(x for _, x in held))), join)
-            yield from g.members()
-            yield from g.shared()
-            yield from g.pairs()
+                held.append((key, rest[: 8 * m].copy().view(np.int64), _unplanes(rest[8 * m : 12 * m], np.uint32), _unplanes(rest[12 * m :], np.uint32)))
+        if held:
+            yield from close(held)
+        tx.trim()
 
     return run
 
@@ -434,6 +446,7 @@ def _pick_sets(join: Join, bloom):
                 take = [i for i in hit.tolist() if node[i] not in seen and not seen.add(node[i])]
                 if take:
                     yield _batch(node=node[take], tokens=[_pack(tokens[ptr[i] : ptr[i + 1]]) for i in take])
+        tx.trim()
 
     return run
 
@@ -519,9 +532,10 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> Found:
         held = held.where(f"h{k} + s{k} >= {_least(join)}").where(f"{_free(join, k)} >= (n * {join.percent} + 99) DIV 100")
     held = materialize(held)
     told = held.select("node", "n", ((F.col("h0") + F.col("s0")) / F.col("n")).alias("common"))
-    classed = materialize(hot.where("c0 > 0").select("token", "node").join(told, "node").withColumn("size", F.expr(_size(join))), hot)
-    pivots = materialize(classed.groupBy("token", "size").agg(F.max_by("node", F.struct("common", "node")).alias("pivot")))
-    members = attach(classed.withColumn("size", F.explode(F.array("size", F.col("size") - 1))), pivots, "token", "size")
+    classed = hot.where("c0 > 0").select("token", "node").join(told, "node").withColumn("own", F.expr(_size(join)))
+    classed = materialize(classed.withColumn("size", F.explode(F.array("own", F.col("own") - 1))), hot)
+    pivots = materialize(classed.where("own = size").groupBy("token", "size").agg(F.max_by("node", F.struct("common", "node")).alias("pivot")))
+    members = attach(classed, pivots, "token", "size")
     members = materialize(members.where("pivot IS NOT NULL").select("pivot", "node", "n").distinct(), classed, pivots)
     pairs = across.where("kind = 3").groupBy("a", "b").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in each])
     for x in "ab":

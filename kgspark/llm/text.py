@@ -12,6 +12,7 @@ hash with probability of about 2**-64.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +31,7 @@ _LOWER[65:91] += 32
 #: bytes hashed at a time: small enough for the CPU cache
 _SPAN = 1 << 17
 #: bytes of text tokenised at a time (a longer text is a chunk of its own)
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 _pow = _inv = np.ones(1, dtype=U64)
 
@@ -47,6 +48,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _pow, _inv
 
 
+def trim() -> None:
+    """Give freed memory back: a worker that waits for its next task holds none of the last one's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: a bijection of 64-bit numbers."""
     x = x ^ (x >> U64(30))
