@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from kgspark.llm import text as tx
 
@@ -38,7 +39,7 @@ U64 = np.uint64
 @dataclass(frozen=True)
 class Search:
     """percent: most word edits, in hundredths of an item's words; least_words: words
-    below which an item is no evidence and is not searched; walks, samples, bits:
+    below which an item must occur word for word; walks, samples, bits:
     CGK walks, samples a walk, positions a sample; block: items held at once."""
 
     percent: int = 20
@@ -127,7 +128,7 @@ class Index:
         self.search, column = search, pa.array(texts, pa.large_string())
         w = tx.words(*tx.bytes_of(column))
         n = np.diff(w.ptr)
-        keep = np.flatnonzero(n >= search.least_words)
+        keep = np.flatnonzero(n > 0)
         self.ids = [ids[i] for i in keep]
         self.words = [w.hash[w.ptr[i] : w.ptr[i + 1]] for i in keep]
         pairs = tx.ngrams(w, 2)
@@ -138,8 +139,9 @@ class Index:
         self.mask = np.zeros(1 << 20, bool)
         self.mask[(self.pairs & U64((1 << 20) - 1)).astype(np.int64)] = True
         self.tables: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        lengths = np.array([grid(len(x), search.least_words) for x in self.words], dtype=np.int64)
-        for m in np.unique(lengths).tolist():
+        # an item of few words is one exact piece and needs no embedding
+        lengths = np.array([grid(len(x), search.least_words) if len(x) >= search.least_words else 0 for x in self.words], dtype=np.int64)
+        for m in np.unique(lengths[lengths > 0]).tolist():
             of = np.flatnonzero(lengths == m)
             flat = np.concatenate([self.words[i][:m] for i in of])
             keys = embed_keys(flat, np.arange(len(of)) * m, m, search)
@@ -147,7 +149,7 @@ class Index:
         self.pieces = self.cut(w, keep)
 
     def edits(self, n: int) -> int:
-        return n * self.search.percent // 100
+        return n * self.search.percent // 100 if n >= self.search.least_words else 0
 
     def cut(self, w: tx.Words, keep: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """By length: sorted (key, item, offset) of the edits + 1 disjoint pieces of every item."""
@@ -231,9 +233,11 @@ class Index:
 def matches(docs: DataFrame, items: DataFrame, search: Search = Search()) -> DataFrame:
     """(doc_id, item_id, item_words, edits, start_word, n_words): the best place of each item in each text that has one.
 
-    Items of fewer than least_words words (null and empty ones too) are not
-    searched.  Null and empty texts have no match; a text shorter than an item
-    matches where the words that it lacks are within the edits allowed.
+    Items of fewer than least_words words match word for word only; null items and
+    those without words match nothing.  Null and empty texts have no match; a text
+    shorter than an item matches where the words that it lacks are within the edits
+    allowed, and a text of any length is searched whole, in one piece.  Of places
+    that tie in edits, the first found in the text counts.  Ids may be of any type.
     Repeated rows match as often as they occur, repeated items likewise; an empty
     table on either side gives no rows; other columns are ignored.  Items are
     held in blocks of bounded size, each against all texts, without a shuffle.
@@ -244,6 +248,7 @@ def matches(docs: DataFrame, items: DataFrame, search: Search = Search()) -> Dat
         T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("item_id", items.schema["item_id"].dataType), T.StructField("item_words", T.LongType()),
         T.StructField("edits", T.LongType()), T.StructField("start_word", T.LongType()), T.StructField("n_words", T.LongType()),
     ])
+    id_type = to_arrow_type(items.schema["item_id"].dataType)
     blocks, parts = max(1, -(-items.count() // search.block)), []
     for b in range(blocks):
         held = items.where(F.expr(f"pmod(xxhash64(item_id, text), {blocks}) = {b}")).orderBy("item_id", "text").collect() if blocks > 1 else items.orderBy("item_id", "text").collect()
@@ -257,7 +262,7 @@ def matches(docs: DataFrame, items: DataFrame, search: Search = Search()) -> Dat
                     if out := index.search_texts(tx.words(part, o)):
                         t, k, d, s, n = zip(*out)
                         yield pa.RecordBatch.from_arrays(
-                            [batch.column(0).take(pa.array(np.array(t) + i)), pa.array([index.ids[x] for x in k], pa.int64()) if all(isinstance(x, int) for x in index.ids) else pa.array([index.ids[x] for x in k])]
+                            [batch.column(0).take(pa.array(np.array(t) + i)), pa.array([index.ids[x] for x in k], id_type)]
                             + [pa.array(x, pa.int64()) for x in ([len(index.words[x]) for x in k], d, s, n)],
                             names=schema.names,
                         )

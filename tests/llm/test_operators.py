@@ -14,6 +14,7 @@ import corpus_pipeline
 from kgspark.llm import op1_decontamination as op1
 from kgspark.llm import op2_quality as op2
 from kgspark.llm import op4_pii as op4
+from kgspark.llm import stages
 from kgspark.llm import text as tx
 from kgspark.llm.components import components
 from kgspark.llm.op3_mixing import mix
@@ -196,7 +197,7 @@ def test_empty_tables(empty):
 
 def test_decontamination(spark, docs):
     rng = random.Random(9)
-    items = [prose(rng, rng.randrange(16, 56), 5000) for _ in range(60)] + [None, "", "too short"]
+    items = [prose(rng, rng.randrange(16, 56), 5000) for _ in range(60)] + [None, "", "too short to be here"]
     planted, rows = set(), []
     for i in range(240):
         k = rng.randrange(60)
@@ -371,28 +372,131 @@ def test_pii_adds_spans(spark):
     assert row["spans"] == "" and row["base_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
+def test_decontamination_of_short_items_and_any_ids(spark):
+    items = spark.createDataFrame([(1, "alpha beta gamma"), (2, "delta"), (3, None), (4, " "), (5, "one two three four five six seven")], "item_id int, text string")
+    table = spark.createDataFrame([("a", "x Alpha BETA gamma y"), ("b", "alpha gamma beta"), ("c", "delta"), (None, "zz delta delta"), ("e", "one two three four five six"), ("f", None)], "doc_id string, text string")
+    got = sorted(((r["doc_id"], r["item_id"], r["edits"]) for r in op1.matches(table, items).collect()), key=str)
+    assert got == sorted([("a", 1, 0), ("c", 2, 0), (None, 2, 0)], key=str)
+    named = op1.matches(table, items.select(F.concat(F.lit("i"), "item_id").alias("item_id"), "text"))
+    assert {r["item_id"] for r in named.collect()} == {"i1", "i2"}
+
+
+#: labelled by hand, other than what thresholds were calibrated on
+PASSAGES = [
+    ("reach us: kim(at)lab.example today", {"email=kim(at)lab.example"}), ("we stopped at noon. Then we slept", set()), ("met at school.de was fine", None),
+    ("node 172[.]16[.]0[.]9 down", {"ip=172[.]16[.]0[.]9"}), ("row 900[.]16[.]0[.]9 down", set()),
+    ("mm 4539578763621486 1111222233334445 nn", {"card=4539578763621486"}), ("item 4539578763621487 sold", set()), ("paid 3782 822463 10005 once", {"card=3782 822463 10005"}),
+    ("dial +1 (303) 555-0199 10.20.30.40 then", {"phone=+1 (303) 555-0199", "ip=10.20.30.40"}), ("phone: 0711/20304050 daily", {"phone=0711/20304050"}), ("from 1999 2003 2010 on", set()),
+    ("token = \"99aa0b1c2d3e4f5061728394a5b6c7d8e9f00112\" end", {"secret=99aa0b1c2d3e4f5061728394a5b6c7d8e9f00112"}), ("at commit 99aa0b1c2d3e4f5061728394a5b6c7d8e9f00112 end", set()), ("Verkehrsinfrastruktur2030planung", set()),
+]
+
+
+def test_pii_adds_true_spans_only():
+    trees, thresholds = op4.train()
+    assert all(0 < t < 1 for t in thresholds)
+    for text, want in PASSAGES:
+        base = op4.base_spans(text)
+        got = {op4.KINDS[k] + "=" + text[a:b] for k, a, b in op4.find_spans(text, base, trees, thresholds)}
+        assert want is None or got == want, (text, got)
+
+
+def test_pii_choice_of_spans_is_greedy():
+    """The chosen spans, by brute force over all candidates."""
+    trees, thresholds = op4.train()
+    rng = random.Random(8)
+    bits = ["4111111111111111", " ", "-", "+1 ", "(212) 555-0187", "a@b.cd", "jo (at) x (dot) org", "token = ", "ab12cd34ef56ab12cd34", "1.2.3.4", "10[.]0[.]0[.]1", "é", "5500005555555559", "\n", "12", "call "]
+    added = 0
+    for _ in range(300):
+        text = "".join(rng.choice(bits) for _ in range(14))
+        base = op4.base_spans(text)
+        covered = {i for _, a, b in base for i in range(a, b)}
+        rated = [(-float(trees.probability(np.array([op4.describe(text, c)]))[0]), i, c) for i, c in enumerate(op4.candidates(text))]
+        want = list(base)
+        for p, _, (k, a, b) in sorted(rated):
+            if -p >= thresholds[k] and not covered & set(range(a, b)):
+                covered |= set(range(a, b))
+                want.append((k, a, b))
+        got = op4.find_spans(text, base, trees, thresholds)
+        assert got == sorted(want) and set(base) <= set(got)
+        added += len(got) - len(base)
+    assert added > 100
+
+
+CLASHES = ["rejected", "_crc", "before", "_id", "_t", "_base", "node", "row", "key", "crc", "part", "host", "id", "times", "drop", "_h", "_b", "_in", "edges", "bucket", "kind", "label", "count", "col", "_src", "block", "x", "line", "a", "l", "r"]
+
+
+def test_clashing_columns(spark, docs):
+    """Columns that are called as an operator's own helpers change nothing and come back where columns do."""
+    some = docs.where("doc_id < 40 OR text IS NULL")
+    more = some.select("*", *[F.lit(f"of {c}").alias(c) for c in CLASHES])
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(mix(more)) == rows(mix(some)) and rows(op4.find_pii(more)) == rows(op4.find_pii(some))
+    for f in (quality_rules, shard):
+        got = f(more)
+        assert set(CLASHES) <= set(got.columns) and all(r[c] == f"of {c}" for r in got.select(*CLASHES).collect() for c in CLASHES)
+        assert rows(got.drop(*CLASHES)) == rows(f(some))
+    labels = some.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    assert rows(op2.score_documents(more, labels.withColumn("x", F.lit(1)))) == rows(op2.score_documents(some, labels))
+    assert rows(op1.matches(more, some.where("doc_id = 3").select(F.col("doc_id").alias("item_id"), "text", F.lit(0).alias("x")))) != []
+    for stage in (stages.rules, stages.near_duplicates, stages.mixed, stages.sharded):
+        got = stage(spark, more, "")
+        assert set(more.columns) <= set(got.columns) and rows(got.drop(*CLASHES)) == rows(stage(spark, some, ""))
+
+
+def test_stages_of_empty_tables_and_nulls(spark, empty, tmp_path):
+    spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0
+    assert op1.matches(empty, spark.read.parquet(str(tmp_path / "benchmark.parquet"))).count() == 0
+    assert op2.score_documents(empty, spark.createDataFrame([], "doc_id bigint, quality int")).count() == 0
+    assert format_chats(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).count() == 0
+    assert remove_lines(empty, later_matches(empty, Join(lines=True, orders=1, **SMALL))).count() == 0
+    nulls = spark.createDataFrame([(None, None, None, None, None), (None, "a b c d e f g h i j k l", None, None, None), (3, "", None, "s", 0)], DOCS)
+    assert stages.rules(spark, nulls, "").count() == 1
+    # a null id is an id: rows that share it go together
+    assert [r["doc_id"] for r in stages.decontaminated(spark, nulls, str(tmp_path)).collect()] == [3]
+    assert stages.sharded(spark, nulls, str(tmp_path)).count() == 3
+
+
 def test_language_model(docs):
+    """Scores are those of the recursive formula, the held-out texts' too."""
     flagged = docs.withColumn("held_out", F.col("doc_id") % 5 == 1)
-    got = {r["doc_id"]: r for r in score_texts(flagged, Model(strength=2.0, block_bytes=20_000)).collect()}
     texts = {r[0]: r[1] for r in docs.collect()}
-    one, two = {}, {}
-    for i, t in texts.items():
-        if i % 5 != 1:
+    for m, block in ((2.0, 20_000), (0.5, 1 << 20)):
+        got = {r["doc_id"]: r for r in score_texts(flagged.withColumn("block", F.lit("clash")), Model(strength=m, block_bytes=block, bucket_bytes=9_000)).collect()}
+        counts, starts = {}, 0
+        for i, t in texts.items():
+            if i % 5 != 1:
+                seq = ["<s>", *words(t), "</s>"]
+                starts += 1
+                for j in range(1, len(seq)):
+                    for k in range(min(3, j + 1)):
+                        g = tuple(seq[j - k : j + 1])
+                        counts[g] = counts.get(g, 0) + 1
+        n, v = sum(c for g, c in counts.items() if len(g) == 1), sum(len(g) == 1 for g in counts)
+
+        def p(w, context):
+            if not context:
+                return (counts.get((w,), 0) + 0.5) / (n + 0.5 * (v + 1))
+            seen = starts if context == ("<s>",) else counts.get(context, 0)
+            return (counts.get((*context, w), 0) + m * p(w, context[1:])) / (seen + m)
+
+        for i, t in texts.items():
             seq = ["<s>", *words(t), "</s>"]
-            for a, b in zip(seq, seq[1:]):
-                one[b] = one.get(b, 0) + 1
-                two[a, b] = two.get((a, b), 0) + 1
-    n, v, starts = sum(one.values()), len(one), one["</s>"]
-    for i, t in texts.items():
-        seq = ["<s>", *words(t), "</s>"]
-        base = score = 0.0
-        for a, b in zip(seq, seq[1:]):
-            p = (one.get(b, 0) + 0.5) / (n + 0.5 * (v + 1))
-            base += np.log10(p)
-            score += np.log10((two.get((a, b), 0) + 2 * p) / ((starts if a == "<s>" else one.get(a, 0)) + 2))
-        r = got[i]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(seq) - 1, sum(w in one for w in seq[1:]), n)
-        assert r["base_score"] == pytest.approx(base) and r["score"] == pytest.approx(score)
+            base = sum(np.log10(p(w, ())) for w in seq[1:])
+            score = sum(np.log10(p(seq[j], tuple(seq[max(0, j - 2) : j]))) for j in range(1, len(seq)))
+            r = got[i]
+            assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(seq) - 1, sum((w,) in counts for w in seq[1:]), n)
+            assert r["base_score"] == pytest.approx(base) and r["score"] == pytest.approx(score)
+
+
+def test_language_model_edge_cases(spark):
+    table = spark.createDataFrame([(None, None, None)] * 30 + [(1, "a b a b", True), (1, "a b a b", True), (2, "", True), (3, "x " * 30_000, False)], "doc_id bigint, text string, held_out boolean")
+    got = [tuple(r) for r in score_texts(table, Model(block_bytes=100)).collect()]
+    assert len(got) == 34 and sum(r[0] is None for r in got) == 30 and {r[2] for r in got if r[0] == 3} == {30_001}
+    assert {r[4] for r in got} == {30 + 30_001} and len({r[5:] for r in got if r[0] == 1}) == 1
+    nothing = score_texts(table.withColumn("held_out", F.lit(True))).collect()
+    assert {(r["n_known"], r["train_tokens"]) for r in nothing} == {(0, 0)} and all(np.isfinite(r["score"]) for r in nothing)
 
 
 def test_chat_round_trip(spark):
