@@ -45,6 +45,8 @@ U64 = np.uint64
 END, START = U64(0x0123456789ABCDEF), U64(0xFEDCBA9876543210)
 #: orders of n-grams that are counted
 ORDERS = (1, 2, 3)
+#: orders that are asked for at a time: what a round has moved is deleted before the next
+_ROUNDS = ((1, 2), (3,))
 _STEP = U64(0xD1342543DE82EF95)
 
 
@@ -151,7 +153,7 @@ def _runs(batches, key: int):
 _ASK = "bucket int, kind int, block bigint, keys binary, counts binary"
 
 
-def _ask(buckets: int):
+def _ask(buckets: int, orders: tuple[int, ...]):
     """What each block needs: for each bucket the hashes of its n-grams and their training counts here."""
 
     def run(batches):
@@ -159,7 +161,8 @@ def _ask(buckets: int):
             table = _table([x["rows"] for x in held])
             t = Tokens.of(table.column(1))
             train = ~np.asarray(table.column(2).to_numpy(zero_copy_only=False), bool)[t.text]
-            for kind, keys, at in zip(ORDERS, t.known, t.gram):
+            for kind in orders:
+                keys, at = t.known[kind - 1], t.gram[kind - 1]
                 counts = np.bincount(at[train], minlength=len(keys)).astype(np.uint32)
                 edge = _cut(keys, buckets)
                 for b in np.flatnonzero(np.diff(edge)).tolist():
@@ -290,9 +293,13 @@ def score_texts(docs: DataFrame, model: Model = Model()) -> DataFrame:
         T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
     ])
     blocked = materialize(dealt)
-    asked = blocked.repartition(int(blocks), "block").sortWithinPartitions("block").mapInArrow(_ask(buckets), _ASK)
-    answers = materialize(asked.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_answer, _ANSWER))
-    release(spark)
+    told = []
+    for orders in _ROUNDS:
+        asked = blocked.repartition(int(blocks), "block").sortWithinPartitions("block").mapInArrow(_ask(buckets, orders), _ASK)
+        told.append(materialize(asked.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_answer, _ANSWER)))
+        del asked
+        release(spark)
+    answers = told[0].union(told[1])
     total, types = answers.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
 
     def score(batches):
@@ -316,8 +323,8 @@ def score_texts(docs: DataFrame, model: Model = Model()) -> DataFrame:
         tx.trim()
 
     texts = blocked.select("block", "rows", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("int").alias("kind"), F.lit(None).cast("binary").alias("counts"))
-    told = answers.select("block", F.lit(None).cast("binary").alias("rows"), "bucket", "kind", "counts")
-    return materialize(texts.union(told).repartition(int(blocks), "block").sortWithinPartitions("block").mapInArrow(score, schema), answers, blocked)
+    counted = answers.select("block", F.lit(None).cast("binary").alias("rows"), "bucket", "kind", "counts")
+    return materialize(texts.union(counted).repartition(int(blocks), "block").sortWithinPartitions("block").mapInArrow(score, schema), *told, blocked)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
