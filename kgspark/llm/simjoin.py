@@ -68,12 +68,12 @@ class Join:
     percent: int = 75
     lines: bool = False
     orders: int = 3
-    extra: int = 10
+    extra: int = 4
     sketch_bits: int = 20
     bloom_bits: int = 25
     flush: int = 400_000
     bucket: int = 1_000_000
-    group: int = 32
+    group: int = 16
     block: int = 512
 
     def prefix(self, n: np.ndarray) -> np.ndarray:
@@ -86,7 +86,7 @@ class Join:
 
 
 #: lines hold one order with positions
-LINES = Join(lines=True, orders=1)
+LINES = Join(lines=True, orders=1, extra=10, group=32)
 
 
 def _line_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -348,9 +348,15 @@ def _post(join: Join, level, buckets: int):
         zero = np.zeros(1, np.int64)
         for b in np.flatnonzero(np.diff(edge)).tolist():
             s = slice(edge[b], edge[b + 1])
+            # nodes that occur often are named once
+            names, first, at = np.unique(node[s], return_index=True, return_inverse=True)
+            if 2 * len(names) > len(at):
+                names, rest = np.empty(0, np.int64), node[s].tobytes() + _planes(n[s])
+            else:
+                rest = names.tobytes() + _planes(n[s][first]) + _planes(at.astype(np.uint32))
             yield _batch(
-                bucket=np.array([b], np.int32), kind=np.zeros(1, np.int32), a=zero, b=zero, n=zero, **{f"c{k}": zero for k in range(join.orders)},
-                keys=[_pack(key[s])], nodes=[node[s].tobytes() + _planes(n[s]) + _planes(told[s])],
+                bucket=np.array([b], np.int32), kind=np.zeros(1, np.int32), a=zero, b=zero, n=np.array([len(names)], np.int64), **{f"c{k}": zero for k in range(join.orders)},
+                keys=[_pack(key[s])], nodes=[rest + _planes(told[s])],
             )
 
     def run(batches):
@@ -377,7 +383,7 @@ def _post(join: Join, level, buckets: int):
 
 def _gather(join: Join):
     """Groups across tasks, from rows in order of buckets, a bucket's postings at a time."""
-    names = ["bucket", "kind", "a", "b", "n", *(f"c{k}" for k in range(join.orders)), "keys", "nodes"]
+    columns = ["bucket", "kind", "a", "b", "n", *(f"c{k}" for k in range(join.orders)), "keys", "nodes"]
 
     def close(held):
         g = _Groups.of(*(np.concatenate(x) for x in zip(*held)), join)
@@ -390,15 +396,20 @@ def _gather(join: Join):
         for batch in batches:
             kind = batch.column(1).to_numpy()
             if (kind == 1).any():
-                yield pa.RecordBatch.from_arrays(batch.filter(pa.array(kind == 1)).columns, names=names)
+                yield pa.RecordBatch.from_arrays(batch.filter(pa.array(kind == 1)).columns, names=columns)
             sent = batch.filter(pa.array(kind == 0))
-            for b, k, v in zip(sent.column(0).to_pylist(), sent.column(-2), sent.column(-1)):
+            for b, named, k, v in zip(sent.column(0).to_pylist(), sent.column(4).to_pylist(), sent.column(-2), sent.column(-1)):
                 if b != last and held:
                     yield from close(held)
                     held = []
                 last, key = b, unpack(k)
                 rest, m = np.frombuffer(v.as_buffer(), np.uint8), len(key)
-                held.append((key, rest[: 8 * m].copy().view(np.int64), _unplanes(rest[8 * m : 12 * m], np.uint32), _unplanes(rest[12 * m :], np.uint32)))
+                u = named or m
+                node, n = rest[: 8 * u].copy().view(np.int64), _unplanes(rest[8 * u : 12 * u], np.uint32)
+                if named:
+                    at = _unplanes(rest[12 * u : 12 * u + 4 * m], np.uint32)
+                    node, n = node[at], n[at]
+                held.append((key, node, n, _unplanes(rest[len(rest) - 4 * m :], np.uint32)))
         if held:
             yield from close(held)
         tx.trim()

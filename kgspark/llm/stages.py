@@ -26,8 +26,14 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where("kept").select(*unpacked(docs.columns))
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    return docs.alias("l").join(ids.select(F.col("doc_id").alias("id")).alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.id")), how)
+#: rows of ids up to which they are broadcast, so that no text moves; beyond it texts and ids are shuffled
+FEW = 1_000_000
+
+
+def _meet(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """docs (as l) joined with ids (as r), a table (id, ...) that can be read again."""
+    right = F.broadcast(ids) if ids.count() <= FEW else ids
+    return docs.alias("l").join(right.alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.id")), how)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,15 +43,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stays are reduced to one where there are any; of rows that tie, any one.
     """
     found = ngram_components(docs)
-    kept = _only(docs, found.where("NOT doc_id <=> component_id").select("doc_id").distinct(), "left_anti")
+    kept = _meet(docs, found.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias("id")).distinct(), "left_anti")
     repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count()
     return kept.dropDuplicates(["doc_id"]) if repeated else kept
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item; rows that repeat an id go together."""
-    hit = materialize(matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct())
-    return _only(docs, hit, "left_anti")
+    hit = materialize(matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("id")).distinct())
+    return _meet(docs, hit, "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +61,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     times = mix(docs).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size")).where("size > 0")
     times = times.select(F.col("doc_id").alias("id"), F.round(F.col("taken") / F.col("size")).cast("int").alias("times")).where("times > 0")
-    joined = docs.alias("l").join(materialize(times).alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.id")))
+    joined = _meet(docs, materialize(times), "inner")
     row = F.struct(*[F.col("l.`" + c.replace("`", "``") + "`") for c in docs.columns])
     return joined.select(F.explode(F.array_repeat(row, F.col("r.times"))).alias("row")).select(*unpacked(docs.columns))
 
