@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 
 #: a key is heavy if it holds more than one row in this many; so at most this many are
 HEAVY = 10_000
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: folders of the tables made in each open scope, innermost last
 _scopes: list[list[str]] = []
 
@@ -33,27 +33,12 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/kgspark/{uuid.uuid4().hex}"
 
 
-@contextmanager
-def _tidy(spark: SparkSession) -> Iterator[None]:
-    """What runs inside deletes its shuffle files at its end, as nothing reads them again."""
-    before = spark.conf.get(_CLEANUP, None)
-    if before is None:  # a Spark that has no such setting
-        yield
-        return
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANUP, before)
-
-
 def materialize(df: DataFrame, *used: DataFrame) -> DataFrame:
     """Write df as a shared table and read it back; then delete the tables `used`, which nothing else needs."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
     if _scopes:
         _scopes[-1].append(path)
-    with _tidy(spark):
-        df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     for table in used:
         drop_table(table)
     return spark.read.schema(df.schema).parquet(path)
@@ -89,9 +74,15 @@ def scope(spark: SparkSession) -> Iterator[list[DataFrame]]:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    Objects that Python has let go reach the JVM a little later, and the first
+    collection after that only queues what it finds: so there are two.
+    """
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        time.sleep(0.2)
+        spark.sparkContext._jvm.System.gc()
 
 
 def attach(left: DataFrame, right: DataFrame, *keys: str, counts: DataFrame | None = None) -> DataFrame:
