@@ -169,6 +169,6 @@ def compare(members: DataFrame, sets: DataFrame, join: Join, find: Callable) ->
     theirs = f"if(_shut > 0, transform(sequence(0, _shut - 1), k -> {place % ('true', '_b', 'k', 'false')}), array())"
     shut = f"transform(sequence(0, _open - 1), k -> {place % ('true', 'k', '_b', 'true')})"
     dealt = dealt.select("pivot", F.explode(F.expr(f"if(open, concat({mine}, {theirs}), {shut})")).alias("_p"), "node", "n", *told)
-    rows = dealt.join(sets, "node").select("pivot", "_p.closed", "_p.i", "_p.j", "_p.other", "node", "tokens", *told)
+    rows = dealt.join(sets.select("node", "tokens"), "node").select("pivot", "_p.closed", "_p.i", "_p.j", "_p.other", "node", "tokens", *told)
     rows = rows.repartition("pivot", "closed", "i", "j").sortWithinPartitions("pivot", "closed", "i", "j")
     return rows.mapInArrow(_compare(join, find), T.StructType([T.StructField(x, T.LongType()) for x in "ab"]))

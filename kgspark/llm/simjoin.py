@@ -68,12 +68,12 @@ class Join:
     percent: int = 75
     lines: bool = False
     orders: int = 3
-    extra: int = 4
+    extra: int = 10
     sketch_bits: int = 20
     bloom_bits: int = 25
     flush: int = 400_000
     bucket: int = 1_000_000
-    group: int = 16
+    group: int = 32
     block: int = 512
 
     def prefix(self, n: np.ndarray) -> np.ndarray:
@@ -86,7 +86,7 @@ class Join:
 
 
 #: lines hold one order with positions
-LINES = Join(lines=True, orders=1, extra=10, group=32)
+LINES = Join(lines=True, orders=1)
 
 
 def _line_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,6 +145,17 @@ def unpack(blob) -> np.ndarray:
     return np.cumsum(_unplanes(np.frombuffer(blob.as_buffer(), np.uint8), U64))
 
 
+def _marks(tokens: np.ndarray) -> bytes:
+    """24 bits of each token, sorted: a quarter of the set's bytes."""
+    marks = (tx.mix(tokens) >> U64(40)).astype(np.uint32)
+    marks.sort()
+    return _planes(np.diff(marks, prepend=np.uint32(0)))
+
+
+def _read_marks(blob) -> np.ndarray:
+    return np.cumsum(_unplanes(np.frombuffer(blob.as_buffer(), np.uint8), np.uint32), dtype=np.uint32)
+
+
 def _describe(join: Join):
     """Records as rows, and this task's part of the sketch as blobs."""
 
@@ -456,7 +467,8 @@ def _pick_sets(join: Join, bloom):
                 hit = np.flatnonzero(mask[one] & mask[two] & (np.diff(ptr) > 0))
                 take = [i for i in hit.tolist() if node[i] not in seen and not seen.add(node[i])]
                 if take:
-                    yield _batch(node=node[take], tokens=[_pack(tokens[ptr[i] : ptr[i + 1]]) for i in take])
+                    each = [tokens[ptr[i] : ptr[i + 1]] for i in take]
+                    yield _batch(node=node[take], tokens=[_pack(x) for x in each], marks=[_marks(x) for x in each])
         tx.trim()
 
     return run
@@ -472,7 +484,18 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
-def _verify(join: Join):
+def may_be_similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """False only if the sets of which these are the marks are not similar: common tokens have common marks."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    most = min(int((y[at] == x).sum()), len(y))
+    return 100 * most >= percent * (len(x) + len(y) - most)
+
+
+def _passing(join: Join, read, test):
+    """The pairs of rows (a, b, x, y) that pass a test of x and y."""
+
     def run(batches):
         last, pivot = None, None
         for batch in batches:
@@ -480,18 +503,20 @@ def _verify(join: Join):
             ok = np.zeros(len(a), bool)
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
                 if b[i] != last:
-                    last, pivot = b[i], unpack(y)
-                ok[i] = similar(unpack(x), pivot, join.percent)
+                    last, pivot = b[i], read(y)
+                ok[i] = test(read(x), pivot, join.percent)
             yield _batch(a=a[ok], b=b[ok])
 
     return run
 
 
 def verify(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """The similar ones of pairs (a, b) of nodes."""
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
-    both = left.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_verify(join), "a bigint, b bigint")
+    """The similar ones of pairs (a, b) of nodes: marks first, whole sets of those that may be."""
+    for column, read, test in (("marks", _read_marks, may_be_similar), ("tokens", unpack, similar)):
+        left = pairs.join(sets.select(F.col("node").alias("a"), F.col(column).alias("x")), "a")
+        both = left.join(sets.select(F.col("node").alias("b"), F.col(column).alias("y")), "b")
+        pairs = both.select("a", "b", "x", "y").mapInArrow(_passing(join, read, test), "a bigint, b bigint")
+    return pairs
 
 
 @dataclass
@@ -558,8 +583,8 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> Found:
     drop_table(across), drop_table(held)
     live = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     bloom = spark.sparkContext.broadcast(_bloom(live, join.bloom_bits))
-    picked = rows.mapInArrow(_pick_sets(join, bloom), "node bigint, tokens binary").join(live, "node", "left_semi")
-    sets = materialize(picked.groupBy("node").agg(F.first("tokens").alias("tokens")))
+    picked = rows.mapInArrow(_pick_sets(join, bloom), "node bigint, tokens binary, marks binary").join(live, "node", "left_semi")
+    sets = materialize(picked.groupBy("node").agg(F.first("tokens").alias("tokens"), F.first("marks").alias("marks")))
     links = materialize(verify(pairs, sets, join))
     drop_table(pairs)
     release(spark)

@@ -3,7 +3,8 @@
 Every stage takes whole tables and whole texts of any length.  A null text counts
 as empty, a null source is a source of its own without a host's verdict, a null
 doc_id is an id.  Columns beyond those of documents stay, whatever they are called;
-an empty table gives an empty one.
+an empty table gives an empty one.  A stage's result is to be written before the
+next stage is called, which deletes the tables that the result was read from.
 """
 
 from __future__ import annotations
@@ -17,15 +18,33 @@ from kgspark.llm.op3_mixing import mix
 from kgspark.llm.op5_ngram_join import ngram_components
 from kgspark.llm.op9_host_rules import judge
 from kgspark.llm.op10_sharding import shard
-from kgspark.llm.shared import materialize
+from kgspark.llm.shared import drop_table, materialize
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule and no host verdict rejects; repeated rows are judged alike."""
+    _start(docs)
     judged = judge(docs.select(packed(docs).alias("row"), F.col("source").alias("host"), "text"))
+    _left.append(judged)
     return judged.where("kept").select(*unpacked(docs.columns))
 
 
+#: tables that the stage before still needed until its result was written
+_left: list[DataFrame] = []
+
+
+def _start(docs: DataFrame) -> None:
+    """Deletes what the stage before left: its result is written by now, and docs are read from there.
+
+    Tables that docs still come from stay.
+    """
+    read = {f.rpartition("/")[0] for f in docs.inputFiles()} if _left else set()
+    for table in list(_left):
+        if not read & {f.rpartition("/")[0] for f in table.inputFiles()}:
+            _left.remove(table)
+            drop_table(table)
+
+
 #: rows of ids up to which they are broadcast, so that no text moves; beyond it texts and ids are shuffled
 FEW = 1_000_000
 
@@ -42,7 +61,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Only the ids that go are joined to the texts.  Rows that repeat a doc_id that
     stays are reduced to one where there are any; of rows that tie, any one.
     """
+    _start(docs)
     found = ngram_components(docs)
+    _left.append(found)
     kept = _meet(docs, found.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias("id")).distinct(), "left_anti")
     repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count()
     return kept.dropDuplicates(["doc_id"]) if repeated else kept
@@ -50,7 +71,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item; rows that repeat an id go together."""
+    _start(docs)
     hit = materialize(matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("id")).distinct())
+    _left.append(hit)
     return _meet(docs, hit, "left_anti")
 
 
@@ -59,13 +82,18 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat a doc_id are taken as often as all of them together, evenly.
     """
-    times = mix(docs).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size")).where("size > 0")
+    _start(docs)
+    mixed_ = mix(docs)
+    times = mixed_.groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size")).where("size > 0")
     times = times.select(F.col("doc_id").alias("id"), F.round(F.col("taken") / F.col("size")).cast("int").alias("times")).where("times > 0")
-    joined = _meet(docs, materialize(times), "inner")
+    times = materialize(times, mixed_)
+    _left.append(times)
+    joined = _meet(docs, times, "inner")
     row = F.struct(*[F.col("l.`" + c.replace("`", "``") + "`") for c in docs.columns])
     return joined.select(F.explode(F.array_repeat(row, F.col("r.times"))).alias("row")).select(*unpacked(docs.columns))
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their shard and slot; ties and repeated rows are dealt like others."""
+    _start(docs)
     return shard(docs)
