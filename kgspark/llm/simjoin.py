@@ -49,6 +49,10 @@ U64 = np.uint64
 _PARTS = 16
 #: pairs that a task holds at once before they are filtered, about
 _PAIRS = 250_000
+#: rows of one kind that a task adds up before it sends them on, about
+_SUMS = 1_000_000
+#: buckets of postings that a task gathers, one after the other
+_BUCKETS = 3
 #: marks the one posting that stands for a group that is hot within its task
 _MARK = np.uint32(1 << 31)
 
@@ -282,13 +286,13 @@ class _Groups:
         if member.any():
             yield _rows(1, self.key[member].view(np.int64), self.node[member], self.n[member], self.bits(self.told[member]))
 
-    def shared(self) -> Iterator[pa.RecordBatch]:
-        """Other groups of two or more: kind 2, (node, 0) and its number of tokens here."""
+    def shared(self) -> Iterator[tuple]:
+        """Other groups of two or more: (node, 0), its size and its number of tokens here."""
         take = np.repeat(~self.hot & (self.size > 1), self.size)
         node = self.node[take]
         if len(node):
             found, first, at = np.unique(node, return_index=True, return_inverse=True)
-            yield _rows(2, found, np.zeros_like(found), self.n[take][first], [np.bincount(at, b, len(found)) for b in self.bits(self.told[take])])
+            yield found, np.zeros_like(found), self.n[take][first].astype(np.int64), [np.bincount(at, b, len(found)).astype(np.int64) for b in self.bits(self.told[take])]
 
     def runs(self) -> Iterator[tuple[np.ndarray, int]]:
         """Heads and size of groups of two or more that are not hot, with a bounded number of pairs at a time."""
@@ -297,8 +301,8 @@ class _Groups:
             for k in range(0, len(heads), step):
                 yield heads[k : k + step], m
 
-    def pairs(self) -> Iterator[pa.RecordBatch]:
-        """Other groups, of bounded size: kind 3, (larger node, smaller node) and their number of common tokens here."""
+    def pairs(self) -> Iterator[tuple]:
+        """Other groups, of bounded size: (larger node, smaller node), 0 and their number of common tokens here."""
         t, a, b, told = self.join.percent, [], [], []
         for heads, m in self.runs():
             at = heads[:, None] + np.arange(m)
@@ -318,12 +322,35 @@ class _Groups:
             told.append(both)
         if sum(map(len, a)):
             a, b, told = np.concatenate(a), np.concatenate(b), np.concatenate(told)
-            order = np.lexsort((b, a))
-            a, b, told = a[order], b[order], told[order]
-            fresh = np.ones(len(a), bool)
-            fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            at = np.flatnonzero(fresh)
-            yield _rows(3, a[at], b[at], np.zeros(len(at), np.int64), [np.add.reduceat(x, at) for x in self.bits(told)])
+            yield _added(a, b, np.zeros(len(a), np.int64), self.bits(told))
+
+
+def _added(a: np.ndarray, b: np.ndarray, n: np.ndarray, counts: list[np.ndarray]) -> tuple:
+    """Rows (a, b, n, counts) with each (a, b) once and its counts added up."""
+    order = np.lexsort((b, a))
+    a, b, n = a[order], b[order], n[order]
+    fresh = np.ones(len(a), bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    at = np.flatnonzero(fresh)
+    return a[at], b[at], n[at], [np.add.reduceat(x[order], at) for x in counts]
+
+
+class _Sums:
+    """Rows of one kind that a task adds up over its buckets, up to a bounded number."""
+
+    def __init__(self, kind: int):
+        self.kind, self.held = kind, []
+
+    def add(self, rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        self.held += rows
+        if sum(len(x[0]) for x in self.held) > _SUMS:
+            yield from self.close()
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            a, b, n, counts = zip(*self.held)
+            self.held = []
+            yield _rows(self.kind, *_added(np.concatenate(a), np.concatenate(b), np.concatenate(n), [np.concatenate(x) for x in zip(*counts)]))
 
 
 def _rows(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, counts: list[np.ndarray], bucket: np.ndarray | None = None) -> pa.RecordBatch:
@@ -396,14 +423,14 @@ def _gather(join: Join):
     """Groups across tasks, from rows in order of buckets, a bucket's postings at a time."""
     columns = ["bucket", "kind", "a", "b", "n", *(f"c{k}" for k in range(join.orders)), "keys", "nodes"]
 
-    def close(held):
+    def close(held, shared, pairs):
         g = _Groups.of(*(np.concatenate(x) for x in zip(*held)), join)
         yield from g.members()
-        yield from g.shared()
-        yield from g.pairs()
+        yield from shared.add(g.shared())
+        yield from pairs.add(g.pairs())
 
     def run(batches):
-        held, last = [], None
+        held, last, sums = [], None, (_Sums(2), _Sums(3))
         for batch in batches:
             kind = batch.column(1).to_numpy()
             if (kind == 1).any():
@@ -411,7 +438,7 @@ def _gather(join: Join):
             sent = batch.filter(pa.array(kind == 0))
             for b, named, k, v in zip(sent.column(0).to_pylist(), sent.column(4).to_pylist(), sent.column(-2), sent.column(-1)):
                 if b != last and held:
-                    yield from close(held)
+                    yield from close(held, *sums)
                     held = []
                 last, key = b, unpack(k)
                 rest, m = np.frombuffer(v.as_buffer(), np.uint8), len(key)
@@ -422,7 +449,9 @@ def _gather(join: Join):
                     node, n = node[at], n[at]
                 held.append((key, node, n, _unplanes(rest[len(rest) - 4 * m :], np.uint32)))
         if held:
-            yield from close(held)
+            yield from close(held, *sums)
+        for x in sums:
+            yield from x.close()
         tx.trim()
 
     return run
@@ -554,8 +583,8 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> Found:
     tokens = records.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     share = 1 - (join.percent - join.extra) / 100
     postings = int(tokens * (1 - (1 - share) ** join.orders))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-postings // (2 * join.bucket)))
-    posted = rows.mapInArrow(_post(join, level, 2 * parts), _postings(join))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-postings // (_BUCKETS * join.bucket)))
+    posted = rows.mapInArrow(_post(join, level, _BUCKETS * parts), _postings(join))
     across = materialize(posted.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_gather(join), _postings(join)).drop("bucket", "keys", "nodes"))
     release(spark)
     each = range(join.orders)
