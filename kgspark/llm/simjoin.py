@@ -77,7 +77,7 @@ class Join:
     bloom_bits: int = 25
     flush: int = 400_000
     bucket: int = 1_000_000
-    group: int = 32
+    group: int = 16
     block: int = 512
 
     def prefix(self, n: np.ndarray) -> np.ndarray:
@@ -90,7 +90,7 @@ class Join:
 
 
 #: lines hold one order with positions
-LINES = Join(lines=True, orders=1)
+LINES = Join(lines=True, orders=1, group=32)
 
 
 def _line_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
