@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: white space as Python has it: four control characters more than Java's
+_WHITE = r"\s\x1c-\x1f"
 
 
 def strip(c: Column) -> Column:
     """Without leading and trailing Unicode white space."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(c, rf"(?U)^[{_WHITE}]+|[{_WHITE}]+$", "")
 
 
 def normalize_name(c: Column) -> Column:
     """Lower case, white space and underscores as one space, then no punctuation."""
-    spaced = F.regexp_replace(strip(F.lower(c)), r"(?U)[\s_]+", " ")
-    return strip(F.regexp_replace(spaced, r"(?U)[^\w\s]", ""))
+    spaced = F.regexp_replace(strip(F.lower(c)), rf"(?U)[{_WHITE}_]+", " ")
+    return strip(F.regexp_replace(spaced, rf"(?U)[^\p{{L}}\p{{N}}_{_WHITE}]", ""))
 
 
 def digest(prefix: str, *parts: Column, sep: str = "\0") -> Column:

@@ -160,7 +160,7 @@ def entity_ids(spark, d):
     return names(spark, d).select("name", "type", ids.normalize_name(F.col("name")).alias("norm"), ids.entity_id(F.col("name"), F.col("type")).alias("entity_id"))
 
 
-@query(rf"SELECT doc_id, {norm(chr(39) + ' ' + chr(39) + ' || substr(text, 1, 60)')} AS norm FROM documents")
+@query(rf"SELECT doc_id, {norm(chr(39) + ' ' + chr(39) + ' || text')} AS norm FROM documents")
 def normalize_names(spark, d):
     return read(spark, d, "documents").select("doc_id", ids.normalize_name(F.concat(F.lit(" "), "text")).alias("norm"))
 

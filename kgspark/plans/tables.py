@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df written under spark.checkpoint.dir (a folder of our own only where that is unset) and read again."""
+    """df written under spark.checkpoint.dir (a folder of our own only where that is unset, in local mode) and read again."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="kgspark-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/kgspark/{uuid.uuid4().hex}"
