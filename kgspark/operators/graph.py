@@ -37,39 +37,47 @@ def first_by_group(facts: DataFrame, keys: list[str], value: str) -> DataFrame:
 def entities(facts: DataFrame) -> DataFrame:
     """First-write-wins upsert of (entity_id, name, type, aliases, doc_id, ord); mentions are counted.
 
-    Aliases are reduced to distinct arrays before they are collected.  Facts with a
-    description give their entity the first one.
+    Facts are first added up by what they say (id, name, type, aliases), before
+    the shuffle already, so that what follows is bounded by the distinct forms.
+    Facts with a description give their entity the first one.
     """
-    surface = facts.withColumn("al", F.concat(F.coalesce("aliases", F.array().cast("array<string>")), F.array("name")))
-    alias = surface.groupBy("entity_id", "al").agg(F.min("ord").alias("ord")).groupBy("entity_id").agg(ordered_set(F.col("ord"), F.col("al")).alias("aliases"))
-    core = facts.groupBy("entity_id").agg(
-        F.min_by("name", "ord").alias("name"), F.min_by("type", "ord").alias("type"), F.min_by("doc_id", "ord").alias("first_seen_doc"), F.count("*").alias("mention_count"),
-        *[F.min_by(c, "ord").alias(c) for c in facts.columns if c == "description"],
+    said = [c for c in ("name", "type", "aliases", "description") if c in facts.columns]
+    forms = facts.groupBy("entity_id", *said).agg(F.min(F.struct("ord", "doc_id")).alias("first"), F.count("*").alias("n")).withColumn("ord", F.col("first.ord"))
+    surface = F.concat(F.coalesce("aliases", F.array().cast("array<string>")), F.array("name"))
+    return forms.groupBy("entity_id").agg(
+        *[F.min_by(c, "ord").alias(c) for c in ("name", "type")], F.min("first")["doc_id"].alias("first_seen_doc"), F.sum("n").alias("mention_count"),
+        *[F.min_by(c, "ord").alias(c) for c in said if c == "description"], ordered_set(F.col("ord"), surface).alias("aliases"),
     )
-    return core.join(alias, "entity_id")
+
+
+#: what makes an edge one; its id is a digest of these
+TRIPLE = ["source_id", "target_id", "predicate"]
+
+
+def with_edge_id(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("edge_id", edge_id(*[F.col(c) for c in TRIPLE]))
 
 
 def edges(facts: DataFrame) -> DataFrame:
     """Upsert by (source, target, predicate): first tag, greatest confidence, counts of facts and documents.
 
-    The ordered sets of documents and spans are tables of their own (edge_documents,
-    edge_spans), as one edge may have any number of them.
+    Facts of one edge and document are added up first.  The ordered sets of
+    documents and spans are tables of their own (edge_documents, edge_spans), as
+    one edge may have any number of them.
     """
-    core = facts.groupBy("edge_id").agg(
-        F.min_by("source_id", "ord").alias("source_id"), F.min_by("target_id", "ord").alias("target_id"), F.min_by("predicate", "ord").alias("predicate"),
-        F.min_by("provenance_tag", "ord").alias("provenance_tag"), F.round(F.max("confidence"), 6).alias("confidence"), F.count("*").alias("n_facts"), F.count_distinct("doc_id").alias("n_docs"),
-    )
-    return core
+    told = facts.groupBy(*TRIPLE, "doc_id").agg(F.min(F.struct("ord", "provenance_tag")).alias("first"), F.max("confidence").alias("confidence"), F.count("*").alias("n"))
+    core = told.groupBy(*TRIPLE).agg(F.min("first")["provenance_tag"].alias("provenance_tag"), F.round(F.max("confidence"), 6).alias("confidence"), F.sum("n").alias("n_facts"), F.count("*").alias("n_docs"))
+    return with_edge_id(core)
 
 
 def edge_documents(facts: DataFrame) -> DataFrame:
-    """(edge_id, doc_id, position) of each edge's source documents in order of first appearance."""
-    return first_by_group(facts, ["edge_id"], "doc_id")
+    """(edge_id, doc_id, ord) of each edge's source documents; ord: where each appears first."""
+    return with_edge_id(first_by_group(facts, TRIPLE, "doc_id")).select("edge_id", "doc_id", "ord")
 
 
 def edge_spans(facts: DataFrame) -> DataFrame:
     """(edge_id, evidence_span, ord) of each edge's distinct spans; ord: where each appears first."""
-    return first_by_group(facts.where("evidence_span IS NOT NULL"), ["edge_id"], "evidence_span")
+    return with_edge_id(first_by_group(facts.where("evidence_span IS NOT NULL"), TRIPLE, "evidence_span")).select("edge_id", "evidence_span", "ord")
 
 
 def resolve(relations: DataFrame, surfaces: DataFrame) -> DataFrame:
@@ -82,7 +90,7 @@ def resolve(relations: DataFrame, surfaces: DataFrame) -> DataFrame:
     out = relations
     for end in ("source", "target"):
         out = out.join(named.select("chunk_id", F.col("name").alias(end), F.col("id").alias(f"{end}_id")), ["chunk_id", end])
-    return out.withColumn("edge_id", edge_id(F.col("source_id"), F.col("target_id"), F.col("predicate")))
+    return with_edge_id(out)
 
 
 def unresolved(relations: DataFrame, surfaces: DataFrame) -> DataFrame:
@@ -102,7 +110,7 @@ def builder_stats(entity_facts: DataFrame, edge_facts: DataFrame, known: DataFra
     fresh = entity_facts if known is None else entity_facts.join(known.select("entity_id"), "entity_id", "left_anti")
     e = fresh.agg(F.count_distinct("entity_id").alias("entities_created"))
     a = entity_facts.agg(F.count("*").alias("n"), F.count("*").alias("mentions_created"))
-    r = edge_facts.agg(F.count_distinct("edge_id").alias("edges_created"), F.count("*").alias("m"))
+    r = edge_facts.agg(F.count_distinct(*TRIPLE).alias("edges_created"), F.count("*").alias("m"))
     # three single-row aggregates side by side
     row = e.withColumn("k", F.lit(1)).join(a.withColumn("k", F.lit(1)), "k").join(r.withColumn("k", F.lit(1)), "k")
     return row.select("entities_created", (F.col("n") - F.col("entities_created")).alias("entities_updated"), "mentions_created", "edges_created", (F.col("m") - F.col("edges_created")).alias("edges_updated"))

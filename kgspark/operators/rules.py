@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kgspark.functions.ids import edge_id, entity_id
+from kgspark.functions.ids import entity_id
 
 #: allowed types of both ends of each predicate (fixed values)
 SIGNATURES = {
@@ -28,9 +28,16 @@ def provenance_band(confidence):
     return F.when(confidence >= 0.85, "EXTRACTED").when(confidence >= 0.7, "INFERRED").otherwise("AMBIGUOUS")
 
 
+def _named(table: DataFrame, name: str, kind: str, id_: str) -> DataFrame:
+    """A table with the entity id of its names: hashed once a row here, not once a fact."""
+    return table.withColumn(id_, entity_id(F.col(name), F.lit(kind)))
+
+
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per chunk with the names of its five entities and the scores of its edges."""
+    """One row per chunk with the names and ids of its five entities and the scores of its edges."""
     t = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("lineitem", "orders", "customer", "supplier", "nation", "region", "part")}
+    for table, name, kind, id_ in (("customer", "c_name", "Person", "c_id"), ("supplier", "s_name", "Organization", "s_id"), ("nation", "n_name", "Location", "n_id"), ("region", "r_name", "Location", "r_id"), ("part", "p_name", "Work", "p_id")):
+        t[table] = _named(t[table], name, kind, id_)
     return (
         t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t["customer"], F.col("o_custkey") == F.col("c_custkey")).join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
@@ -40,38 +47,44 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("doc_"), F.col("l_orderkey").cast("string")).alias("doc_id"),
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("chunk_id"),
             F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("key"),
-            "s_name", "n_name", "r_name", "p_name", "c_name", (1 - F.col("l_discount")).alias("located"), (1 - F.col("l_tax")).alias("member"),
+            "s_name", "n_name", "r_name", "p_name", "c_name", "s_id", "n_id", "r_id", "p_id", "c_id",
+            (1 - F.col("l_discount")).alias("located"), (1 - F.col("l_tax")).alias("member"),
         )
     )
 
 
 def entity_facts(rows: DataFrame) -> DataFrame:
-    """(doc_id, chunk_id, ent_ord, name, type, aliases, entity_id, ord)."""
-    ents = [("s_name", "Organization"), ("n_name", "Location"), ("r_name", "Location"), ("p_name", "Work"), ("c_name", "Person")]
-    each = F.posexplode(F.array(*[F.struct(F.col(c).alias("name"), F.lit(k).alias("type")) for c, k in ents])).alias("ent_ord", "e")
-    out = rows.select("doc_id", "chunk_id", "key", each).select("doc_id", "chunk_id", "key", "ent_ord", "e.name", "e.type")
-    return out.withColumn("aliases", F.array(F.lower("name"))).withColumn("entity_id", entity_id(F.col("name"), F.col("type"))).withColumn("ord", F.struct("key", "ent_ord"))
+    """(doc_id, chunk_id, key, ent_ord, name, type, entity_id, aliases, ord)."""
+    ents = [("s", "Organization"), ("n", "Location"), ("r", "Location"), ("p", "Work"), ("c", "Person")]
+    each = F.posexplode(F.array(*[F.struct(F.col(f"{c}_name").alias("name"), F.lit(k).alias("type"), F.col(f"{c}_id").alias("entity_id")) for c, k in ents])).alias("ent_ord", "e")
+    out = rows.select("doc_id", "chunk_id", "key", each).select("doc_id", "chunk_id", "key", "ent_ord", "e.name", "e.type", "e.entity_id")
+    return out.withColumn("aliases", F.array(F.lower("name"))).withColumn("ord", F.struct("key", "ent_ord"))
 
 
-def relations(rows: DataFrame) -> DataFrame:
-    """(doc_id, chunk_id, source, target, predicate, confidence, provenance_tag, evidence_span, types, ord)."""
-    rel = lambda s, st, t, tt, p, c: F.struct(F.col(s).alias("source"), F.lit(st).alias("source_type"), F.col(t).alias("target"), F.lit(tt).alias("target_type"), F.lit(p).alias("predicate"), c.cast("double").alias("confidence"))
+def relation_facts(rows: DataFrame) -> DataFrame:
+    """relations with the ids of their ends; the rule extractor knows both ends' types.
+
+    The edge's own id is made from these three keys once an edge is put together.
+    """
+    rel = lambda s, st, t, tt, p, c: F.struct(
+        F.col(f"{s}_name").alias("source"), F.lit(st).alias("source_type"), F.col(f"{t}_name").alias("target"), F.lit(tt).alias("target_type"), F.lit(p).alias("predicate"),
+        c.cast("double").alias("confidence"), F.col(f"{s}_id").alias("source_id"), F.col(f"{t}_id").alias("target_id"),
+    )
     each = F.posexplode(F.array(
-        rel("s_name", "Organization", "n_name", "Location", "LOCATED_IN", F.col("located")),
-        rel("n_name", "Location", "r_name", "Location", "LOCATED_IN", F.lit(0.95)),
-        rel("c_name", "Person", "s_name", "Organization", "MEMBER_OF", F.col("member")),
-        rel("p_name", "Work", "s_name", "Organization", "FOUNDED_BY", F.lit(0.80)),
-        rel("c_name", "Person", "p_name", "Work", "BOUGHT", F.lit(0.60)),
+        rel("s", "Organization", "n", "Location", "LOCATED_IN", F.col("located")),
+        rel("n", "Location", "r", "Location", "LOCATED_IN", F.lit(0.95)),
+        rel("c", "Person", "s", "Organization", "MEMBER_OF", F.col("member")),
+        rel("p", "Work", "s", "Organization", "FOUNDED_BY", F.lit(0.80)),
+        rel("c", "Person", "p", "Work", "BOUGHT", F.lit(0.60)),
     )).alias("rel_ord", "r")
     out = rows.select("doc_id", "chunk_id", "key", each).select("doc_id", "chunk_id", "key", "rel_ord", "r.*")
     out = out.withColumn("provenance_tag", provenance_band(F.col("confidence"))).withColumn("evidence_span", F.concat_ws(" ", "source", F.lower("predicate"), "target"))
     return out.withColumn("ord", F.struct("key", "rel_ord"))
 
 
-def relation_facts(rows: DataFrame) -> DataFrame:
-    """relations with source_id, target_id and edge_id; the rule extractor knows both ends' types."""
-    out = relations(rows).withColumn("source_id", entity_id(F.col("source"), F.col("source_type"))).withColumn("target_id", entity_id(F.col("target"), F.col("target_type")))
-    return out.withColumn("edge_id", edge_id(F.col("source_id"), F.col("target_id"), F.col("predicate")))
+def relations(rows: DataFrame) -> DataFrame:
+    """(doc_id, chunk_id, source, target, predicate, confidence, provenance_tag, evidence_span, types, ord), ends by name only."""
+    return relation_facts(rows).drop("source_id", "target_id")
 
 
 def signature_ok(predicate, source_type, target_type):

@@ -620,7 +620,7 @@ def meta_counts(spark, d):
     one = F.lit(1).alias("k")
     docs = rules.payloads(spark, d).agg(F.count_distinct("doc_id").alias("doc_count")).withColumn("k", one)
     e = entity_facts(spark, d).agg(F.count_distinct("entity_id").alias("entity_count")).withColumn("k", one)
-    r = relation_facts(spark, d).agg(F.count_distinct("edge_id").alias("edge_count")).withColumn("k", one)
+    r = relation_facts(spark, d).agg(F.count_distinct(*graph.TRIPLE).alias("edge_count")).withColumn("k", one)
     return docs.join(e, "k").join(r, "k").drop("k")
 
 
