@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -12,7 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kgspark.functions.ids import cache_key
+from kgspark.functions.ids import cache_key, entity_id, strip
+from kgspark.operators.fuzzy import merge_entities
 from kgspark.operators.rules import ENTITY_TYPES, PROVENANCE_TAGS
 
 EXTRACTION = (
@@ -63,9 +65,9 @@ def user_message(path: Column, chunk_id: Column, heading: Column, text: Column)
 
 def problems(entities: Column, relationships: Column) -> Column:
     """Names of the rules that an extraction breaks; empty for a valid one."""
-    names = F.transform(entities, lambda e: F.trim(e["name"]))
+    names = F.transform(entities, lambda e: strip(e["name"]))
     checks = {
-        "entity_name": F.exists(entities, lambda e: F.coalesce(F.length(e["name"]), F.lit(0)) == 0),
+        "entity_name": F.exists(entities, lambda e: F.coalesce(F.length(strip(e["name"])), F.lit(0)) == 0),
         "entity_type": F.exists(entities, lambda e: ~F.coalesce(e["type"].isin(*ENTITY_TYPES), F.lit(False))),
         "predicate": F.exists(relationships, lambda r: ~F.coalesce(r["predicate"].rlike(r"^[A-Z][A-Z0-9_]*$"), F.lit(False))),
         "confidence": F.exists(relationships, lambda r: ~F.coalesce(r["confidence"].between(0.0, 1.0), F.lit(False))),
@@ -76,37 +78,100 @@ def problems(entities: Column, relationships: Column) -> Column:
     return F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]), lambda x: x.isNotNull())
 
 
+def problems_of(payload: dict) -> list[str]:
+    """Names of the rules that a parsed payload breaks: problems() for the step that calls a backend."""
+    ents, rels = payload.get("entities"), payload.get("relationships")
+    if not isinstance(ents, list) or not isinstance(rels, list) or not all(isinstance(x, dict) for x in ents + rels):
+        return ["shape"]
+    names = {str(e.get("name") or "").strip() for e in ents}
+    within = lambda c: isinstance(c, (int, float)) and not isinstance(c, bool) and 0 <= c <= 1
+    checks = {
+        "entity_name": any(not str(e.get("name") or "").strip() for e in ents),
+        "entity_type": any(e.get("type") not in ENTITY_TYPES for e in ents),
+        "predicate": any(not re.fullmatch(r"[A-Z][A-Z0-9_]*", str(r.get("predicate") or "")) for r in rels),
+        "confidence": any(not within(r.get("confidence")) for r in rels),
+        "provenance": any(r.get("provenance_tag") not in PROVENANCE_TAGS for r in rels),
+        "evidence": any(not r.get("evidence_span") for r in rels),
+        "endpoint": any(r.get("source") not in names or r.get("target") not in names for r in rels),
+    }
+    return [n for n, broken in checks.items() if broken]
+
+
+def settle(payload: dict, threshold: float = 90) -> dict:
+    """A valid payload with similar entities merged and relationships pointing at the kept names; else ValueError."""
+    if broken := problems_of(payload):
+        raise ValueError("invalid extraction: " + ", ".join(broken))
+    ents = [{"name": e["name"].strip(), "type": e["type"], "aliases": list(e.get("aliases") or []), "description": e.get("description")} for e in payload["entities"]]
+    kept, renamed = merge_entities(ents, threshold)
+    out = {"entities": kept, "relationships": [r | {end: renamed.get(r[end], r[end]) for end in ("source", "target")} for r in payload["relationships"]]}
+    if broken := problems_of(out):
+        raise ValueError("invalid after merging: " + ", ".join(broken))
+    return out
+
+
+_RESULT = "chunk_id string, cache_key string, payload string, cached boolean, input_tokens long, output_tokens long, cost_usd double, error string"
+
+
 def extract(chunks: DataFrame, cache: DataFrame, make: Callable[[], Backend], prompt_version: str = "v0", attempts: int = 4, wait: float = 0.0) -> DataFrame:
     """(chunk_id, cache_key, payload, cached, input_tokens, output_tokens, cost_usd, error) of chunks (chunk_id, message, text).
 
-    Cached payloads (cache_key, payload) that parse are used as they are; only
-    the rest reach the backend, which is made once a task.  A call that fails
-    `attempts` times gives a row with its error, and the run goes on.
+    Cached payloads (cache_key, payload) that are valid are used as they are; only
+    the rest reach the backend, which is made once a task.  An answer is validated,
+    its entities are merged and its relationships renamed within the attempt, so an
+    invalid answer is asked for again like a failed call.  A chunk that fails
+    `attempts` times gives a row with its error and no payload, and the run goes
+    on.  See fresh_entries for what belongs into the cache afterwards.
     """
     keyed = chunks.withColumn("cache_key", cache_key(F.lit(prompt_version), F.col("text")))
-    valid = cache.where(F.from_json("payload", EXTRACTION).isNotNull() & F.try_parse_json("payload").isNotNull()).select("cache_key", "payload").dropDuplicates(["cache_key"])
+    parsed = cache.select("cache_key", "payload", F.from_json("payload", EXTRACTION).alias("x")).where(F.try_parse_json("payload").isNotNull() & F.col("x.entities").isNotNull() & F.col("x.relationships").isNotNull())
+    valid = parsed.where(F.size(problems(F.col("x.entities"), F.col("x.relationships"))) == 0).groupBy("cache_key").agg(F.min("payload").alias("payload"))
+    found = keyed.join(valid, "cache_key", "left")
     zero = [F.lit(0).cast("long").alias("input_tokens"), F.lit(0).cast("long").alias("output_tokens"), F.lit(0.0).alias("cost_usd"), F.lit(None).cast("string").alias("error")]
-    hits = keyed.join(valid, "cache_key").select("chunk_id", "cache_key", "payload", F.lit(True).alias("cached"), *zero)
-    misses = keyed.join(valid, "cache_key", "left_anti").select("chunk_id", "cache_key", "message")
+    hits = found.where("payload IS NOT NULL").select("chunk_id", "cache_key", "payload", F.lit(True).alias("cached"), *zero)
+    misses = found.where("payload IS NULL").select("chunk_id", "cache_key", "message")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = make()
         for frame in frames:
             rows = []
             for chunk, key, message in zip(frame["chunk_id"], frame["cache_key"], frame["message"]):
-                answer, error = {}, None
+                answer, payload, error = {}, None, None
                 for i in range(attempts):
                     try:
-                        answer, error = backend.call(message), None
+                        answer = backend.call(message)
+                        payload, error = json.dumps(settle(json.loads(answer["payload"]))), None
                         break
-                    except Exception as e:  # any backend error is retried, then reported in the row
+                    except Exception as e:  # any error of the backend or its answer is retried, then reported in the row
                         error = f"{type(e).__name__}: {e}"
-                        time.sleep(min(20.0, wait * 2**i))
-                rows.append((chunk, key, answer.get("payload"), False, answer.get("input_tokens", 0), answer.get("output_tokens", 0), answer.get("cost_usd", 0.0), error))
-            yield pd.DataFrame(rows, columns=["chunk_id", "cache_key", "payload", "cached", "input_tokens", "output_tokens", "cost_usd", "error"])
+                        if wait and i + 1 < attempts:
+                            time.sleep(min(20.0, wait * 2**i))
+                rows.append((chunk, key, payload, False, answer.get("input_tokens", 0), answer.get("output_tokens", 0), answer.get("cost_usd", 0.0), error))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _RESULT.split(", ")])
 
-    fresh = misses.mapInPandas(run, "chunk_id string, cache_key string, payload string, cached boolean, input_tokens long, output_tokens long, cost_usd double, error string")
-    return hits.unionByName(fresh)
+    return hits.unionByName(misses.mapInPandas(run, _RESULT))
+
+
+def fresh_entries(extracted: DataFrame) -> DataFrame:
+    """(cache_key, payload) that a run adds to the cache: one for each key it had to ask for."""
+    return extracted.where("NOT cached AND payload IS NOT NULL").groupBy("cache_key").agg(F.min("payload").alias("payload"))
+
+
+def facts(extracted: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entity facts, relation facts) of extracted rows and their chunks (chunk_id, doc_id, chunk_ord, text), as operators.graph takes them.
+
+    Relations carry their ends' ids, types and aliases, found in the chunk's own
+    entities: of those of one name the last counts.  No shuffle but the join.
+    """
+    x = extracted.where("payload IS NOT NULL").select("chunk_id", F.from_json("payload", EXTRACTION).alias("x")).join(chunks.select("chunk_id", "doc_id", "chunk_ord", "text"), "chunk_id")
+    key = F.struct("doc_id", "chunk_ord", "chunk_id").alias("key")
+    ents = x.select("doc_id", "chunk_id", key, F.posexplode("x.entities").alias("ent_ord", "e")).select("doc_id", "chunk_id", "key", "ent_ord", "e.*")
+    ents = ents.withColumn("entity_id", entity_id(F.col("name"), F.col("type"))).withColumn("ord", F.struct("key", "ent_ord"))
+    rels = x.select("doc_id", "chunk_id", key, F.col("text").alias("chunk_text"), F.col("x.entities").alias("es"), F.posexplode("x.relationships").alias("rel_ord", "r")).select("*", "r.*").drop("r")
+    for end in ("source", "target"):
+        name = F.col(end)
+        at = F.try_element_at(F.filter("es", lambda e: e["name"] == name), F.lit(-1))
+        rels = rels.withColumn("_e", at).withColumn(f"{end}_type", F.col("_e.type")).withColumn(f"{end}_aliases", F.col("_e.aliases")).withColumn(f"{end}_id", entity_id(F.col("_e.name"), F.col("_e.type"))).drop("_e")
+    return ents, rels.drop("es").withColumn("ord", F.struct("key", "rel_ord"))
 
 
 def cost(model: Column, tokens_in: Column, tokens_out: Column, cache_read: Column) -> Column:

@@ -65,9 +65,10 @@ def edges(facts: DataFrame) -> DataFrame:
     documents and spans are tables of their own (edge_documents, edge_spans), as
     one edge may have any number of them.
     """
-    told = facts.groupBy(*TRIPLE, "doc_id").agg(F.min(F.struct("ord", "provenance_tag")).alias("first"), F.max("confidence").alias("confidence"), F.count("*").alias("n"))
-    core = told.groupBy(*TRIPLE).agg(F.min("first")["provenance_tag"].alias("provenance_tag"), F.round(F.max("confidence"), 6).alias("confidence"), F.sum("n").alias("n_facts"), F.count("*").alias("n_docs"))
-    return with_edge_id(core)
+    # a number leads the keys: strings that begin alike are slow to sort
+    told = facts.groupBy(F.xxhash64(*TRIPLE).alias("h"), *TRIPLE, "doc_id").agg(F.min(F.struct("ord", "provenance_tag")).alias("first"), F.max("confidence").alias("confidence"), F.count("*").alias("n"))
+    core = told.groupBy("h", *TRIPLE).agg(F.min("first")["provenance_tag"].alias("provenance_tag"), F.round(F.max("confidence"), 6).alias("confidence"), F.sum("n").alias("n_facts"), F.count("*").alias("n_docs"))
+    return with_edge_id(core.drop("h"))
 
 
 def edge_documents(facts: DataFrame) -> DataFrame:

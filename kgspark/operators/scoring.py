@@ -2,47 +2,76 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kgspark.operators.fuzzy import partial_ratio
+from kgspark.operators.fuzzy import near
 
 #: words of a name that ground nothing on their own (fixed values)
 STOPWORDS = ("a an the and or of in on at to for with by is as dr mr mrs ms st sir lord lady").split()
 
 
-def name_tokens(surface: Column) -> Column:
+def name_tokens(surface: str) -> list[str]:
     """ASCII words of four letters or more that are no stopwords."""
-    parts = F.split(F.lower(surface), "[^a-z0-9]+")
-    return F.filter(parts, lambda t: (F.length(t) >= 4) & ~t.isin(*STOPWORDS))
+    return [w for w in re.split("[^a-z0-9]+", surface.lower()) if len(w) >= 4 and w not in STOPWORDS]
+
+
+def grounded(surfaces: Iterable[str | None], target: str | None) -> bool:
+    """Whether any surface is inside the target, nearly (partial similarity of 85 or more), or by a whole word."""
+    text = (target or "").lower()
+    words = lambda: set(re.findall(r"\w+", text))
+    for s in ((s or "").strip().lower() for s in surfaces):
+        if s and text and (s in text or any(w in text and w in words() for w in name_tokens(s)) or near(s, text)):
+            return True
+    return False
+
+
+_ENDS = ["source_span", "target_span", "source_chunk", "target_chunk"]
 
 
-def grounded_native(surface: Column, target: Column) -> Column:
-    """Substring or whole-word token match, in expressions."""
-    low, t = F.lower(surface), F.lower(target)
-    words = F.exists(name_tokens(surface), lambda w: F.rlike(t, F.concat(F.lit(r"(?U)\b"), w, F.lit(r"\b"))))
-    return (low != "") & (t.contains(low) | words)
+@F.pandas_udf(T.StructType([T.StructField(n, T.BooleanType()) for n in _ENDS]))
+def _grounded_ends(sources: pd.Series, targets: pd.Series, span: pd.Series, chunk: pd.Series) -> pd.DataFrame:
+    """Both ends in span and chunk; an end whose surfaces are null is known to be in the span, a null chunk is the span."""
+    rows = []
+    for ends, s, c in zip(zip(sources, targets), span, chunk):
+        inside = [e is None or grounded(e, s) for e in ends]
+        rows.append((*inside, *[i or (c is not None and grounded(e, c)) for i, e in zip(inside, ends)]))
+    return pd.DataFrame(rows, columns=_ENDS, dtype=bool)
 
 
-@F.pandas_udf(T.BooleanType())
-def grounded_fuzzy(surface: pd.Series, target: pd.Series) -> pd.Series:
-    """Partial similarity of 85 or more; for what the native test leaves."""
-    return pd.Series([bool(s) and bool(t) and partial_ratio(s.lower(), t.lower()) >= 85 for s, t in zip(surface, target)])
+def _quoted(c: Column) -> Column:
+    return F.concat(F.lit("'"), c, F.lit("'"))
 
 
 def score(rows: DataFrame) -> DataFrame:
-    """rows (source, target, evidence_span, chunk_text, type_ok) with span_grounded, chunk_grounded and flags.
+    """rows (source, target, predicate, evidence_span, chunk_text, type_ok) with span_grounded, chunk_grounded and flags.
 
-    A null chunk text counts as the span.
+    Columns source_aliases and target_aliases, where there, give further surfaces
+    of the ends; source_type and target_type are shown in flags.  A null chunk
+    text counts as the span; a null span grounds nothing.
     """
-    span, chunk = F.col("evidence_span"), F.coalesce("chunk_text", "evidence_span")
-    ends = {e: grounded_native(F.col(e), span) for e in ("source", "target")}
-    inside = {e: ends[e] | grounded_native(F.col(e), chunk) for e in ends}
-    out = rows.withColumn("span_grounded", ends["source"] & ends["target"]).withColumn("chunk_grounded", inside["source"] & inside["target"])
-    flags = F.array(F.when(~F.col("chunk_grounded"), F.concat(F.lit("hallucinated["), "predicate", F.lit("]"))), F.when(~F.col("type_ok"), F.concat(F.lit("type-violation["), "predicate", F.lit("]"))))
-    return out.withColumn("flags", F.filter(flags, lambda x: x.isNotNull()))
+    has = set(rows.columns)
+    span, none = F.coalesce("evidence_span", F.lit("")), F.array().cast("array<string>")
+    ends = []
+    for e in ("source", "target"):
+        # a name that stands in the span as it is needs no further test, and no row in Python
+        plain = F.coalesce((F.trim(e) != "") & F.contains(F.lower(span), F.lower(e)), F.lit(False))
+        ends.append(F.when(~plain, F.concat(F.array(e), F.coalesce(F.col(f"{e}_aliases"), none) if f"{e}_aliases" in has else none)))
+    open_ = ends[0].isNotNull() | ends[1].isNotNull()
+    out = rows.withColumn("_g", _grounded_ends(*ends, F.when(open_, span), F.when(open_, F.col("chunk_text"))))
+    out = out.withColumn("span_grounded", F.col("_g.source_span") & F.col("_g.target_span")).withColumn("chunk_grounded", F.col("_g.source_chunk") & F.col("_g.target_chunk"))
+    missing = F.array_join(F.filter(F.array(*[F.when(~F.col(f"_g.{e}_chunk"), F.concat(F.lit(f"{e} "), _quoted(F.col(e)))) for e in ("source", "target")]), lambda x: x.isNotNull()), ", ")
+    kinds = [F.coalesce(F.col(f"{e}_type"), F.lit("?")) if f"{e}_type" in has else F.lit("?") for e in ("source", "target")]
+    flags = F.array(
+        F.when(~F.col("chunk_grounded"), F.concat(F.lit("hallucinated["), "predicate", F.lit("]: "), missing, F.lit(" absent from chunk; cited span: "), _quoted(F.substring(span, 1, 80)))),
+        F.when(~F.col("type_ok"), F.concat(F.lit("type-violation["), "predicate", F.lit("]: ("), kinds[0], F.lit(" -> "), kinds[1], F.lit(")"))),
+    )
+    return out.withColumn("flags", F.filter(flags, lambda x: x.isNotNull())).drop("_g")
 
 
 def report(scored: DataFrame) -> DataFrame:

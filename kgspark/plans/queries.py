@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kgspark.functions import ids, paths
 from kgspark.operators import chunker, export, extraction, fuzzy, graph, incremental, metrics, rules, scoring, vector
+from kgspark.plans import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -344,13 +345,35 @@ def predicate_signature(spark, d):
     return r.groupBy("predicate").agg(F.count("*").alias("n"), F.sum(F.col("ok").cast("long")).alias("ok"))
 
 
-@query(f"""WITH {RELS} SELECT count(*) AS n, count(*) AS n_span_grounded, count(*) AS n_chunk_grounded, count(*) FILTER (predicate <> 'FOUNDED_BY') AS n_type_ok, count(*) FILTER (predicate = 'FOUNDED_BY') AS n_flags,
-  1.0::DOUBLE AS span_grounded_rate, 1.0::DOUBLE AS chunk_grounded_rate, round(count(*) FILTER (predicate <> 'FOUNDED_BY') / count(*), 6) AS type_ok_rate FROM rels""")
+_HALLUC = f"""WITH {RELS}, h AS (SELECT predicate <> 'BOUGHT' AS s, predicate <> 'BOUGHT' OR k1 % 2 = 0 AS c, predicate <> 'FOUNDED_BY' AS t FROM rels)"""
+
+
+@query(f"""{_HALLUC} SELECT count(*) AS n, count(*) FILTER (s) AS n_span_grounded, count(*) FILTER (c) AS n_chunk_grounded, count(*) FILTER (t) AS n_type_ok, (count(*) FILTER (NOT c) + count(*) FILTER (NOT t)) AS n_flags,
+  round(count(*) FILTER (s) / count(*), 6) AS span_grounded_rate, round(count(*) FILTER (c) / count(*), 6) AS chunk_grounded_rate, round(count(*) FILTER (t) / count(*), 6) AS type_ok_rate FROM h""")
 def halluc_report(spark, d):
-    r = relation_facts(spark, d).withColumn("type_ok", rules.signature_ok(F.col("predicate"), F.col("source_type"), F.col("target_type"))).withColumn("chunk_text", F.lit(None).cast("string"))
+    """Purchases cite a bare word, and the chunk names the ends of the even orders only; last lines of an order misspell their supplier, which similarity finds."""
+    r = relation_facts(spark, d).withColumn("type_ok", rules.signature_ok(F.col("predicate"), F.col("source_type"), F.col("target_type")))
+    bought, order = F.col("predicate") == "BOUGHT", F.col("key.l_orderkey")
+    misspelt = F.when((F.col("predicate") == "MEMBER_OF") & (F.col("key.l_linenumber") == 7), F.concat(F.lit("x"), F.replace("source", F.lit("#")), F.lit("x and x"), F.replace("target", F.lit("#")), F.lit("x")))
+    r = r.withColumn("chunk_text", F.when(bought & (order % 2 == 0), F.col("evidence_span"))).withColumn("evidence_span", F.when(bought, "...").otherwise(F.coalesce(misspelt, F.col("evidence_span"))))
     return scoring.report(scoring.score(r))
 
 
+@query("""WITH r AS (SELECT o_orderkey AS k, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey), n AS (SELECT count(*) AS n, count(DISTINCT c_name) AS c, count(DISTINCT n_name) AS l, count(DISTINCT (c_name, n_name, k % 2)) AS e, count(*) FILTER (k % 2 = 0) AS even FROM r)
+SELECT n AS docs_canonicalized, 0::BIGINT AS docs_failed, n AS chunks_total, n AS chunks_extracted, 0::BIGINT AS chunks_cache_hits, 0::BIGINT AS chunks_failed, (10 * n)::BIGINT AS cost_input_tokens, (5 * n)::BIGINT AS cost_output_tokens, 0.0::DOUBLE AS cost_usd,
+  c + l AS entities_created, 2 * n - c - l AS entities_updated, 2 * n AS mentions_created, e AS relationships_created, n - e AS relationships_updated,
+  n AS n_relationships_scored, n - even AS flagged_count, 1.0::DOUBLE AS evidence_grounding_rate, 1.0::DOUBLE AS chunk_grounding_rate, round(even / n, 6) AS predicate_type_ok_rate FROM n""")
+def ingest_report(spark, d):
+    """Every order is a document that says where its customer works (even orders) or that a place wrote the customer (odd ones, a broken signature)."""
+    o = read(spark, d, "orders").join(read(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    predicate = F.when(F.col("o_orderkey") % 2 == 0, " -WORKS_AT-> ").otherwise(" -AUTHORED-> ")
+    body = F.concat(F.lit("## Order "), F.col("o_orderkey").cast("string"), F.lit("\n\nPerson:"), "c_name", predicate, F.lit("Location:"), "n_name")
+    docs = o.select(F.col("o_orderkey").cast("string").alias("doc_id"), F.concat(F.lit("orders/"), F.col("o_orderkey").cast("string")).alias("canonical_path"), body.alias("body"))
+    run = ingest.ingest(docs, ingest.RuleBackend)
+    n = docs.agg(F.count("*").alias("docs_canonicalized")).withColumn("docs_failed", F.lit(0).cast("long"))
+    return ingest.report(run, n).drop("flagged_examples")
+
+
 @query(r"""SELECT doc_id, contains(lower(text), w) AS inside, regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])' || w || '($|[^\p{L}\p{N}_])') AS word FROM (
   SELECT doc_id, text, regexp_extract(lower(text), '[a-z]{5,}') AS w FROM documents) WHERE w <> ''""")
 def grounding(spark, d):

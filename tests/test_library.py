@@ -2,12 +2,14 @@
 
 import json
 import os
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
 
 from kgspark.functions import ids
-from kgspark.operators import chunker, export, extraction, fuzzy, graph, metrics
+from kgspark.operators import chunker, export, extraction, fuzzy, graph, metrics, scoring
+from kgspark.plans import ingest
 from kgspark.plans.queries import ORACLE, QUERIES
 from kgspark.sources import corpus
 
@@ -44,6 +46,17 @@ def test_similarities():
     assert fuzzy.partial_ratio("the series", "and another, in the meantime") == pytest.approx(60.0)
 
 
+def test_near_equals_partial_ratio():
+    """The pruned test answers as the full measure does."""
+    random = Random(5)
+    word = lambda n: "".join(random.choice("abc ") for _ in range(n))
+    for _ in range(1500):
+        a, b = word(random.randrange(1, 12)), word(random.randrange(1, 30))
+        if random.random() < 0.5:  # a text that has most of the name
+            b = b[:9] + a[: len(a) // 2] + random.choice(["", "c"]) + a[len(a) // 2 :] + b[9:]
+        assert fuzzy.near(a, b) == (fuzzy.partial_ratio(a, b) >= 85), (a, b)
+
+
 def test_merge_keeps_types_apart():
     e = lambda n, t, d="": {"name": n, "type": t, "aliases": [], "description": d}
     kept, renamed = fuzzy.merge_entities([e("Sheldon Cooper", "Character"), e("Dr. Sheldon Cooper", "Character", "long"), e("Mercury", "Concept"), e("Mercury", "Location")])
@@ -81,6 +94,75 @@ def test_backend_errors_become_rows(spark):
         extraction.make_backend("unheard of")
 
 
+def _answer(*names, target="Caltech", span="Sheldon works at Caltech"):
+    ents = [{"name": n, "type": "Character", "aliases": ["Shelly"], "description": None} for n in names] + [{"name": "Caltech", "type": "Organization", "aliases": [], "description": "a school"}]
+    return {"entities": ents, "relationships": [{"source": names[-1], "target": target, "predicate": "WORKS_AT", "evidence_span": span, "confidence": 0.9, "provenance_tag": "EXTRACTED"}]}
+
+
+def test_extraction_validates_merges_and_renames(spark):
+    """An invalid answer is asked for again; a cached payload that is not valid is not used."""
+    wrong, right = json.dumps(_answer("Sheldon", target="Nowhere")), json.dumps(_answer("Sheldon Cooper", "Dr. Sheldon Cooper"))
+
+    class Flaky:
+        calls = 0
+
+        def call(self, message):
+            self.calls += 1
+            return {"payload": wrong if self.calls == 1 else right, "input_tokens": 10, "output_tokens": 5, "cost_usd": 0.5}
+
+    chunks = spark.createDataFrame([("c1", "m", "t", "d1", 0)], "chunk_id string, message string, text string, doc_id string, chunk_ord int").coalesce(1)
+    key = one(spark, ids.cache_key(F.lit("v0"), F.lit("t")))
+    cache = spark.createDataFrame([(key, wrong), (key, "not json"), (key, "{}")], "cache_key string, payload string")
+    out = extraction.extract(chunks, cache, Flaky)
+    row = out.first()
+    assert not row["cached"] and row["error"] is None
+    got = json.loads(row["payload"])
+    assert [e["name"] for e in got["entities"]] == ["Sheldon Cooper", "Caltech"] and got["relationships"][0]["source"] == "Sheldon Cooper"
+    again = extraction.extract(chunks, extraction.fresh_entries(out), extraction.MockBackend).first()
+    assert again["cached"] and json.loads(again["payload"]) == got
+    ents, rels = extraction.facts(out, chunks)
+    assert {(r["name"], r["type"]) for r in ents.collect()} == {("Sheldon Cooper", "Character"), ("Caltech", "Organization")}
+    rel = rels.first()
+    assert (rel["source_type"], rel["target_type"], rel["source_aliases"]) == ("Character", "Organization", ["Dr. Sheldon Cooper", "Shelly"])
+    assert rel["source_id"] == one(spark, ids.entity_id(F.lit("Sheldon Cooper"), F.lit("Character")))
+
+
+@pytest.mark.parametrize(("span", "chunk", "in_span", "in_chunk"), [
+    ("Sheldon Cooper is at Caltech", None, True, True),  # whole names
+    ("Shelly is at Caltech", None, True, True),  # an alias
+    ("young sheldon is at Caltech", None, True, True),  # a word of the name
+    ("xSheldonCooperx is at Caltech", None, True, True),  # nearly the name
+    ("he is there", "Sheldon Cooper is at Caltech", False, True),
+    ("he is at Caltech", "nobody is at Caltech", False, False),
+    (None, None, False, False),
+])
+def test_grounding_takes_aliases_words_and_near_names(spark, span, chunk, in_span, in_chunk):
+    kind = "source string, target string, predicate string, evidence_span string, chunk_text string, type_ok boolean, source_aliases array<string>"
+    row = scoring.score(spark.createDataFrame([("Sheldon Cooper", "Caltech", "WORKS_AT", span, chunk, True, ["Shelly", " ", None])], kind)).first()
+    assert (row["span_grounded"], row["chunk_grounded"]) == (in_span, in_chunk)
+    assert bool(row["flags"]) != in_chunk and all("source 'Sheldon Cooper'" in f for f in row["flags"])
+
+
+def test_ingest_report(spark, tmp_path):
+    """A run, then one over its cache: nothing is asked again; a broken signature and a failed chunk are reported."""
+    docs = spark.createDataFrame(
+        [("d1", "c/A", "## A\n\nPerson:Ann -WORKS_AT-> Organization:Acme\nPerson:Ann -AUTHORED-> Location:Rome"), ("d2", "c/B", "## B\n\nPerson:Ann -WORKS_AT-> Organization:Acme"), ("d3", "c/C", " "), ("d4", "c/D", "## D\n\n:x -WORKS_AT-> Organization:y")],
+        "doc_id string, canonical_path string, body string",
+    )
+    n = docs.agg(F.count("*").alias("docs_canonicalized")).withColumn("docs_failed", F.lit(1))
+    run = ingest.ingest(docs, ingest.RuleBackend, attempts=2)
+    got = ingest.report(run, n).first()
+    assert (got["chunks_total"], got["chunks_extracted"], got["chunks_failed"], got["chunks_cache_hits"]) == (3, 2, 1, 0)
+    assert (got["entities_created"], got["mentions_created"], got["relationships_created"], got["relationships_updated"]) == (3, 5, 2, 1)
+    assert got["flagged_count"] == 1 and got["flagged_examples"] == ["type-violation[AUTHORED]: (Person -> Location)"] and got["predicate_type_ok_rate"] == pytest.approx(2 / 3, abs=1e-6)
+    again = ingest.report(ingest.ingest(docs, ingest.RuleBackend, run.cache, attempts=1), n).first()
+    assert (again["chunks_cache_hits"], again["chunks_extracted"], again["cost_input_tokens"], again["entities_created"]) == (2, 0, 10, 3)  # the failed chunk is asked again
+    ingest.write_report(ingest.report(run, n), str(tmp_path / "runs"), "r1", "v0")
+    assert spark.read.json(str(tmp_path / "runs" / "r1")).first()["chunks_total"] == 3
+    empty = ingest.report(ingest.ingest(docs.limit(0), ingest.RuleBackend), n).first()
+    assert (empty["chunks_total"], empty["evidence_grounding_rate"], empty["flagged_examples"]) == (0, 1.0, [])
+
+
 def test_canonicalize_routes_errors(spark, tmp_path):
     (tmp_path / "BBT__Series__Overview.md").write_text("---\ntitle: T\ntags: [' a ', a, '']\nupdated: 2026-04-27\n---\n\nBody\n")
     (tmp_path / "Foo____Bar.md").write_text("body")
