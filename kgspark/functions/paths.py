@@ -66,3 +66,16 @@ def html_to_markdown(html: Column) -> Column:
         t = F.replace(t, F.lit(coded), F.lit(plain))
     t = F.regexp_replace(F.regexp_replace(t, r"[ \t]*\n[ \t]*", "\n"), r"\n{3,}", "\n\n")
     return F.concat(F.regexp_replace(t, r"^[ \t\n]+|[ \t\n]+$", ""), F.lit("\n"))
+
+
+def article_url(base: Column, title: Column) -> Column:
+    """The wiki page of a title, spaces as underscores."""
+    return F.concat(F.rtrim(base, F.lit("/")), F.lit("/wiki/"), F.replace(title, F.lit(" "), F.lit("_")))
+
+
+def version_tag(at: Column) -> Column:
+    return F.date_format(at, "'graph-v'yyyyMMddHHmmss")
+
+
+def run_id(at: Column) -> Column:
+    return F.date_format(at, "yyyyMMdd'T'HHmmss'Z'")

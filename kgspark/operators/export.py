@@ -35,6 +35,24 @@ def graphml_rows(entities: DataFrame) -> DataFrame:
     return entities.select("entity_id", xml.alias("xml"))
 
 
+def graphml_edges(edges: DataFrame) -> DataFrame:
+    data = [F.concat(F.lit(f'<data key="{k}">'), escape_xml(F.col(c).cast("string")), F.lit("</data>")) for k, c in (("type", "predicate"), ("confidence", "confidence"), ("provenance_tag", "provenance_tag"))]
+    return edges.select("edge_id", F.concat(F.lit('<edge id="'), "edge_id", F.lit('" source="'), "source_id", F.lit('" target="'), "target_id", F.lit('">'), *data, F.lit("</edge>")).alias("xml"))
+
+
+def index_row(versions: DataFrame, keep: int = 50) -> DataFrame:
+    """One row: the discovery document of the last `keep` versions (version, published_at), newest first."""
+    last = versions.orderBy(F.desc("published_at"), F.desc("version")).limit(keep)
+    listed = F.sort_array(F.collect_list(F.struct("published_at", "version")), asc=False)
+    return last.agg(listed.alias("v")).select(F.to_json(F.struct(F.get("v", F.lit(0))["version"].alias("latest"), F.transform("v", lambda x: x["version"]).alias("versions"))).alias("json"))
+
+
+def hub_report(nodes: DataFrame, degrees: DataFrame, top: int = 10) -> DataFrame:
+    """(line) of a markdown report: the `top` nodes of the most edges, ties by id."""
+    best = degrees.orderBy(F.desc("degree"), "entity_id").limit(top).join(nodes.select("entity_id", "name", "type"), "entity_id")
+    return best.select("entity_id", F.concat(F.lit("- **"), "name", F.lit("** ("), "type", F.lit("): "), F.col("degree").cast("string"), F.lit(" edges")).alias("line"))
+
+
 def jsonld_rows(entities: DataFrame) -> DataFrame:
     body = F.concat(F.lit('{"@id":"'), "entity_id", F.lit('","@type":"'), "type", F.lit('","kg:name":'), F.to_json(F.array("name")), F.lit("}"))
     return entities.select("entity_id", body.alias("jsonld"))

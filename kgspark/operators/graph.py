@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.functions.ids import edge_id, entity_id
+from kgspark.operators.rules import ENTITY_TYPES, PROVENANCE_TAGS
 from kgspark.plans.tables import cut
 
 
@@ -169,6 +170,32 @@ def find_entity(nodes: DataFrame, name: str) -> DataFrame:
     return nodes.where((F.col("name") == name) | F.array_contains("aliases", name)).orderBy("entity_id").limit(1)
 
 
+def get_node(nodes: DataFrame, name: str, kind: str | None = None) -> DataFrame:
+    """Nodes of this name, of one type if given."""
+    found = nodes.where(F.col("name") == name)
+    return found if kind is None else found.where(F.col("type") == kind)
+
+
+def with_names(found: DataFrame, nodes: DataFrame, id_: str = "other_id", out: str = "other_name") -> DataFrame:
+    """found with the display name of each id: the node's name, else its title, else the id itself."""
+    shown = F.coalesce(*[F.col(c) for c in ("name", "title") if c in nodes.columns], F.col("entity_id"))
+    return found.join(nodes.select(F.col("entity_id").alias(id_), shown.alias(out)), id_, "left").withColumn(out, F.coalesce(out, id_))
+
+
+def invalid(nodes: DataFrame, edge_table: DataFrame) -> DataFrame:
+    """(id, problem) of nodes and edges that break the published form: ids, names, types, predicates, confidences."""
+    node = {"node_id": ~F.col("entity_id").rlike("^ent_[0-9a-f]{16}$"), "node_name": F.col("name") == "", "node_type": ~F.col("type").isin(*ENTITY_TYPES)}
+    edge = {
+        "edge_id": ~F.col("edge_id").rlike("^edge_[0-9a-f]{16}$"), "edge_type": ~F.col("predicate").rlike("^[A-Z][A-Z0-9_]*$"),
+        "confidence": ~F.col("confidence").between(0.0, 1.0), "provenance": ~F.col("provenance_tag").isin(*PROVENANCE_TAGS),
+    }
+    both = [
+        t.select(F.col(i).alias("id"), F.explode(F.filter(F.array(*[F.when(F.coalesce(c, F.lit(True)), n) for n, c in checks.items()]), lambda x: x.isNotNull())).alias("problem"))
+        for t, i, checks in ((nodes, "entity_id", node), (edge_table, "edge_id", edge))
+    ]
+    return both[0].unionByName(both[1])
+
+
 def neighbors(edge_table: DataFrame, seeds: DataFrame, direction: str = "out", predicate: str | None = None) -> DataFrame:
     """(node_id, predicate, other_id, confidence, direction) of edges at the seeds (entity_id)."""
     e = edge_table if predicate is None else edge_table.where(F.col("predicate") == predicate)

@@ -19,6 +19,36 @@ def stale(checks: DataFrame, today: str, days: int = 7) -> DataFrame:
     return last.where(F.datediff(F.lit(today).cast("date"), F.col("last_checked")) > days)
 
 
+def changed_upstream(checks: DataFrame) -> DataFrame:
+    """(doc_id, checked_at, status) of checks (doc_id, checked_at, http_status, etag, last_modified, hash), each against the one before.
+
+    The first sign that both checks have decides: a 304 answer, then the ETag, the
+    date, the hash.  A first check, or one without a common sign, is `unknown`.
+    """
+    w = Window.partitionBy("doc_id").orderBy("checked_at")
+    status = F.lit("unknown")
+    for c in ("hash", "last_modified", "etag"):
+        old = F.lag(c).over(w)
+        status = F.when(old.isNotNull() & F.col(c).isNotNull(), F.when(old == F.col(c), "fresh").otherwise("stale")).otherwise(status)
+    first = F.lag("checked_at").over(w).isNull()
+    return checks.select("doc_id", "checked_at", F.when(first, "unknown").when(F.col("http_status") == 304, "fresh").otherwise(status).alias("status"))
+
+
+def upsert(table: DataFrame, fresh: DataFrame, key: str = "chunk_id", gone: DataFrame | None = None) -> DataFrame:
+    """table with the rows of fresh instead of its own of the same key, and without the documents of gone (doc_id)."""
+    kept = table.join(fresh.select(key), key, "left_anti").select(*table.columns)
+    if gone is not None:
+        kept = kept.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*table.columns)
+    return kept.unionByName(fresh)
+
+
+def force(publishes: DataFrame, reasons: DataFrame) -> DataFrame:
+    """publishes (version, blocked) that go out: not blocked, or forced with a reason (version, reason) that is kept beside them."""
+    told = publishes.join(reasons.where(F.trim("reason") != "").select("version", F.col("reason").alias("_r")), "version", "left")
+    forced = F.col("blocked") & F.col("_r").isNotNull()
+    return told.select(*publishes.columns, forced.alias("forced_publish"), F.when(forced, F.col("_r")).alias("forced_reason"), (~F.col("blocked") | forced).alias("published"))
+
+
 def prune(publishes: DataFrame, today: str, keep_days: int, keep_last: int) -> DataFrame:
     """Publishes (version, published_at) with `pruned`: older than keep_days and not among the last keep_last."""
     rank = F.row_number().over(Window.orderBy(F.desc("published_at"), F.desc("version")))

@@ -105,3 +105,15 @@ def rolling_alerts(runs: DataFrame, columns: list[str], width: int = 7, factor:
     """runs with a flag per column: above `factor` times its average over the last `width` runs."""
     w = Window.orderBy("seq").rowsBetween(-width, -1)
     return runs.select("run_id", *[F.coalesce(F.col(c) > factor * F.avg(c).over(w), F.lit(False)).alias(f"{c}_alert") for c in columns])
+
+
+def calibration(scored: DataFrame, bins: int = 10) -> DataFrame:
+    """One row: the expected calibration error of rows (confidence, right) over equal bins; 0 without rows."""
+    at = F.least(F.floor(F.col("confidence") * bins), F.lit(bins - 1))
+    each = scored.groupBy(at.alias("b")).agg(F.count("*").alias("n"), F.avg("confidence").alias("c"), F.avg(F.col("right").cast("double")).alias("r"))
+    return each.agg(F.round(F.coalesce(F.sum(F.col("n") * F.abs(F.col("c") - F.col("r"))) / F.sum("n"), F.lit(0.0)), 6).alias("ece"), F.count("*").alias("bins_used"))
+
+
+def error_alerts(runs: DataFrame, most: float = 0.05) -> DataFrame:
+    """(run_id, error_alert) of runs (run_id, errors, total): more than `most` of the total failed."""
+    return runs.select("run_id", F.coalesce(F.col("errors") > most * F.col("total"), F.lit(False)).alias("error_alert"))

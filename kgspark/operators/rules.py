@@ -87,9 +87,9 @@ def relations(rows: DataFrame) -> DataFrame:
     return relation_facts(rows).drop("source_id", "target_id")
 
 
-def signature_ok(predicate, source_type, target_type):
-    """Whether the types fit the predicate's signature; predicates without one pass."""
+def signature_ok(predicate, source_type, target_type, signatures=SIGNATURES):
+    """Whether the types fit the predicate's signature, by a map like SIGNATURES; predicates without one pass."""
     ok = F.lit(True)
-    for p, (left, right) in SIGNATURES.items():
+    for p, (left, right) in signatures.items():
         ok = F.when(predicate == p, source_type.isin(*left) & target_type.isin(*right)).otherwise(ok)
     return ok

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kgspark.functions import ids, paths
 from kgspark.operators import chunker, export, extraction, fuzzy, graph, incremental, metrics, rules, scoring, vector
 from kgspark.plans import ingest
+from kgspark.sources import corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -657,3 +658,102 @@ def url_rules(spark, d):
     pages = read(spark, d, "pages").select("page_id", F.concat("url", F.lit("#"), F.col("page_id").cast("string")).alias("url"))
     table = spark.range(2).select((F.col("id") + 1).cast("int").alias("rule_id"), F.when(F.col("id") == 0, "0$").otherwise("^http").alias("pattern"), F.when(F.col("id") == 0, "exclude").otherwise("include").alias("action"))
     return incremental.url_rules(pages, table)
+
+
+# --- lookups, checks and small reports ----------------------------------------
+
+
+@query(f"""WITH {EDGES}, {NODES.replace(CHUNKS + ', ', '')}, f AS (SELECT source_id AS node_id, predicate, target_id AS other_id, 'out' AS direction FROM edges WHERE source_id = {_AT} UNION ALL SELECT target_id, predicate, source_id, 'in' FROM edges WHERE target_id = {_AT})
+SELECT f.*, coalesce(nodes.name, other_id) AS other_name FROM f LEFT JOIN nodes ON entity_id = other_id""")
+def named_neighbors(spark, d):
+    found = graph.neighbors(edge_table(spark, d), _seed(spark, d), "both").drop("confidence")
+    return graph.with_names(found, node_table(spark, d))
+
+
+@query(f"WITH {NODES} SELECT entity_id, name, type FROM nodes WHERE name = 'ASIA' AND type = 'Location'")
+def get_node(spark, d):
+    return graph.get_node(node_table(spark, d), "ASIA", "Location").select("entity_id", "name", "type")
+
+
+@query(f"WITH {EDGES} SELECT edge_id AS id, 'confidence' AS problem FROM edges WHERE confidence > 0.97 UNION ALL SELECT edge_id, 'edge_type' FROM edges WHERE predicate = 'BOUGHT'")
+def graph_validity(spark, d):
+    """Edges with every confidence raised by 0.03 and purchases written in lower case."""
+    e = edge_table(spark, d).withColumn("confidence", F.col("confidence") + F.lit(0.03)).withColumn("predicate", F.when(F.col("predicate") == "BOUGHT", "bought").otherwise(F.col("predicate")))
+    return graph.invalid(node_table(spark, d), e.withColumn("confidence", F.round("confidence", 6)))
+
+
+@query(f"""WITH {RELS}, b AS (SELECT least(floor(confidence::DOUBLE * 10), 9) AS b, count(*) AS n, avg(confidence::DOUBLE) AS c, avg((predicate <> 'FOUNDED_BY')::INT) AS r FROM rels GROUP BY 1)
+SELECT round(sum(n * abs(c - r)) / sum(n), 6) AS ece, count(*) AS bins_used FROM b""")
+def calibration_error(spark, d):
+    r = relation_facts(spark, d)
+    return metrics.calibration(r.select("confidence", rules.signature_ok(F.col("predicate"), F.col("source_type"), F.col("target_type")).alias("right")))
+
+
+@query("""SELECT strftime(ts, '%Y-%m-%d') AS run_id, count(*) FILTER (event_id % 17 = 0) > 0.05 * count(*) AS error_alert FROM events GROUP BY 1""")
+def error_alerts(spark, d):
+    runs = read(spark, d, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("run_id")).agg(F.count_if(F.col("event_id") % 17 == 0).alias("errors"), F.count("*").alias("total"))
+    return metrics.error_alerts(runs)
+
+
+@query("""SELECT p_partkey, 'https://w.example/wiki/' || replace(p_name, ' ', '_') AS url FROM part""")
+def article_urls(spark, d):
+    return read(spark, d, "part").select("p_partkey", paths.article_url(F.lit("https://w.example/"), F.col("p_name")).alias("url"))
+
+
+@query("""SELECT event_id, strftime(ts, 'graph-v%Y%m%d%H%M%S') AS version, strftime(ts, '%Y%m%dT%H%M%SZ') AS run FROM events""")
+def version_tags(spark, d):
+    return read(spark, d, "events").select("event_id", paths.version_tag(F.col("ts")).alias("version"), paths.run_id(F.col("ts")).alias("run"))
+
+
+@query("""SELECT n_nationkey, layout, CASE layout WHEN 'flat' THEN r_name || '__' || n_name ELSE r_name || '/' || n_name END || '.md' AS rel FROM nation JOIN region ON n_regionkey = r_regionkey, (VALUES ('flat'), ('nested')) AS l(layout)""")
+def dual_layout(spark, d):
+    n = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return corpus.both_layouts(n.select("n_nationkey", F.array("r_name", "n_name").alias("segments")))
+
+
+@query("""WITH f AS (SELECT DISTINCT event_type AS source_repo, 'u' || user_id AS name FROM events), s AS (SELECT name, count(DISTINCT source_repo) > 1 AS shared FROM f GROUP BY 1)
+SELECT source_repo, name, CASE WHEN shared THEN source_repo || '_' || name ELSE name END AS unique_name FROM f JOIN s USING (name)""")
+def name_collisions(spark, d):
+    files = read(spark, d, "events").select(F.col("event_type").alias("source_repo"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("name")).distinct()
+    return corpus.without_collisions(files)
+
+
+@query("""WITH c AS (SELECT user_id AS doc_id, event_id AS checked_at, CASE WHEN event_id % 5 = 0 THEN 304 ELSE 200 END AS s, CASE WHEN event_id % 3 <> 0 THEN event_type END AS h FROM events), w AS (SELECT *, lag(checked_at) OVER o AS p, lag(h) OVER o AS ph FROM c WINDOW o AS (PARTITION BY doc_id ORDER BY checked_at))
+SELECT doc_id, checked_at, CASE WHEN p IS NULL THEN 'unknown' WHEN s = 304 THEN 'fresh' WHEN ph IS NULL OR h IS NULL THEN 'unknown' WHEN ph = h THEN 'fresh' ELSE 'stale' END AS status FROM w""")
+def changed_upstream(spark, d):
+    none = F.lit(None).cast("string")
+    c = read(spark, d, "events").select(F.col("user_id").alias("doc_id"), F.col("event_id").alias("checked_at"), F.when(F.col("event_id") % 5 == 0, 304).otherwise(200).alias("http_status"), F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("etag"), none.alias("last_modified"), none.alias("hash"))
+    return incremental.changed_upstream(c)
+
+
+@query("""SELECT vec_id AS chunk_id, label AS doc_id, CASE WHEN vec_id % 4 = 1 THEN 'new' ELSE 'old' END AS version FROM embeddings WHERE vec_id % 4 = 1 OR label % 5 <> 0""")
+def vector_upsert(spark, d):
+    """A quarter of the vectors come again; documents of every fifth label are deleted before."""
+    t = read(spark, d, "embeddings").select(F.col("vec_id").alias("chunk_id"), F.col("label").alias("doc_id"), F.lit("old").alias("version"))
+    fresh = t.where("chunk_id % 4 = 1").withColumn("version", F.lit("new"))
+    return incremental.upsert(t, fresh, "chunk_id", t.where("doc_id % 5 = 0").select("doc_id"))
+
+
+@query("""WITH p AS (SELECT strftime(ts, '%Y-%m-%d') AS version, avg(value) < 50 AS blocked, count(*) % 2 = 0 AS f FROM events GROUP BY 1)
+SELECT version, blocked, blocked AND f AS forced_publish, CASE WHEN blocked AND f THEN 'checked ' || version END AS forced_reason, NOT blocked OR f AS published FROM p""")
+def forced_publish(spark, d):
+    p = read(spark, d, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("version")).agg((F.avg("value") < 50).alias("blocked"), F.count("*").alias("n"))
+    return incremental.force(p.select("version", "blocked"), p.select("version", F.when(F.col("n") % 2 == 0, F.concat(F.lit("checked "), "version")).otherwise(" ").alias("reason")))
+
+
+@query(f"""WITH {EDGES} SELECT edge_id, '<edge id="' || edge_id || '" source="' || source_id || '" target="' || target_id || '"><data key="type">' || predicate || '</data><data key="confidence">' || confidence || '</data><data key="provenance_tag">' || provenance_tag || '</data></edge>' AS xml FROM edges""")
+def graphml_edges(spark, d):
+    return export.graphml_edges(edge_table(spark, d))
+
+
+@query("""WITH v AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS version FROM events), l AS (SELECT version FROM v ORDER BY 1 DESC LIMIT 50)
+SELECT '{"latest":"' || max(version) || '","versions":["' || string_agg(version, '","' ORDER BY version DESC) || '"]}' AS json FROM l""")
+def export_index(spark, d):
+    v = read(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("version")).distinct()
+    return export.index_row(v.withColumn("published_at", F.col("version")))
+
+
+@query(f"""WITH {EDGES}, {NODES.replace(CHUNKS + ', ', '')}, g AS (SELECT entity_id, count(*) AS degree FROM (SELECT source_id AS entity_id FROM edges UNION ALL SELECT target_id FROM edges) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10)
+SELECT entity_id, '- **' || name || '** (' || type || '): ' || degree || ' edges' AS line FROM g JOIN nodes USING (entity_id)""")
+def hub_report(spark, d):
+    return export.hub_report(node_table(spark, d), graph.degrees(edge_table(spark, d)))

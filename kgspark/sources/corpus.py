@@ -88,6 +88,27 @@ def canonicalize(files: DataFrame, run_date: str) -> tuple[DataFrame, DataFrame]
     return docs, f.where("message IS NOT NULL").select("rel", "message")
 
 
+def both_layouts(articles: DataFrame) -> DataFrame:
+    """(source_repo, layout, rel, body) of articles (segments, body): each once flat, once nested."""
+    flat = F.struct(F.lit("flat").alias("layout"), F.concat(F.array_join("segments", "__"), F.lit(".md")).alias("rel"))
+    nested = F.struct(F.lit("nested").alias("layout"), F.concat(F.array_join("segments", "/"), F.lit(".md")).alias("rel"))
+    kept = [c for c in articles.columns if c != "segments"]
+    return articles.select(*kept, F.explode(F.array(flat, nested)).alias("l")).select(*kept, "l.*")
+
+
+def without_collisions(files: DataFrame) -> DataFrame:
+    """files (source_repo, name) with `unique_name`: names that several repositories have get their repository's before them."""
+    shared = files.groupBy("name").agg((F.min("source_repo") != F.max("source_repo")).alias("_shared"))
+    return files.join(shared, "name").withColumn("unique_name", F.when(F.col("_shared"), F.concat("source_repo", F.lit("_"), "name")).otherwise(F.col("name"))).drop("_shared")
+
+
+def golden_rows(golden: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(entities, relationships, queries) that golden rows expect, one row each."""
+    ents = golden.select("doc_id", F.explode("expected_entities").alias("e")).select("doc_id", "e.*")
+    rels = golden.select("doc_id", F.explode("expected_relationships").alias("r")).select("doc_id", "r.*")
+    return ents, rels, golden.select("doc_id", F.explode("expected_top_doc_for_query").alias("query", "top_doc"))
+
+
 def read_golden(spark: SparkSession, path: str) -> DataFrame:
     """Golden rows of a JSON-lines file; bad JSON fails the read, blank lines are skipped."""
     return spark.read.schema(GOLDEN).option("mode", "FAILFAST").json(path)
