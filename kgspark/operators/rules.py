@@ -33,13 +33,19 @@ def _named(table: DataFrame, name: str, kind: str, id_: str) -> DataFrame:
     return table.withColumn(id_, entity_id(F.col(name), F.lit(kind)))
 
 
+def _spread(table: DataFrame, key: str) -> DataFrame:
+    """A table of fewer files than the session has cores, dealt to all of them by key; larger ones stay as they are read."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if len(table.inputFiles()) < cores else table
+
+
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per chunk with the names and ids of its five entities and the scores of its edges."""
     t = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("lineitem", "orders", "customer", "supplier", "nation", "region", "part")}
     for table, name, kind, id_ in (("customer", "c_name", "Person", "c_id"), ("supplier", "s_name", "Organization", "s_id"), ("nation", "n_name", "Location", "n_id"), ("region", "r_name", "Location", "r_id"), ("part", "p_name", "Work", "p_id")):
         t[table] = _named(t[table], name, kind, id_)
     return (
-        t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+        _spread(t["lineitem"], "l_orderkey").join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t["customer"], F.col("o_custkey") == F.col("c_custkey")).join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey")).join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
         .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,14 +22,24 @@ def name_tokens(surface: str) -> list[str]:
     return [w for w in re.split("[^a-z0-9]+", surface.lower()) if len(w) >= 4 and w not in STOPWORDS]
 
 
+def _inside(surface: str, text: str) -> bool:
+    """Whether a surface is inside a text, both in lower case, by any of the three tests."""
+    if surface in text:
+        return True
+    if any(w in text and w in set(re.findall(r"\w+", text)) for w in name_tokens(surface)):
+        return True
+    return near(surface, text)
+
+
+#: short texts repeat; what a worker keeps is bounded by the number of entries and the length of their texts
+_inside_short = lru_cache(maxsize=1 << 16)(_inside)
+
+
 def grounded(surfaces: Iterable[str | None], target: str | None) -> bool:
-    """Whether any surface is inside the target, nearly (partial similarity of 85 or more), or by a whole word."""
+    """Whether any surface is inside the target, by a whole word of it, or nearly (partial similarity of 85 or more)."""
     text = (target or "").lower()
-    words = lambda: set(re.findall(r"\w+", text))
-    for s in ((s or "").strip().lower() for s in surfaces):
-        if s and text and (s in text or any(w in text and w in words() for w in name_tokens(s)) or near(s, text)):
-            return True
-    return False
+    test = _inside_short if len(text) <= 200 else _inside
+    return bool(text) and any(test(s, text) for s in ((s or "").strip().lower() for s in surfaces) if s)
 
 
 _ENDS = ["source_span", "target_span", "source_chunk", "target_chunk"]
