@@ -58,6 +58,28 @@ def make_backend(name: str, **options) -> Backend:
     return _BACKENDS[name.strip().lower()](**options)
 
 
+def tool_definition() -> dict:
+    """The tool that a model answers with, its schema made from the types and tags that problems() accepts."""
+    text = {"type": "string", "minLength": 1}
+
+    def record(required: list[str], **fields: dict) -> dict:
+        return {"type": "object", "properties": fields, "required": required, "additionalProperties": False}
+
+    entity = record(["name", "type"], name=text, type={"type": "string", "enum": list(ENTITY_TYPES)}, aliases={"type": "array", "items": text}, description={"type": ["string", "null"]})
+    relationship = record(
+        ["source", "target", "predicate", "evidence_span", "confidence", "provenance_tag"],
+        source=text, target=text, predicate={"type": "string", "pattern": "^[A-Z][A-Z0-9_]*$"}, evidence_span=text,
+        confidence={"type": "number", "minimum": 0, "maximum": 1}, provenance_tag={"type": "string", "enum": list(PROVENANCE_TAGS)},
+    )
+    lists = {"entities": {"type": "array", "items": entity}, "relationships": {"type": "array", "items": relationship}}
+    return {"name": "record_extractions", "description": "Record what the chunk says; ends of relationships are names of entities.", "input_schema": record(list(lists), **lists)}
+
+
+def as_function_call(tool: dict) -> dict:
+    """A tool definition in the function-call shape of chat completion APIs."""
+    return {"type": "function", "function": {"name": tool["name"], "description": tool["description"], "parameters": tool["input_schema"]}}
+
+
 def user_message(path: Column, chunk_id: Column, heading: Column, text: Column) -> Column:
     shown = F.when(F.coalesce(heading, F.lit("")) == "", "").otherwise(F.concat(F.lit("\nSection heading: "), heading))
     return F.concat(F.lit("Document path: "), path, F.lit("\nChunk id: "), chunk_id, shown, F.lit("\n\n<chunk>\n"), text, F.lit("\n</chunk>"))

@@ -163,6 +163,18 @@ def test_ingest_report(spark, tmp_path):
     assert (empty["chunks_total"], empty["evidence_grounding_rate"], empty["flagged_examples"]) == (0, 1.0, [])
 
 
+def test_tool_definition_names_what_is_validated():
+    tool = extraction.tool_definition()
+    fields = {k: v["items"] for k, v in tool["input_schema"]["properties"].items()}
+    answer = _answer("Sheldon")
+    for kind, rows in answer.items():
+        assert all(set(fields[kind]["required"]) <= set(r) <= set(fields[kind]["properties"]) for r in rows)
+    assert extraction.problems_of(answer) == []
+    assert set(fields["entities"]["properties"]["type"]["enum"]) >= {"Character", "Organization"}
+    call = extraction.as_function_call(tool)
+    assert call["type"] == "function" and call["function"]["parameters"] is tool["input_schema"]
+
+
 def test_canonicalize_routes_errors(spark, tmp_path):
     (tmp_path / "BBT__Series__Overview.md").write_text("---\ntitle: T\ntags: [' a ', a, '']\nupdated: 2026-04-27\n---\n\nBody\n")
     (tmp_path / "Foo____Bar.md").write_text("body")
