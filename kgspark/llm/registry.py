@@ -17,6 +17,7 @@ from kgspark.llm import (
     op8_line_dedup,
     op9_host_rules,
     op10_sharding,
+    op11_token_counts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup.query,
     "op9_host_rules": op9_host_rules.query,
     "op10_sharding": op10_sharding.query,
+    "op11_token_counts": op11_token_counts.query,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_chat": op7_chat.SQL, "op9_host_rules": op9_host_rules.SQL}
