@@ -18,6 +18,8 @@ from kgspark.llm import (
     op9_host_rules,
     op10_sharding,
     op11_token_counts,
+    op12_phrases,
+    op13_divergence,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -32,6 +34,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_host_rules": op9_host_rules.query,
     "op10_sharding": op10_sharding.query,
     "op11_token_counts": op11_token_counts.query,
+    "op12_phrases": op12_phrases.query,
+    "op13_divergence": op13_divergence.query,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_chat": op7_chat.SQL, "op9_host_rules": op9_host_rules.SQL}
+ORACLE_SQL: dict[str, str] = {"op7_chat": op7_chat.SQL, "op9_host_rules": op9_host_rules.SQL, "op12_phrases": op12_phrases.SQL, "op13_divergence": op13_divergence.SQL}

@@ -77,9 +77,9 @@ class Words:
     ptr: np.ndarray
 
 
-def bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, ptr) of the words of the texts buf[off[i]:off[i+1]]."""
-    word = ~_SEP[buf]
+def bounds(buf: np.ndarray, off: np.ndarray, sep: np.ndarray = _SEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, ptr) of the words of the texts buf[off[i]:off[i+1]]; sep: which of the 256 bytes end a word."""
+    word = ~sep[buf]
     first = word.copy()
     first[1:] &= ~word[:-1]
     last = word.copy()
@@ -111,11 +111,18 @@ def hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
-def words(buf: np.ndarray, off: np.ndarray) -> Words:
-    start, end, ptr = bounds(buf, off)
+def words(buf: np.ndarray, off: np.ndarray, sep: np.ndarray = _SEP) -> Words:
+    start, end, ptr = bounds(buf, off, sep)
     return Words(start, end, hashes(buf, start, end), ptr)
 
 
+def strings(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The byte ranges of buf as strings, A-Z lower-cased."""
+    off = np.concatenate(([0], np.cumsum(end - start)))
+    at = np.repeat(start - off[:-1], end - start) + np.arange(off[-1])
+    return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(off.astype(np.int64)), pa.py_buffer(_LOWER[buf[at]]))
+
+
 def ngrams(w: Words, k: int) -> np.ndarray:
     """Hash of the k words from each position on (meaningless for the last k - 1 of a text)."""
     h = w.hash
