@@ -7,14 +7,14 @@ document again only replaces its facts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.functions.ids import edge_id, entity_id
 from kgspark.operators.rules import ENTITY_TYPES, PROVENANCE_TAGS
-from kgspark.plans.tables import cut
+from kgspark.plans.tables import cut, discard
 
 
 def ordered_set(ord_: Column, values: Column) -> Column:
@@ -206,23 +206,35 @@ def neighbors(edge_table: DataFrame, seeds: DataFrame, direction: str = "out", p
     return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
-def _frontiers(edge_table: DataFrame, seeds: DataFrame, hops: int) -> Iterator[DataFrame]:
-    """(entity_id, distance) reached so far, after 0, 1, ... hops; each step joins only the last frontier."""
-    both = cut(edge_table.select(F.col("source_id").alias("a"), F.col("target_id").alias("b")).union(edge_table.select("target_id", "source_id")).distinct())
-    seen = cut(seeds.select("entity_id").distinct().withColumn("distance", F.lit(0)))
-    yield seen
-    for d in range(1, hops + 1):
-        last = seen.where(F.col("distance") == d - 1)
-        step = last.join(both, F.col("entity_id") == F.col("a")).select(F.col("b").alias("entity_id"), F.lit(d).alias("distance")).distinct()
-        seen = cut(seen.unionByName(step.join(seen, "entity_id", "left_anti")))
-        yield seen
+def both_ways(edge_table: DataFrame) -> DataFrame:
+    """(a, b) of the distinct ends of edges in both directions, as a table in order of a, so that few of its row groups hold a node."""
+    ends = edge_table.select(F.col("source_id").alias("a"), F.col("target_id").alias("b"))
+    return cut(ends.union(ends.select("b", "a")).where("a != b").distinct().repartitionByRange("a").sortWithinPartitions("a", "b"))
+
+
+def next_layer(ways: DataFrame, layers: list[DataFrame]) -> DataFrame:
+    """(entity_id) of the nodes one step beyond the last of `layers`, as a table.
+
+    Neighbours of a layer lie in it, in the one before or in the next one, so two
+    anti-joins tell what is new and what was reached earlier is never read again.
+    """
+    step = layers[-1].join(ways, F.col("entity_id") == F.col("a")).select(F.col("b").alias("entity_id")).distinct()
+    for known in layers[-2:]:
+        step = step.join(known, "entity_id", "left_anti")
+    return cut(step)
 
 
 def k_hop(edge_table: DataFrame, seeds: DataFrame, hops: int = 2) -> DataFrame:
     """(entity_id, distance) of nodes within `hops` edges of the seeds, edges taken both ways."""
-    for seen in _frontiers(edge_table, seeds, hops):
-        pass
-    return seen
+    ways, layers = both_ways(edge_table), [cut(seeds.select("entity_id").distinct())]
+    for _ in range(hops):
+        layers.append(next_layer(ways, layers))
+    discard(ways)
+    found = [layer.withColumn("distance", F.lit(d)) for d, layer in enumerate(layers)]
+    out = found[0]
+    for one in found[1:]:
+        out = out.unionByName(one)
+    return out
 
 
 def shortest_path_length(edge_table: DataFrame, source: DataFrame, target: DataFrame, most: int = 6) -> DataFrame:
@@ -230,14 +242,30 @@ def shortest_path_length(edge_table: DataFrame, source: DataFrame, target: DataF
 
     The search ends with the step that meets the target.
     """
-    wanted = target.select("entity_id").distinct()
-    for seen in _frontiers(edge_table, source, most):
-        met = seen.join(wanted, "entity_id", "left_semi")
-        if met.limit(1).count():
+    wanted, ways = target.select("entity_id").distinct(), both_ways(edge_table)
+    layers = [cut(source.select("entity_id").distinct())]
+    while True:
+        met = cut(layers[-1].join(wanted, "entity_id", "left_semi").withColumn("distance", F.lit(len(layers) - 1)))
+        if len(layers) > most or met.limit(1).count() or not layers[-1].limit(1).count():
             break
+        layers.append(next_layer(ways, layers))
+    for table in (ways, *layers):
+        discard(table)
     return met
 
 
+def maintained(table: DataFrame, facts: DataFrame, changed: DataFrame, fresh: DataFrame, build: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
+    """table = build(facts) after the documents of `changed` (doc_id) got the facts `fresh` instead of theirs.
+
+    Only what the old or the new facts of these documents speak of is built again;
+    all other rows stay as they are.  build must give one row for each of `keys`.
+    """
+    gone = facts.join(changed.select("doc_id").distinct(), "doc_id", "left_semi")
+    touched = cut(gone.select(*keys).union(fresh.select(*keys)).distinct())
+    again = replace_documents(facts.join(touched, keys, "left_semi"), changed, fresh)
+    return table.join(touched, keys, "left_anti").select(*table.columns).unionByName(build(again))
+
+
 def degrees(edge_table: DataFrame) -> DataFrame:
     ends = edge_table.select(F.col("source_id").alias("entity_id")).union(edge_table.select("target_id"))
     return ends.groupBy("entity_id").agg(F.count("*").alias("degree"))
