@@ -1,13 +1,18 @@
 """Token counts, phrases and source divergences against brute force, and their edge cases."""
 
 import random
+import re
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
 from kgspark.llm import op11_token_counts as op11
+from kgspark.llm import op12_phrases as op12
+from kgspark.llm import op13_divergence as op13
 
 DOCS = "doc_id bigint, text string, lang string, source string"
 ALPHABET = " \n\t ab th ing é漢字ｆﬁ▁<s></s>\x07😀é0123....=== aaaa"
@@ -56,3 +61,149 @@ def test_a_stretch_without_a_cut_stays_whole():
     counter = op11.Counter(lambda texts: texts, lambda text, at: text[at] == "|")
     assert list(counter.units("a" * 50 + "|" + "b" * 50, 10)) == ["a" * 50, "|" + "b" * 50]
     assert list(counter.units("", 10)) == [""]
+
+
+def corpus(seed=3):
+    """Documents of three languages and uneven sources, with nulls, ties, repeats and one very long text."""
+    rng = random.Random(seed)
+    zipf = [f"w{int(rng.paretovariate(0.7)) % 60}" for _ in range(4000)]
+    rows = []
+    for i in range(120):
+        n = rng.randrange(0, 60)
+        text = rng.choice(zipf).upper() + rng.choice(["", "é", "漢"]) + " "
+        text += "".join(rng.choice(zipf) + rng.choice([" ", " ", " ", "\t", ". ", "\n", ", ", "  ", "\x0b", "-", "\x00 "]) for _ in range(n))
+        rows.append((i if i % 9 else None, text, rng.choice(["en", "en", "fr", None]), rng.choice(["hot", "hot", "a", "b", None, ""])))
+    rows += [rows[5]] * 3
+    rows += [(1, None, "en", "a"), (2, "", "en", "quiet"), (3, " .\n", "fr", "a"), (4, None, "solo", "only"), (5, "one two three", "solo", "only"), (6, "x", None, None)]
+    rows.append((7, "".join(rng.choice(zipf) + rng.choice([" ", ". "]) for _ in range(6000)), "en", "a"))
+    rows.append((8, "tail " * 3000, "fr", "b"))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), DOCS).withColumns({"term": F.lit(1), "n": F.lit("x"), "value": F.lit("y")}).repartition(5)
+
+
+def low(text):
+    return (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+
+def mined(rows, least, longest, top):
+    f, n = Counter(), Counter()
+    for _, text, lang, _ in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low(text)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in range(1, longest + 1):
+                for i in range(len(words) - k + 1):
+                    f[lang, tuple(words[i : i + k])] += 1
+    frequent = {p: a for p, a in f.items() if a >= least}
+    out = []
+    for (lang, p), a in frequent.items():
+        if len(p) < 2:
+            continue
+        if any(g == lang and len(q) > len(p) and b >= a and any(q[i : i + len(p)] == p for i in range(len(q))) for (g, q), b in frequent.items()):
+            continue
+        score, _, l, r = min((1000 * a * n[lang] // (f[lang, p[:k]] * f[lang, p[k:]]), k, f[lang, p[:k]], f[lang, p[k:]]) for k in range(1, len(p)))
+        out.append((lang, " ".join(p), a, l, r, n[lang], score))
+    ranked = []
+    for lang in {x[0] for x in out}:
+        best = sorted((x for x in out if x[0] == lang), key=lambda x: (-x[6], -x[2], x[1].encode()))
+        ranked += [(lang, i + 1, *x[1:]) for i, x in enumerate(best[:top])]
+    return sorted(ranked)
+
+
+@pytest.mark.parametrize(("least", "longest", "top", "block"), [(4, 5, 2000, 1 << 20), (3, 4, 25, 900), (2, 2, 10, 1)])
+def test_phrases(spark, docs, least, longest, top, block):
+    got = op12.phrases(docs, op12.Mining(least, longest, top, block))
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    want = mined(corpus(), least, longest, top)
+    assert len(want) > 15 and sorted(map(tuple, got.collect())) == want
+
+
+def test_long_texts_are_cut_between_pieces(spark, monkeypatch):
+    monkeypatch.setattr(op12.tx, "CHUNK", 64)
+    for text in ("a b c. " * 100, "a b " * 100 + ". d e", "a b c" * 60, "x. " + "a b " * 50 + "! " + "c d " * 50):
+        buf = np.frombuffer(text.encode(), np.uint8)
+        parts = list(op12._cut(buf, np.array([0, len(buf)])))
+        assert b"".join(p.tobytes() for p, _ in parts) == text.encode()
+        assert all(p.tobytes().decode()[-1] in ".!" for p, _ in parts[:-1])
+
+
+def test_exact_scores_beyond_64_bits(spark):
+    row = spark.createDataFrame([(10**13, 10**14, [2 * 10**13, 10**13], [10**13 + 7, 10**13])], "f bigint, n bigint, first array<bigint>, last array<bigint>")
+    got = row.select(op12._best_cut(2).alias("c")).first()["c"]
+    assert (got["score"], got["l"], got["r"]) == (1000 * 10**27 // (2 * 10**13 * (10**13 + 7)), 2 * 10**13, 10**13 + 7)
+
+
+def diverged(rows, least, top):
+    df, n, own, groups = Counter(), Counter(), Counter(), set()
+    for _, text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        groups.add((lang, source))
+        terms = re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", low(text))
+        df.update((lang, t) for t in set(terms))
+        n.update((lang, t) for t in terms)
+        own.update((lang, source, t) for t in terms)
+    kept = {lang: [t for g, t in df if g == lang and df[g, t] >= least] for lang in {g for g, _ in groups}}
+    rate = lambda count, total, v: 1 + 10**9 * (count + 1) // (total + v)
+    p, q = {}, {}
+    for lang, terms in kept.items():
+        total = sum(n[lang, t] for t in terms)
+        q.update({(lang, t): rate(n[lang, t], total, len(terms)) for t in terms})
+    for lang, source in groups:
+        total = sum(own[lang, source, t] for t in kept[lang])
+        p.update({(lang, source, t): rate(own[lang, source, t], total, len(kept[lang])) for t in kept[lang]})
+    far = lambda a, b: (a - b) * (a - b) // b
+    out = []
+    for lang, source in groups:
+        pair = [(-sum(far(p[lang, source, t], p[lang, other, t]) for t in kept[lang]), other.encode()) for g, other in groups if g == lang and other != source]
+        term = [(-far(p[lang, source, t], q[lang, t]), t.encode()) for t in kept[lang] if own[lang, source, t] and p[lang, source, t] > q[lang, t]]
+        for part, items in (("pair", sorted(pair)), ("term", sorted(term)[:top])):
+            out += [(lang, source, part, item.decode(), -v, i + 1) for i, (v, item) in enumerate(items)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("least", "top"), [(3, 200), (1, 5), (20, 3)])
+def test_divergences(spark, docs, least, top):
+    got = op13.divergences(docs, op13.Audit(min_docs=least, top=top))
+    assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
+    want = diverged(corpus(), least, top)
+    assert len(want) > 40 and sorted(map(tuple, got.collect())) == want
+
+
+def test_a_crowded_sketch_never_underestimates_and_changes_nothing(spark, docs, monkeypatch):
+    rows = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "text")])
+    df = Counter()
+    for _, text, lang, _ in corpus():
+        df.update((lang or "", t) for t in set(re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", low(text))))
+    monkeypatch.setattr(op13, "_PART", 8)
+    for width in (8, 64, 1024):
+        sketch = op13.document_sketch(rows, width, 200)
+        keys = list(df)
+        data = [t.encode() for _, t in keys]
+        off = np.concatenate(([0], np.cumsum([len(t) for t in data])))
+        h = op13.tx.words(np.frombuffer(b"".join(data), np.uint8), off, op13._GAP).hash
+        h = op13.tx.mix(h + np.array([op13._seed(lang) for lang, _ in keys], np.uint64))
+        told = np.min([sketch[r, op13._cells(h, r, width)] for r in range(2)], axis=0)
+        assert (told >= np.minimum([df[k] for k in keys], 200)).all()
+    few = op13.divergences(docs, op13.Audit(cell_bytes=1 << 30, most_cells=8))
+    assert sorted(map(tuple, few.collect())) == diverged(corpus(), 3, 200)
+
+
+def test_phrases_and_divergences_without_rows(spark, docs, tmp_path):
+    assert op12.phrases(docs.limit(0)).count() == 0 and op13.divergences(docs.limit(0)).count() == 0
+    bare = spark.createDataFrame([(1, None, "en", "a"), (2, "", "en", "b"), (3, "x", "fr", "a")], DOCS)
+    assert op12.phrases(bare).count() == 0
+    assert sorted(map(tuple, op13.divergences(bare).collect())) == [("en", "a", "pair", "b", 0, 1), ("en", "b", "pair", "a", 0, 1)]
+
+
+def test_the_queries_of_phrases_and_divergences(spark, tmp_path):
+    rows = [(i, "alpha beta gamma. the end", ["en", None][i % 2], ["a", "b", None][i % 3]) for i in range(230)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = op12.query(spark, str(tmp_path))
+    assert dict(got.dtypes)["rank"] == "bigint" and sorted(map(tuple, got.collect())) == mined(rows, 100, 5, 2000)
+    got = op13.query(spark, str(tmp_path))
+    assert dict(got.dtypes)["rank"] == "int" and sorted(map(tuple, got.collect())) == diverged(rows, 3, 200)
