@@ -137,8 +137,9 @@ _RESULT = "chunk_id string, cache_key string, payload string, cached boolean, in
 def extract(chunks: DataFrame, cache: DataFrame, make: Callable[[], Backend], prompt_version: str = "v0", attempts: int = 4, wait: float = 0.0) -> DataFrame:
     """(chunk_id, cache_key, payload, cached, input_tokens, output_tokens, cost_usd, error) of chunks (chunk_id, message, text).
 
-    Cached payloads (cache_key, payload) that are valid are used as they are; only
-    the rest reach the backend, which is made once a task.  An answer is validated,
+    Cached payloads (cache_key, payload) that are valid are used as they are; of the
+    rest each distinct text is asked for once, for the chunk whose id comes first, and
+    the other chunks of that text take its answer as cached.  The backend is made once a task.  An answer is validated,
     its entities are merged and its relationships renamed within the attempt, so an
     invalid answer is asked for again like a failed call.  A chunk that fails
     `attempts` times gives a row with its error and no payload, and the run goes
@@ -151,6 +152,7 @@ def extract(chunks: DataFrame, cache: DataFrame, make: Callable[[], Backend], pr
     zero = [F.lit(0).cast("long").alias("input_tokens"), F.lit(0).cast("long").alias("output_tokens"), F.lit(0.0).alias("cost_usd"), F.lit(None).cast("string").alias("error")]
     hits = found.where("payload IS NOT NULL").select("chunk_id", "cache_key", "payload", F.lit(True).alias("cached"), *zero)
     misses = found.where("payload IS NULL").select("chunk_id", "cache_key", "message")
+    asked = misses.groupBy("cache_key").agg(F.min(F.struct("chunk_id", "message")).alias("m")).select("m.chunk_id", "cache_key", "m.message")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = make()
@@ -170,7 +172,11 @@ def extract(chunks: DataFrame, cache: DataFrame, make: Callable[[], Backend], pr
                 rows.append((chunk, key, payload, False, answer.get("input_tokens", 0), answer.get("output_tokens", 0), answer.get("cost_usd", 0.0), error))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _RESULT.split(", ")])
 
-    return hits.unionByName(misses.mapInPandas(run, _RESULT))
+    answers = asked.mapInPandas(run, _RESULT).withColumnRenamed("chunk_id", "_asked")
+    told = misses.select("chunk_id", "cache_key").join(answers, "cache_key")
+    own = F.col("chunk_id") == F.col("_asked")
+    spent = [F.when(own, F.col(c)).otherwise(z).alias(c) for c, z in (("input_tokens", F.lit(0).cast("long")), ("output_tokens", F.lit(0).cast("long")), ("cost_usd", F.lit(0.0)))]
+    return hits.unionByName(told.select("chunk_id", "cache_key", "payload", (~own & F.col("payload").isNotNull()).alias("cached"), *spent, "error"))
 
 
 def fresh_entries(extracted: DataFrame) -> DataFrame:

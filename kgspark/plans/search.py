@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kgspark.functions import ids
-from kgspark.operators import embedding, graph, search, vector_index
+from kgspark.functions import ids, json_schema
+from kgspark.operators import embedding, export, graph, search, vector_index
 from kgspark.plans.queries import CHUNKS, EDGES, NODES, RELS, _AT, _seed, edge_table, ent, entity_facts, node_table, norm, query, read, relation_facts
 from kgspark.plans.tables import cut, folder
-from kgspark.sources import graph_store
+from kgspark.sources import graph_schema, graph_store
 from kgspark.streaming import arrivals
 
 # --- embeddings and the vector index -------------------------------------------
@@ -160,3 +160,28 @@ def arrival_statuses(spark, d):
     sent(docs.where("doc_id % 4 != 0"), after, 2).union(sent(gone, F.lit(None).cast("string"), 2)).write.mode("append").parquet(f"{base}/in")
     arrivals.track(spark, f"{base}/in", f"{base}/out", f"{base}/state")
     return arrivals.read_statuses(spark, f"{base}/out").where("seq = 2").select("path", "status", "version")
+
+
+# --- the published form ------------------------------------------------------------
+
+
+@query(f"""WITH {NODES}, n AS (SELECT 'node' AS kind, entity_id AS id, right(entity_id, 1) AS x FROM nodes), {EDGES.replace(CHUNKS + ', ', '')}, e AS (SELECT 'edge' AS kind, edge_id AS id, right(edge_id, 1) AS x FROM edges),
+r AS (SELECT * FROM (VALUES ('node', '0', '/id', 'pattern'), ('node', '1', '/type', 'enum'), ('node', '2', '/colour', 'additionalProperties'), ('node', '3', '/properties', 'oneOf'), ('node', '4', '/properties', 'oneOf'), ('node', '5', '/type', 'required'), ('node', '6', '', 'json'),
+  ('edge', '0', '/properties/confidence', 'maximum'), ('edge', '1', '/type', 'pattern'), ('edge', '2', '/properties/provenance_tag', 'enum'), ('edge', '3', '/source', 'type'), ('edge', '4', '/properties/source_doc_ids', 'uniqueItems'), ('edge', '5', '/properties/source_doc_ids/1', 'type')) AS t(kind, x, pointer, rule))
+SELECT kind, id, pointer, rule FROM (SELECT * FROM n UNION ALL SELECT * FROM e) JOIN r USING (kind, x)""")
+def schema_errors(spark, d):
+    """Exported nodes and edges against the published schema; the last digit of an id decides which rule its row was made to break."""
+    x = F.right("id", F.lit(1))
+    spoil = lambda c, digit, old, new: F.when(x == digit, F.regexp_replace(c, old, new)).otherwise(c)
+    n = export.node_rows(node_table(spark, d)).withColumnRenamed("entity_id", "id")
+    e = export.edge_rows(edge_table(spark, d)).withColumnRenamed("edge_id", "id")
+    node_faults = {"0": ('"id":"ent', '"id":"ENT'), "1": ('"type":"Entity"', '"type":"Thing"'), "2": (r"^\{", '{"colour":1,'), "3": (r'"mention_count":\d+', '"mention_count":0'), "4": (r'"name":"[^"]*"', '"name":""'), "5": ('"type":"Entity",', ""), "6": (r"\}$", "")}
+    edge_faults = {"0": (r'"confidence":[0-9.]+', '"confidence":1.5'), "1": (r'"type":"[A-Z_]+"', '"type":"bought"'), "2": (r'"provenance_tag":"[A-Z]+"', '"provenance_tag":"GUESSED"'), "3": (r'"source":"[^"]*"', '"source":7'), "4": (r'"properties":\{', '"properties":{"source_doc_ids":["a","b","a"],'), "5": (r'"properties":\{', '"properties":{"source_doc_ids":["a",2],')}
+    found = None
+    for kind, rows, faults in (("node", n, node_faults), ("edge", e, edge_faults)):
+        text = F.col("json")
+        for digit, (old, new) in faults.items():
+            text = spoil(text, digit, old, new)
+        one = json_schema.invalid(rows.select(F.lit(kind).alias("kind"), "id", text.alias("json")), graph_schema.schema_of(kind))
+        found = one if found is None else found.unionByName(one)
+    return found
