@@ -44,7 +44,7 @@ _GAP[65:91] = _GAP[97:123] = False
 #: sketch rows, and cells in a row of the table of sketches
 _ROWS, _PART = 2, 1 << 16
 #: (source, term) counts that a task holds before it hands them on
-_HELD = 1 << 20
+_HELD = 1 << 17
 #: groups up to which they are broadcast; beyond it they are shuffled
 _FEW = 100_000
 
