@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -67,12 +69,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 # candidate generators; each starts at an anchor, so that all take linear time
 _AT = re.compile(r"(?i:\(at\)|\[at\]|\{at\}|\bat\b)|@")
-_BEFORE = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]|\x20?(?i:\(dot\)|\[dot\]|\bdot\b)\x20?)*\x20?\Z")
+#: what stands for a dot in a spelt-out address, with the blanks around it
+_DOT = re.compile(r"\x20?(?i:\(dot\)|\[dot\]|\bdot\b)\x20?")
+#: characters of the longest of these
+_DOT_REACH = 7
 _AFTER = re.compile(r"\x20?[A-Za-z0-9-]{1,63}(?:(?:\x20?(?i:\(dot\)|\[dot\]|\{dot\}|\bdot\b)\x20?|\.)[A-Za-z0-9-]{2,63}){1,5}")
 _SPLIT_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\x20?(?i:\[\.\]|\(\.\)|\[dot\]|\(dot\)|\bdot\b)\x20?[0-9]{1,3}){3}(?![0-9.])")
 _RUN = re.compile(r"[0-9]++(?:[\x20()./_-]{1,3}[0-9]++)*+")
 _LONG = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
-_MIXED = re.compile(r"[0-9](?=.*[A-Za-z])|[A-Za-z](?=.*[0-9])")
+_LETTER = re.compile(r"[A-Za-z]")
+#: candidates judged at a time
+_JUDGED = 4096
 #: characters before an anchor that an address may take
 _REACH = 96
 #: words that stand before a span of each kind (fixed values)
@@ -87,37 +94,62 @@ _CONTEXT = (
 _HARMLESS = re.compile(r"commit|sha|md5|checksum|digest|etag|revision|build|isbn|doi|http|www|uuid", re.I)
 
 
-def candidates(text: str) -> list[tuple[int, int, int]]:
-    """Overlapping spans that may be personal data, of high recall."""
-    found = []
+def local_start(text: str, at: int) -> int | None:
+    """Where the local part of an address begins that ends before `at`, at most _REACH characters back; None without one.
+
+    A local part is a letter or digit, then characters of local parts and spelt-out
+    dots, then a blank at most.  Each place is looked at once, from the right: it leads
+    to the end if its character, or a dot that begins there, is followed by one that does.
+    """
+    low = max(0, at - _REACH)
+    leads, best, last = [False] * (at - low) + [True], None, at
+    for i in range(at - 1, low - 1, -1):
+        c = text[i]
+        ok = c in _LOCAL and leads[i + 1 - low] or c == " " and i == at - 1
+        if leads[i + 1 - low] and c in _LOCAL and c not in "._%+-":
+            best = i
+        if not ok and c in " ([dD":
+            # blanks around a dot are part of it or not
+            m = _DOT.match(text, i, at)
+            ok = bool(m) and (leads[m.end() - low] or text[m.end() - 1] == " " and leads[m.end() - 1 - low])
+        leads[i - low] = ok
+        last = i if ok else last
+        if last - i > _DOT_REACH:
+            break  # nothing further back can lead to the end
+    return best
+
+
+def candidates(text: str) -> Iterator[tuple[int, int, int]]:
+    """Overlapping spans that may be personal data, of high recall: a bounded number for each place of the text."""
     for m in _AT.finditer(text):
-        before = _BEFORE.search(text, max(0, m.start() - _REACH), m.start())
-        after = _AFTER.match(text, m.end()) if before else None
-        if after:
-            found.append((0, before.start(), after.end()))
-            first = text.rfind(" ", before.start(), max(before.start(), m.start() - 1)) + 1
-            if first > before.start():
-                found.append((0, first, after.end()))
-    if _DIGIT.search(text):
-        found += [(1, *m.span()) for m in _SPLIT_IP.finditer(text)]
-        for m in _RUN.finditer(text):
-            if m.end() - m.start() < 9:
-                continue
-            groups = [(g.start(), g.end()) for g in re.finditer("[0-9]+", m[0])]
-            for i, (a, _) in enumerate(groups):
-                digits = 0
-                for c, b in groups[i:]:
-                    digits += b - c
-                    if digits > 19:
-                        break
-                    start = m.start() + a
-                    start -= text[start - 1 : start] == "+" or text[start - 1 : start] == "(" and ")" in m[0]
-                    if digits >= 13:
-                        found.append((2, m.start() + a, m.start() + b))
-                    if 9 <= digits <= 15:
-                        found.append((3, start, m.start() + b))
-        found += [(4, *m.span()) for m in _LONG.finditer(text) if _MIXED.search(m[0])]
-    return found
+        after = _AFTER.match(text, m.end())
+        start = local_start(text, m.start()) if after else None
+        if start is not None:
+            yield 0, start, after.end()
+            first = text.rfind(" ", start, max(start, m.start() - 1)) + 1
+            if first > start:
+                yield 0, first, after.end()
+    if not _DIGIT.search(text):
+        return
+    yield from ((1, *m.span()) for m in _SPLIT_IP.finditer(text))
+    for m in _RUN.finditer(text):
+        if m.end() - m.start() < 9:
+            continue
+        run = m[0]
+        groups, closes = [(g.start(), g.end()) for g in re.finditer("[0-9]+", run)], ")" in run
+        for i, (a, _) in enumerate(groups):
+            digits = 0
+            for c, b in groups[i : i + 20]:  # a group has a digit at least
+                digits += b - c
+                if digits > 19:
+                    break
+                start = m.start() + a
+                start -= text[start - 1 : start] == "+" or text[start - 1 : start] == "(" and closes
+                if digits >= 13:
+                    yield 2, m.start() + a, m.start() + b
+                if 9 <= digits <= 15:
+                    yield 3, start, m.start() + b
+    yield from ((4, *m.span()) for m in _LONG.finditer(text) if _DIGIT.search(m[0]) and _LETTER.search(m[0]))
 
 
 def describe(text: str, span: tuple[int, int, int]) -> list[float]:
@@ -336,16 +368,17 @@ def find_spans(text: str, base: list[tuple[int, int, int]], trees: Trees, thresh
     taken = bytearray(len(text))  # places of base and chosen spans
     for _, a, b in base:
         taken[a:b] = b"\1" * (b - a)
-    proposed = [c for c in candidates(text) if 1 not in taken[c[1] : c[2]]]
+    proposed = (c for c in candidates(text) if 1 not in taken[c[1] : c[2]])
+    likely: list[tuple[float, tuple[int, int, int]]] = []
+    while some := list(islice(proposed, _JUDGED)):
+        p = trees.probability(np.array([describe(text, c) for c in some]))
+        likely += [(x, c) for x, c in zip(p.tolist(), some) if x >= thresholds[c[0]]]
     chosen = list(base)
-    if proposed:
-        p = trees.probability(np.array([describe(text, c) for c in proposed]))
-        for i in np.argsort(-p, kind="stable").tolist():
-            kind, a, b = proposed[i]
-            if p[i] < thresholds[kind] or 1 in taken[a:b]:
-                continue
+    for _, span in sorted(likely, key=lambda x: -x[0]):
+        _, a, b = span
+        if 1 not in taken[a:b]:
             taken[a:b] = b"\1" * (b - a)
-            chosen.append(proposed[i])
+            chosen.append(span)
     return sorted(chosen)
 
 

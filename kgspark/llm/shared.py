@@ -56,6 +56,35 @@ def drop_table(df: DataFrame) -> None:
             _delete(df.sparkSession, folder)
 
 
+class Left:
+    """Tables that a returned DataFrame still reads, each deleted once no plan refers to it any more.
+
+    Every plan over a table holds the file index that the table was read with, also
+    plans derived from it; a weak reference in the JVM tells whether one is left.
+    """
+
+    def __init__(self):
+        self._tables: list[tuple[SparkSession, str, object]] = []
+
+    def add(self, table: DataFrame) -> None:
+        spark = table.sparkSession
+        index = table._jdf.queryExecution().analyzed().collectLeaves().head().relation().location()
+        for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            self._tables.append((spark, folder, spark.sparkContext._jvm.java.lang.ref.WeakReference(index)))
+
+    def sweep(self) -> None:
+        """Delete the tables that nothing can read again; the others stay for a later call."""
+        self._tables = [t for t in self._tables if t[0].sparkContext._jsc is not None]
+        if not self._tables:
+            return
+        gc.collect()
+        self._tables[0][0].sparkContext._jvm.System.gc()
+        for spark, folder, index in list(self._tables):
+            if index.get() is None:
+                self._tables.remove((spark, folder, index))
+                _delete(spark, folder)
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[list[DataFrame]]:
     """Deletes, at its end, the tables made inside; those put into the list that it gives stay."""
