@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kgspark.functions.ids import edge_id, entity_id
+from kgspark.functions.paths import parent_path
 from kgspark.operators.rules import ENTITY_TYPES, PROVENANCE_TAGS
 from kgspark.plans.tables import cut, discard
 
@@ -266,6 +267,12 @@ def maintained(table: DataFrame, facts: DataFrame, changed: DataFrame, fresh: Da
     return table.join(touched, keys, "left_anti").select(*table.columns).unionByName(build(again))
 
 
+def parent_edges(nodes: DataFrame, folders: DataFrame) -> DataFrame:
+    """(child, parent) of nodes (doc_id, path) and the documents that stand for folders (doc_id, path): a node's parent is that of its path without the leaf, and never the node itself."""
+    up = nodes.select(F.col("doc_id").alias("child"), parent_path(F.col("path")).alias("path"))
+    return up.join(folders.select(F.col("doc_id").alias("parent"), "path"), "path").where("child != parent").select("child", "parent")
+
+
 def degrees(edge_table: DataFrame) -> DataFrame:
     ends = edge_table.select(F.col("source_id").alias("entity_id")).union(edge_table.select("target_id"))
     return ends.groupBy("entity_id").agg(F.count("*").alias("degree"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kgspark.functions import ids, json_schema
-from kgspark.operators import embedding, export, graph, search, vector_index
+from kgspark.operators import embedding, export, graph, resolution, search, vector_index
 from kgspark.plans.queries import CHUNKS, EDGES, NODES, RELS, _AT, _seed, edge_table, ent, entity_facts, node_table, norm, query, read, relation_facts
 from kgspark.plans.tables import cut, folder
 from kgspark.sources import graph_schema, graph_store
@@ -185,3 +185,34 @@ def schema_errors(spark, d):
         one = json_schema.invalid(rows.select(F.lit(kind).alias("kind"), "id", text.alias("json")), graph_schema.schema_of(kind))
         found = one if found is None else found.unionByName(one)
     return found
+
+
+# --- entities that are one -----------------------------------------------------------
+
+# a third of the suppliers is written with a hyphen, and every tenth customer's name has a letter twice
+_SPELT = """s AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'Supplier-' || s_suppkey || ' Ltd' ELSE 'Supplier ' || s_suppkey || ' Ltd' END AS name, 'Organization' AS type, 1 + s_suppkey % 4 AS mention_count FROM supplier
+  UNION ALL SELECT 'Customerr ' || c_custkey, 'Person', 1 FROM customer WHERE c_custkey % 10 = 0 UNION ALL SELECT 'Customer ' || c_custkey, 'Person', 2 FROM customer UNION ALL SELECT p_name, 'Work', count(*) FROM part GROUP BY 1)"""
+
+
+def _spelt(spark, d):
+    s, c, p = read(spark, d, "supplier"), read(spark, d, "customer"), read(spark, d, "part")
+    name = lambda word, key: F.concat(F.lit(word), F.col(key).cast("string"))
+    rows = s.select(F.concat(F.when(F.col("s_suppkey") % 3 == 0, name("Supplier-", "s_suppkey")).otherwise(name("Supplier ", "s_suppkey")), F.lit(" Ltd")).alias("name"), F.lit("Organization").alias("type"), (1 + F.col("s_suppkey") % 4).cast("long").alias("mention_count"))
+    rows = rows.union(c.where("c_custkey % 10 = 0").select(name("Customerr ", "c_custkey"), F.lit("Person"), F.lit(1).cast("long"))).union(c.select(name("Customer ", "c_custkey"), F.lit("Person"), F.lit(2).cast("long")))
+    rows = rows.union(p.groupBy("p_name").agg(F.count("*").alias("n")).select("p_name", F.lit("Work"), "n"))
+    return rows.withColumn("entity_id", ids.entity_id(F.col("name"), F.col("type")))
+
+
+@query(f"""WITH {_SPELT}, e AS (SELECT DISTINCT {ent('name', 'type')} AS id, type, ' ' || {norm('name')} || ' ' AS p FROM s),
+g AS (SELECT id, type, list_distinct(list_transform(range(1, len(p) - 1), lambda i: substr(p, i, 3))) AS g FROM e),
+x AS (SELECT a.type, a.id AS a, b.id AS b, len(list_intersect(a.g, b.g)) AS c, len(a.g) + len(b.g) AS n FROM g a JOIN g b ON a.type = b.type AND a.id < b.id)
+SELECT type, a, b, round(c / (n - c), 6) AS similarity FROM x WHERE round(c / (n - c), 6) >= 0.75""")
+def entity_links(spark, d):
+    """All pairs of similar names of one type."""
+    return resolution.similar_pairs(_spelt(spark, d), 0.75)
+
+
+@query(None)
+def entity_resolution(spark, d):
+    """Every entity and the one that it is, by similarity and a judge that compares digits."""
+    return resolution.resolve_entities(cut(_spelt(spark, d)), resolution.SameDigits)[0]
