@@ -7,6 +7,7 @@ import re
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import partial
 from typing import Protocol
 
 import pandas as pd
@@ -52,10 +53,19 @@ def register_backend(name: str, make: Callable[..., Backend]) -> None:
     _BACKENDS[name.strip().lower()] = make
 
 
-def make_backend(name: str, **options) -> Backend:
+def backends() -> list[str]:
+    return sorted(_BACKENDS)
+
+
+def backend_maker(name: str, **options) -> Callable[[], Backend]:
+    """What makes the backend of this name: looked up here, so that tasks need not know what was registered."""
     if name.strip().lower() not in _BACKENDS:
         raise ValueError(f"unknown backend {name!r}")
-    return _BACKENDS[name.strip().lower()](**options)
+    return partial(_BACKENDS[name.strip().lower()], **options)
+
+
+def make_backend(name: str, **options) -> Backend:
+    return backend_maker(name, **options)()
 
 
 def tool_definition() -> dict:

@@ -35,7 +35,7 @@ def ingest(docs: DataFrame, make: Callable[[], extraction.Backend], cache: DataF
     """
     spark = docs.sparkSession
     cache = spark.createDataFrame([], CACHE) if cache is None else cache
-    chunks = chunker.chunk_documents(docs, settings)
+    chunks = cut(chunker.chunk_documents(docs, settings))
     asked = chunks.withColumn("message", extraction.user_message(F.col("canonical_path"), F.col("chunk_id"), F.col("heading"), F.col("text")))
     extracted = cut(extraction.extract(asked.select("chunk_id", "message", "text"), cache, make, prompt_version, attempts, wait))
     ents, rels = extraction.facts(extracted, chunks)

@@ -25,16 +25,25 @@ _STRINGS = ["title", "source_url", "parent", "created", "updated", "fetched_at",
 _FRONT = T.StructType([T.StructField(n, T.ArrayType(T.StringType()) if n in ("aliases", "tags") else T.StringType()) for n in ("title", "aliases", "tags", *_STRINGS[1:])])
 
 
+def missing_folders(spark: SparkSession, sources: Sequence[tuple[str, str, str]]) -> list[str]:
+    """The folders of sources (folder, repo, layout) that are not there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths_ = {folder: jvm.org.apache.hadoop.fs.Path(folder) for folder, _, _ in sources}
+    return [folder for folder, p in paths_.items() if not p.getFileSystem(conf).exists(p) or not p.getFileSystem(conf).getFileStatus(p).isDirectory()]
+
+
 def read_markdown(spark: SparkSession, sources: Sequence[tuple[str, str, str]]) -> DataFrame:
     """(src_ord, source_repo, layout, rel, content) of the .md files of sources (folder, repo, layout), any Hadoop path."""
-    out = None
+    jvm, conf, out = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), None
     for i, (folder, repo, layout) in enumerate(sources):
         if layout not in ("flat", "nested"):
             raise ValueError(f"layout {layout!r} is neither flat nor nested")
         files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(folder, wholetext=True)
-        base = folder.rstrip("/") + "/"
-        rel = F.regexp_replace(F.expr("_metadata.file_path"), "^.*" + base.replace(".", r"\."), "")
-        one = files.select(F.lit(i).alias("src_ord"), F.lit(repo).alias("source_repo"), F.lit(layout).alias("layout"), F.url_decode(F.replace(rel, F.lit("+"), F.lit("%2B"))).alias("rel"), F.col("value").alias("content"))
+        at = jvm.org.apache.hadoop.fs.Path(folder)
+        base = at.getFileSystem(conf).makeQualified(at).toUri().getPath().rstrip("/") + "/"
+        path = F.url_decode(F.replace(F.expr("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        rel = F.substr(path, F.instr(path, F.lit(base)) + len(base))
+        one = files.select(F.lit(i).alias("src_ord"), F.lit(repo).alias("source_repo"), F.lit(layout).alias("layout"), rel.alias("rel"), F.col("value").alias("content"))
         out = one if out is None else out.unionByName(one)
     if out is None:
         raise ValueError("no source folder given")
