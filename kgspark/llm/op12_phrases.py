@@ -5,8 +5,9 @@ each of its words; positions skip one at the end of a piece, so that neighbours
 list of positions are neighbours in a piece.  Level by level:
 
 1. Each block tells the length of each of its lists; the lengths of a phrase, added
-   up over the blocks, are its exact frequency.  Only what is frequent goes back to
-   the blocks, with an id.
+   up over the blocks, are its exact frequency.  A sketch of all lengths, which never
+   underestimates, spares those that cannot be frequent.  Only what is frequent goes
+   back to the blocks, with an id.
 2. A block drops the lists of infrequent phrases and merges the others: a phrase at
    position p is extended by the word after it where the phrase that ends there, which
    begins at p + 1, is frequent too; the positions p of each such pair are the list of
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kgspark.llm import sketch
 from kgspark.llm import text as tx
 from kgspark.llm.op6_language_model import _pack, _unpack
 from kgspark.llm.shared import drop_table, materialize
 
+U64 = np.uint64
 #: bytes that end a piece, and those that end a word
 _PIECE = np.zeros(256, dtype=bool)
 _PIECE[[*b".,;:!?", 10, 11, 12, 13]] = True
@@ -47,12 +51,14 @@ _FEW = 100_000
 @dataclass(frozen=True)
 class Mining:
     """min_count: occurrences in its language that a candidate needs; most_words: words of the longest;
-    top: phrases reported for a language; block_bytes: bytes of text in a block, about."""
+    top: phrases reported for a language; block_bytes: bytes of text in a block, about;
+    most_cells: cells of a row of the sketch at most, so that it takes 64 MB whatever the input."""
 
     min_count: int = 100
     most_words: int = 5
     top: int = 2000
-    block_bytes: int = 16 << 20
+    block_bytes: int = 8 << 20
+    most_cells: int = 1 << 26
 
 
 class Block:
@@ -176,19 +182,85 @@ def _extended(lists: pa.Table, told: pa.Table) -> pa.Table:
     return pa.table([pa.array([x], kind) for x, kind in zip(cells, kinds)], schema=schema)
 
 
-def _frequent(lists: DataFrame, key: list[str], min_count: int) -> DataFrame:
-    """(block, list, id, f, *key) of what is frequent, as a table; rows of lists have the key's arrays and n.
+def _hashes(batch: pa.RecordBatch, row: int, key: list[str]) -> np.ndarray:
+    """A hash of each key of a block: of its language and word, or of the ids of its two ends."""
+    names = batch.schema.names
+    parts = [batch.column(names.index(k))[row].values for k in key]
+    if len(parts) == 1:
+        buf, off = tx.bytes_of(parts[0])
+        seed = int.from_bytes(blake2b(batch.column(names.index("lang"))[row].as_py().encode(), digest_size=8).digest(), "little")
+        return tx.mix(tx.hashes(buf, off[:-1], off[1:]) + U64(seed))
+    return tx.mix(tx.mix(parts[0].to_numpy().astype(U64)) + parts[1].to_numpy().astype(U64))
+
+
+def _sketched(key: list[str], width: int, full: int):
+    """The lengths of all lists of a task's blocks, in a sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = sketch.Sketch(width, full, 1)
+        for batch in batches:
+            for row in range(len(batch)):
+                made.add_hashes(_hashes(batch, row, key), batch.column(batch.schema.names.index("n"))[row].values.to_numpy())
+        yield from made.parts()
+        tx.trim()
+
+    return run
+
+
+def _told(key: list[str], sent, full: int):
+    """Rows (block, list, n, lang?, *key) of the lists that the sketch lets pass, numbered in their order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.schema.names
+            for row in range(len(batch)):
+                at = pa.array(np.flatnonzero(sketch.passes(sent.value, _hashes(batch, row, key), full)))
+                cells = [pa.repeat(batch.column(names.index(c))[row], len(at)) for c in ("block", "lang") if c in names]
+                lists = [batch.column(names.index(c))[row].values.take(at) for c in ("n", *key)]
+                yield pa.RecordBatch.from_arrays([cells[0], pa.array(np.arange(len(at))), *cells[1:], *lists], names=["block", "list", *names[1 : len(cells)], "n", *key])
+        tx.trim()
+
+    return run
+
+
+def _thinned(key: list[str], sent, full: int):
+    """Rows (block, n, lists) with the lists only that the sketch lets pass: what is left moves to the answers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.schema.names
+            for row in range(len(batch)):
+                stay = sketch.passes(sent.value, _hashes(batch, row, key), full)
+                if not stay.any():
+                    continue
+                n = batch.column(names.index("n"))[row].values.to_numpy()
+                at = np.cumsum(_unpack(batch.column(names.index("lists"))[row].as_py(), np.int64))[np.repeat(stay, n)]
+                cells = [pa.array([n[stay]], pa.list_(pa.int64())), pa.array([_pack(np.diff(at, prepend=0))], pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column(names.index("block")).slice(row, 1), *cells], names=["block", "n", "lists"])
+        tx.trim()
+
+    return run
+
+
+def _frequent(lists: DataFrame, key: list[str], mining: Mining, words: int) -> tuple[DataFrame, DataFrame]:
+    """(told, thinned): (block, list, id, f, *key) of what is frequent, as a table, and the blocks' lists that it may
+    be about, (block, n, lists), in the same numbering.  Rows of lists have the key's arrays, n and lists.
 
     The key is given once for each phrase, in the row of the place that is its id.
+    words: of all texts; the sketch has a cell for each eight of them.
     """
-    zipped = F.arrays_zip(*[F.col(k) for k in [*key, "n"]])
     # a language is part of a word's key; ids of phrases differ between languages
-    lead = [c for c in ("lang",) if c in lists.columns]
-    rows = lists.select("block", *lead, F.posexplode(zipped).alias("list", "x")).select("block", "list", *lead, *[F.col(f"x.{k}").alias(k) for k in [*key, "n"]])
+    spark, lead = lists.sparkSession, [c for c in ("lang",) if c in lists.columns]
+    full, width = max(1, min(mining.min_count, 255)), sketch.width_for(words // 8, mining.most_cells)
+    told = lists.select("block", *lead, "n", *key)
+    sent = spark.sparkContext.broadcast(sketch.merged(told.mapInArrow(_sketched(key, width, full), sketch.SCHEMA), width, full, 1))
+    kinds = ", ".join(f"{c} {'string' if c == 'words' else 'bigint'}" for c in key)
+    rows = told.mapInArrow(_told(key, sent, full), f"block bigint, list bigint{''.join(f', {c} string' for c in lead)}, n bigint, {kinds}")
     place = F.shiftleft("block", _LIST_BITS) + F.col("list")
     over = Window.partitionBy(*lead, *key)
-    found = rows.select("*", F.sum("n").over(over).alias("f"), F.min(place).over(over).alias("id")).where(F.col("f") >= min_count)
-    return materialize(found.select("block", "list", "id", "f", *[F.when(place == F.col("id"), F.col(k)).alias(k) for k in [*lead, *key]]))
+    found = rows.select("*", F.sum("n").over(over).alias("f"), F.min(place).over(over).alias("id")).where(F.col("f") >= mining.min_count)
+    out = materialize(found.select("block", "list", "id", "f", *[F.when(place == F.col("id"), F.col(k)).alias(k) for k in [*lead, *key]]))
+    return out, lists.select("block", *lead, "n", *key, "lists").mapInArrow(_thinned(key, sent, full), "block bigint, n array<bigint>, lists binary")
 
 
 def _best_cut(k: int) -> Column:
@@ -219,16 +291,17 @@ def phrases(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     lists = materialize(rows.mapInArrow(_blocks(mining.block_bytes), "block bigint, lang string, words array<string>, n array<bigint>, lists binary"))
     totals = materialize(lists.groupBy("lang").agg(F.sum(F.expr("aggregate(n, 0L, (a, x) -> a + x)")).alias("n")))
-    told = _frequent(lists, ["words"], mining.min_count)
+    words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    told, thin = _frequent(lists, ["words"], mining, words)
     once = told.where("words IS NOT NULL")
     known = [materialize(once.select("id", "lang", F.col("words").alias("phrase"), F.col("words").alias("end"), F.array("f").alias("first"), F.array("f").alias("last"), "f"))]
     inside: list[DataFrame] = []
     for k in range(2, mining.most_words + 1):
         if not told.limit(1).count():
             break
-        longer = lists.select("block", "n", "lists").groupBy("block").cogroup(told.select("block", "list", "id").groupBy("block")).applyInArrow(_extended, _LONGER)
+        longer = thin.groupBy("block").cogroup(told.select("block", "list", "id").groupBy("block")).applyInArrow(_extended, _LONGER)
         lists = materialize(longer, lists, told)
-        told = _frequent(lists, ["prefix", "suffix"], mining.min_count)
+        told, thin = _frequent(lists, ["prefix", "suffix"], mining, words)
         p, s = (known[-1].select(*[F.col(c).alias(f"{side}_{c}") for c in names]) for side, names in (("p", ("id", "lang", "phrase", "first")), ("s", ("id", "end", "last"))))
         grown = told.where("prefix IS NOT NULL").select("id", "prefix", "suffix", "f").join(p, F.col("prefix") == F.col("p_id")).join(s, F.col("suffix") == F.col("s_id"))
         more = lambda c: F.concat(f"{c}", F.array("f"))

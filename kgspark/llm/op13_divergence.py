@@ -29,10 +29,10 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kgspark.llm import sketch
 from kgspark.llm import text as tx
 from kgspark.llm.shared import materialize
 
@@ -41,8 +41,8 @@ U64 = np.uint64
 _GAP = np.zeros(256, dtype=bool)
 _GAP[:128] = True
 _GAP[65:91] = _GAP[97:123] = False
-#: sketch rows, and cells in a row of the table of sketches
-_ROWS, _PART = 2, 1 << 16
+#: rows of the sketch
+_ROWS = 2
 #: (source, term) counts that a task holds before it hands them on
 _HELD = 1 << 17
 #: groups up to which they are broadcast; beyond it they are shuffled
@@ -54,8 +54,8 @@ class Audit:
     """min_docs: documents of a language that a kept term needs; top: terms reported for a source.
 
     cell_bytes: bytes of text to a cell of the sketch; most_cells: cells of a row at most,
-    so that the sketch, which is collected and broadcast, takes _ROWS * most_cells bytes
-    whatever the input (128 MB); a crowded sketch lets more terms pass to the exact
+    so that the sketch, which is collected and broadcast, takes 128 MB whatever the
+    input; a crowded sketch lets more terms pass to the exact
     counts and changes no result.
     """
 
@@ -65,8 +65,8 @@ class Audit:
     most_cells: int = 1 << 26
 
     def width(self, size: int) -> int:
-        """Cells of a row for so many bytes of text: a power of two."""
-        return min(self.most_cells, max(_PART, 1 << (size // self.cell_bytes).bit_length()))
+        """Cells of a row for so many bytes of text."""
+        return sketch.width_for(size // self.cell_bytes, self.most_cells)
 
 
 @dataclass
@@ -94,61 +94,27 @@ def _terms(batch: pa.RecordBatch) -> Iterator[Terms]:
         yield Terms(buf, w.start, w.end, tx.mix(w.hash + seed[doc]), doc)
 
 
-def _cells(h: np.ndarray, row: int, width: int) -> np.ndarray:
-    return tx.mix(h + U64(row + 1)) & U64(width - 1)
-
-
 def _sketched(width: int, full: int):
-    """The sketch of a task as rows (part, cells): a part is a run of _PART cells of one of the sketch's rows."""
+    """The sketch of a task's documents, as rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros((_ROWS, width), np.uint8)
+        made = sketch.Sketch(width, full, _ROWS)
         for batch in batches:
             bits = U64(max(1, (len(batch) - 1).bit_length()))
             for t in _terms(batch):
                 for row in range(_ROWS):
                     # a cell once for each document
-                    pairs = np.unique(_cells(t.hash, row, width) << bits | t.doc.astype(U64))
-                    cell, n = np.unique(pairs >> bits, return_counts=True)
-                    sketch[row, cell] = np.minimum(full, sketch[row, cell] + n)
-        parts = sketch.reshape(-1, _PART)
-        some = np.flatnonzero(parts.any(axis=1))
-        for at in some.tolist():
-            yield pa.RecordBatch.from_pydict({"part": pa.array([at], pa.int32()), "cells": [zstandard.compress(parts[at].tobytes(), 1)]})
+                    pairs = np.unique(sketch.cells(t.hash, row, width) << bits | t.doc.astype(U64))
+                    made.add(row, *np.unique(pairs >> bits, return_counts=True))
+        yield from made.parts()
         tx.trim()
 
     return run
 
 
-def _added(full: int):
-    """Rows in order of their part, added up to one row for each part."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, total = None, None
-        row = lambda: pa.RecordBatch.from_pydict({"part": pa.array([last], pa.int32()), "cells": [zstandard.compress(total.tobytes(), 1)]})
-        for batch in batches:
-            for part, cells in zip(batch.column(0).to_pylist(), batch.column(1)):
-                one = np.frombuffer(zstandard.decompress(cells.as_py()), np.uint8)
-                if part != last:
-                    if last is not None:
-                        yield row()
-                    last, total = part, one
-                else:
-                    total = np.minimum(full, total.astype(np.uint16) + one).astype(np.uint8)
-        if last is not None:
-            yield row()
-
-    return run
-
-
 def document_sketch(rows: DataFrame, width: int, full: int) -> np.ndarray:
     """The count-min sketch of rows (lang, text): for each cell the documents with a term there, `full` at most."""
-    made = rows.select("lang", "text").mapInArrow(_sketched(width, full), "part int, cells binary")
-    parts = made.repartition("part").sortWithinPartitions("part").mapInArrow(_added(full), "part int, cells binary").collect()
-    sketch = np.zeros((_ROWS * width // _PART, _PART), np.uint8)
-    for r in parts:
-        sketch[r["part"]] = np.frombuffer(zstandard.decompress(bytes(r["cells"])), np.uint8)
-    return sketch.reshape(_ROWS, width)
+    return sketch.merged(rows.select("lang", "text").mapInArrow(_sketched(width, full), sketch.SCHEMA), width, full, _ROWS)
 
 
 _COUNTED = "lang string, source string, term string, n bigint, df bigint"
@@ -166,15 +132,12 @@ def _counted(sent, full: int):
         return pa.RecordBatch.from_arrays([langs, sources, term, pa.array(sums[0]), pa.array(sums[1])], names=["lang", "source", "term", "n", "df"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, held, size = sent.value, [], 0
+        held, size = [], 0
         groups: dict[tuple[str, str], int] = {}
         for batch in batches:
             group = np.array([groups.setdefault(g, len(groups)) for g in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())], np.int64)
             for t in _terms(batch):
-                may = np.ones(len(t.hash), bool)
-                for row in range(_ROWS):
-                    may &= sketch[row, _cells(t.hash, row, sketch.shape[1])] >= full
-                at = np.flatnonzero(may)
+                at = np.flatnonzero(sketch.passes(sent.value, t.hash, full))
                 doc, mine = t.doc[at], group[t.doc[at]]
                 key = tx.mix(t.hash[at] + mine.astype(U64) * U64(0xD1342543DE82EF95))
                 order = np.lexsort((doc, key))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from kgspark.llm import op11_token_counts as op11
 from kgspark.llm import op12_phrases as op12
 from kgspark.llm import op13_divergence as op13
+from kgspark.llm import sketch
 
 DOCS = "doc_id bigint, text string, lang string, source string"
 ALPHABET = " \n\t ab th ing é漢字ｆﬁ▁<s></s>\x07😀é0123....=== aaaa"
@@ -174,23 +175,24 @@ def test_divergences(spark, docs, least, top):
     assert len(want) > 40 and sorted(map(tuple, got.collect())) == want
 
 
-def test_a_crowded_sketch_never_underestimates_and_changes_nothing(spark, docs, monkeypatch):
+def test_a_crowded_sketch_never_underestimates_and_changes_nothing(spark, docs):
     rows = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "text")])
     df = Counter()
     for _, text, lang, _ in corpus():
         df.update((lang or "", t) for t in set(re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", low(text))))
-    monkeypatch.setattr(op13, "_PART", 8)
     for width in (8, 64, 1024):
-        sketch = op13.document_sketch(rows, width, 200)
+        table = op13.document_sketch(rows, width, 200)
         keys = list(df)
         data = [t.encode() for _, t in keys]
         off = np.concatenate(([0], np.cumsum([len(t) for t in data])))
         h = op13.tx.words(np.frombuffer(b"".join(data), np.uint8), off, op13._GAP).hash
         h = op13.tx.mix(h + np.array([op13._seed(lang) for lang, _ in keys], np.uint64))
-        told = np.min([sketch[r, op13._cells(h, r, width)] for r in range(2)], axis=0)
+        told = np.min([table[r, sketch.cells(h, r, width)] for r in range(len(table))], axis=0)
         assert (told >= np.minimum([df[k] for k in keys], 200)).all()
-    few = op13.divergences(docs, op13.Audit(cell_bytes=1 << 30, most_cells=8))
+    few = op13.divergences(docs, op13.Audit(most_cells=8))
     assert sorted(map(tuple, few.collect())) == diverged(corpus(), 3, 200)
+    few = op12.phrases(docs, op12.Mining(4, most_cells=8))
+    assert sorted(map(tuple, few.collect())) == mined(corpus(), 4, 5, 2000)
 
 
 def test_phrases_and_divergences_without_rows(spark, docs, tmp_path):
