@@ -40,16 +40,21 @@ def entities(facts: DataFrame) -> DataFrame:
     """First-write-wins upsert of (entity_id, name, type, aliases, doc_id, ord); mentions are counted.
 
     Facts are first added up by what they say (id, name, type, aliases), before
-    the shuffle already, so that what follows is bounded by the distinct forms.
-    Facts with a description give their entity the first one.
+    the shuffle already.  An entity's surfaces are added up one by one as well, so
+    that no more than its distinct ones meet in a task, however often or in however
+    many forms it is mentioned.  Facts with a description give their entity the first one.
     """
     said = [c for c in ("name", "type", "aliases", "description") if c in facts.columns]
     forms = facts.groupBy("entity_id", *said).agg(F.min(F.struct("ord", "doc_id")).alias("first"), F.count("*").alias("n")).withColumn("ord", F.col("first.ord"))
-    surface = F.concat(F.coalesce("aliases", F.array().cast("array<string>")), F.array("name"))
-    return forms.groupBy("entity_id").agg(
+    core = forms.groupBy("entity_id").agg(
         *[F.min_by(c, "ord").alias(c) for c in ("name", "type")], F.min("first")["doc_id"].alias("first_seen_doc"), F.sum("n").alias("mention_count"),
-        *[F.min_by(c, "ord").alias(c) for c in said if c == "description"], ordered_set(F.col("ord"), surface).alias("aliases"),
+        *[F.min_by(c, "ord").alias(c) for c in said if c == "description"],
     )
+    surface = F.concat(F.coalesce("aliases", F.array().cast("array<string>")), F.array("name"))
+    each = forms.select("entity_id", "ord", F.posexplode(surface).alias("pos", "alias")).where("alias IS NOT NULL")
+    once = each.groupBy("entity_id", "alias").agg(F.min(F.struct("ord", "pos")).alias("at"))
+    listed = once.groupBy("entity_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "alias"))), lambda x: x["alias"]).alias("aliases"))
+    return core.join(listed, "entity_id", "left").withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>")))
 
 
 #: what makes an edge one; its id is a digest of these
