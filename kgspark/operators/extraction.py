@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kgspark.functions import json_schema
 from kgspark.functions.ids import cache_key, entity_id, strip
 from kgspark.operators.fuzzy import merge_entities
 from kgspark.operators.rules import ENTITY_TYPES, PROVENANCE_TAGS
@@ -110,14 +111,38 @@ def problems(entities: Column, relationships: Column) -> Column:
     return F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]), lambda x: x.isNotNull())
 
 
+def cleaned(payload: dict) -> dict:
+    """payload without white space around names, aliases and ends of relationships, and without blank aliases; what has another shape stays."""
+    bare = lambda x: x.strip() if isinstance(x, str) else x
+
+    def record(x: object, fields: tuple[str, ...]) -> object:
+        if not isinstance(x, dict):
+            return x
+        out = x | {f: bare(x[f]) for f in fields if f in x}
+        if isinstance(x.get("aliases"), list):
+            out["aliases"] = [a for a in map(bare, x["aliases"]) if a]
+        return out
+
+    fields = {"entities": ("name",), "relationships": ("source", "target")}
+    return payload | {k: [record(x, f) for x in payload[k]] for k, f in fields.items() if isinstance(payload.get(k), list)}
+
+
+def _more_keys(payload: dict) -> bool:
+    """Whether a payload, or a record in it, has a key that the tool does not know."""
+    lists = tool_definition()["input_schema"]["properties"]
+    known = {k: set(v["items"]["properties"]) for k, v in lists.items()}
+    return bool(set(payload) - set(known)) or any(set(x) - known[k] for k in known for x in payload[k])
+
+
 def problems_of(payload: dict) -> list[str]:
-    """Names of the rules that a parsed payload breaks: problems() for the step that calls a backend."""
+    """Names of the rules that a parsed payload breaks: problems() for the step that calls a backend, and keys that are not known."""
     ents, rels = payload.get("entities"), payload.get("relationships")
     if not isinstance(ents, list) or not isinstance(rels, list) or not all(isinstance(x, dict) for x in ents + rels):
         return ["shape"]
     names = {str(e.get("name") or "").strip() for e in ents}
     within = lambda c: isinstance(c, (int, float)) and not isinstance(c, bool) and 0 <= c <= 1
     checks = {
+        "keys": _more_keys(payload),
         "entity_name": any(not str(e.get("name") or "").strip() for e in ents),
         "entity_type": any(e.get("type") not in ENTITY_TYPES for e in ents),
         "predicate": any(not re.fullmatch(r"[A-Z][A-Z0-9_]*", str(r.get("predicate") or "")) for r in rels),
@@ -131,6 +156,7 @@ def problems_of(payload: dict) -> list[str]:
 
 def settle(payload: dict, threshold: float = 90) -> dict:
     """A valid payload with similar entities merged and relationships pointing at the kept names; else ValueError."""
+    payload = cleaned(payload)
     if broken := problems_of(payload):
         raise ValueError("invalid extraction: " + ", ".join(broken))
     ents = [{"name": e["name"].strip(), "type": e["type"], "aliases": list(e.get("aliases") or []), "description": e.get("description")} for e in payload["entities"]]
@@ -157,6 +183,7 @@ def extract(chunks: DataFrame, cache: DataFrame, make: Callable[[], Backend], pr
     """
     keyed = chunks.withColumn("cache_key", cache_key(F.lit(prompt_version), F.col("text")))
     parsed = cache.select("cache_key", "payload", F.from_json("payload", EXTRACTION).alias("x")).where(F.try_parse_json("payload").isNotNull() & F.col("x.entities").isNotNull() & F.col("x.relationships").isNotNull())
+    parsed = parsed.where(F.size(json_schema.errors_of_text(tool_definition()["input_schema"], F.col("payload"))) == 0)
     valid = parsed.where(F.size(problems(F.col("x.entities"), F.col("x.relationships"))) == 0).groupBy("cache_key").agg(F.min("payload").alias("payload"))
     found = keyed.join(valid, "cache_key", "left")
     zero = [F.lit(0).cast("long").alias("input_tokens"), F.lit(0).cast("long").alias("output_tokens"), F.lit(0.0).alias("cost_usd"), F.lit(None).cast("string").alias("error")]

@@ -249,3 +249,23 @@ def test_equal_texts_are_asked_for_once(spark, tmp_path):
     got = {r["chunk_id"]: (r["cached"], r["input_tokens"], r["cost_usd"], r["error"] is None) for r in out.collect()}
     assert got == {"c1": (False, 10, 0.5, True), "c2": (True, 0, 0.0, True), "c3": (True, 0, 0.0, True), "c4": (False, 10, 0.5, True), "c5": (False, 0, 0.0, False), "c6": (False, 0, 0.0, False)}
     assert sorted(open(log).read().split()) == ["bad5", "m1", "m4"]
+
+
+def test_payloads_are_cleaned_and_have_no_other_keys(spark):
+    entity = {"name": " Ann ", "type": "Person", "aliases": [" A ", "", "  "], "description": None}
+    link = {"source": "Ann ", "target": " Ann", "predicate": "KNOWS", "evidence_span": "Ann knows herself", "confidence": 1, "provenance_tag": "EXTRACTED"}
+    got = extraction.settle({"entities": [entity], "relationships": [link]})
+    assert (got["entities"][0]["name"], got["entities"][0]["aliases"]) == ("Ann", ["A"])
+    assert (got["relationships"][0]["source"], got["relationships"][0]["target"]) == ("Ann", "Ann")
+    spoilt = [
+        {"entities": [entity | {"age": 3}], "relationships": []}, {"entities": [], "relationships": [], "notes": "x"}, {"entities": [entity], "relationships": [link | {"why": ""}]},
+    ]
+    for payload in spoilt:
+        with pytest.raises(ValueError, match="keys"):
+            extraction.settle(payload)
+    text = spark.createDataFrame([("c1", "m", "t")], "chunk_id string, message string, text string")
+    key = spark.range(1).select(extraction.cache_key(F.lit("v0"), F.lit("t")).alias("k")).first()["k"]
+    cache = lambda payload: spark.createDataFrame([(key, json.dumps(payload))], "cache_key string, payload string")
+    make = lambda: extraction.MockBackend(default={"entities": [], "relationships": []})
+    for payload, cached in [(got, True), *((p, False) for p in spoilt)]:
+        assert extraction.extract(text, cache(payload), make).first()["cached"] is cached
