@@ -76,20 +76,6 @@ def coerce_date(c: Column) -> Column:
     return F.coalesce(by_day, by_week)
 
 
-def html_to_markdown(html: Column) -> Column:
-    """Markdown of a page: headings as #, list items as -, other tags dropped, entities decoded."""
-    t = F.regexp_replace(html, r"(?is)<(script|style|nav|footer|head)\b.*?</\1>", "")
-    for level in range(1, 7):
-        t = F.regexp_replace(t, rf"(?i)<h{level}\b[^>]*>", "\n\n" + "#" * level + " ")
-    t = F.regexp_replace(t, r"(?i)<li\b[^>]*>", "\n- ")
-    t = F.regexp_replace(t, r"(?i)</?(p|div|h[1-6]|ul|ol|table|tr|br)\b[^>]*>", "\n\n")
-    t = F.regexp_replace(t, r"<[^>]*>", "")
-    for coded, plain in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(coded), F.lit(plain))
-    t = F.regexp_replace(F.regexp_replace(t, r"[ \t]*\n[ \t]*", "\n"), r"\n{3,}", "\n\n")
-    return F.concat(F.regexp_replace(t, r"^[ \t\n]+|[ \t\n]+$", ""), F.lit("\n"))
-
-
 def article_url(base: Column, title: Column) -> Column:
     """The wiki page of a title, spaces as underscores."""
     return F.concat(F.rtrim(base, F.lit("/")), F.lit("/wiki/"), F.replace(title, F.lit(" "), F.lit("_")))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kgspark.functions import ids, paths
+from kgspark.functions import html, ids, paths
 from kgspark.operators import chunker, export, extraction, fuzzy, graph, incremental, metrics, rules, scoring, vector
 from kgspark.plans import ingest
 from kgspark.sources import corpus
@@ -676,7 +676,7 @@ def meta_counts(spark, d):
 
 @query(None)
 def html_to_md(spark, d):
-    return read(spark, d, "pages").select("page_id", paths.html_to_markdown(F.col("html")).alias("markdown"))
+    return read(spark, d, "pages").select("page_id", html.html_to_markdown(F.col("html")).alias("markdown"))
 
 
 @query("SELECT page_id, CASE WHEN page_id % 10 = 0 THEN 1 ELSE 2 END AS rule_id, CASE WHEN page_id % 10 = 0 THEN 'exclude' ELSE 'include' END AS action FROM pages")
