@@ -177,16 +177,16 @@ SELECT kind, id, pointer, rule FROM (SELECT * FROM n UNION ALL SELECT * FROM e)
 def schema_errors(spark, d):
     """Exported nodes and edges against the published schema; the last digit of an id decides which rule its row was made to break."""
     x = F.right("id", F.lit(1))
-    spoil = lambda c, digit, old, new: F.when(x == digit, F.regexp_replace(c, old, new)).otherwise(c)
     n = export.node_rows(node_table(spark, d, listed=True)).withColumnRenamed("entity_id", "id")
     e = export.edge_rows(edge_table(spark, d)).withColumnRenamed("edge_id", "id")
     node_faults = {"0": ('"id":"ent', '"id":"ENT'), "1": ('"type":"Entity"', '"type":"Thing"'), "2": (r"^\{", '{"colour":1,'), "3": (r'"mention_count":\d+', '"mention_count":0'), "4": (r'"name":"[^"]*"', '"name":""'), "5": ('"type":"Entity",', ""), "6": (r"\}$", "")}
     edge_faults = {"0": (r'"confidence":[0-9.]+', '"confidence":1.5'), "1": (r'"type":"[A-Z_]+"', '"type":"bought"'), "2": (r'"provenance_tag":"[A-Z]+"', '"provenance_tag":"GUESSED"'), "3": (r'"source":"[^"]*"', '"source":7'), "4": (r'"properties":\{', '"properties":{"source_doc_ids":["a","b","a"],'), "5": (r'"properties":\{', '"properties":{"source_doc_ids":["a",2],')}
     found = None
     for kind, rows, faults in (("node", n, node_faults), ("edge", e, edge_faults)):
-        text = F.col("json")
+        text = F
         for digit, (old, new) in faults.items():
-            text = spoil(text, digit, old, new)
+            text = text.when(x == digit, F.regexp_replace("json", old, new))
+        text = text.otherwise(F.col("json"))
         one = json_schema.invalid(rows.select(F.lit(kind).alias("kind"), "id", text.alias("json")), graph_schema.schema_of(kind))
         found = one if found is None else found.unionByName(one)
     return found
