@@ -30,6 +30,8 @@ def provenance_band(confidence):
 
 #: lines a task: the number of tasks follows that of the lines, so no task grows with the tables
 _LINES = 1 << 18
+#: suppliers up to which they are broadcast (about 70 MB); beyond it they are shuffled
+_FEW = 1 << 19
 
 
 def _named(table: DataFrame, name: str, kind: str, num: str) -> DataFrame:
@@ -49,10 +51,16 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         t[table] = _named(t[table], name, kind, num)
     tasks = max(spark.sparkContext.defaultParallelism, -(-t["lineitem"].count() // _LINES))
     places = t["supplier"].join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey")).join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-    lines = t["lineitem"].join(t["part"], F.col("l_partkey") == F.col("p_partkey")).join(places, F.col("l_suppkey") == F.col("s_suppkey")).repartition(tasks, "l_orderkey")
+    few = t["supplier"].count() <= _FEW
+    lines = t["lineitem"].join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
+    # what a broadcast can add is added where the lines of a document lie already: a line moves with its supplier's key alone
+    lines = lines.repartition(tasks, "l_orderkey") if few else lines.join(places, F.col("l_suppkey") == F.col("s_suppkey")).repartition(tasks, "l_orderkey")
     placed = F.rank().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    lines = lines.join(t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
+    if few:
+        lines = lines.join(F.broadcast(places), F.col("l_suppkey") == F.col("s_suppkey"))
     rows = (
-        lines.join(t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines
         .select(
             F.concat(F.lit("doc_"), F.col("l_orderkey").cast("string")).alias("doc_id"),
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("chunk_id"),

@@ -71,3 +71,35 @@ def test_facts_are_added_up_without_sorting(spark):
     _, physical = _plan(graph.packed_edges(rules.relation_facts(rows)))
     # by document nothing moves: the facts lie by document, so one exchange follows them
     assert physical.count("hashpartitioning(source_num") == 1 and "hashpartitioning(doc_num" not in physical
+
+
+def _moves(df):
+    """Shuffles in a plan that adaptive execution has not changed yet."""
+    return df.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_facts_that_lie_by_document_are_resolved_where_they_lie(spark):
+    surfaces = spark.createDataFrame([(1, "a", "x", 7, 0), (1, "a", "x", 8, 1), (1, "a", "y", 9, 2), (2, "b", "x", 5, 0)], "doc_num long, chunk_id string, name string, entity_num long, ent_ord int").repartition(3, "doc_num")
+    said = spark.createDataFrame([(1, "a", "x", "y", "P"), (1, "a", "x", "y", "P"), (1, "a", "x", "z", "P"), (2, "b", "y", "x", "P"), (2, "b", "x", "x", "Q"), (3, "c", None, "x", "P")], "doc_num long, chunk_id string, source string, target string, predicate string").repartition(3, "doc_num")
+    found = graph.resolve(said, surfaces)
+    assert sorted((r.chunk_id, r.source_num, r.target_num, r.predicate) for r in found.collect()) == [("a", 8, 9, "P"), ("a", 8, 9, "P"), ("b", 5, 5, "Q")]
+    lost = graph.unresolved(said, surfaces)
+    assert sorted((r.chunk_id, r.source, r.target) for r in lost.where("source IS NOT NULL").collect()) == [("a", "x", "z"), ("b", "y", "x")] and lost.count() == 3
+    assert _moves(found) == 2 and _moves(lost) == 2  # the two repartitions above
+
+
+def test_edges_do_not_move_to_few_nodes(spark):
+    rows = [(i, j, "P") for i in range(4) for j in range(4)]
+    edges = graph.unpacked(spark.createDataFrame(rows, "source_num long, target_num long, predicate string"))
+    ids = graph.unpacked(spark.createDataFrame([(i, i, "P") for i in (1, 2, 2)], "source_num long, target_num long, predicate string")).select(F.col("source_id").alias("entity_id"))
+    lost = graph.orphan_edges(edges, ids)
+    assert sorted((r.source_num, r.target_num) for r in lost.collect()) == [(i, j) for i, j, _ in rows if not {i, j} <= {1, 2}]
+    assert _moves(lost) == 0
+    plain = graph.orphan_edges(edges.drop("source_num", "target_num"), ids)
+    assert plain.count() == lost.count()
+
+
+def test_a_line_moves_without_its_supplier(spark):
+    """Suppliers' names and ids are added where a document's lines lie already."""
+    plan = rules.payloads(spark, _D).select("doc_num", "s_name", "n_name", "r_name", "s_num")._jdf.queryExecution().optimizedPlan().toString()
+    assert "s_name" not in plan[plan.index("RepartitionByExpression") : plan.index("p_partkey")]
