@@ -5,6 +5,10 @@ other's; scores are linear in the documents' features, and the weights minimise
 the logistic loss of feature differences.  A quantile of the training scores
 becomes the decision threshold, and a logistic curve through it turns scores
 into numbers from 0 to 1.
+
+All labelled rows are learnt from.  They lie in blocks, pairs are drawn inside a
+block, and whatever the fit needs is a sum over the blocks: means, spreads, slopes
+and curvatures of each of Newton's steps, and the histogram that gives the quantile.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kgspark.llm import text as tx
-from kgspark.llm.shared import materialize
+from kgspark.llm.shared import drop_table, materialize
 
 #: characters that are counted one by one; upper case, digits, line ends and the rest count as groups
 _SINGLE = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -74,11 +78,11 @@ def features(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Ranking:
-    """most_labels: labelled rows at most that the fit sees (those of the least
-    hashes of doc_id); pairs: preference pairs drawn from them; ridge: weight of
-    the squared norm; threshold: score at and above which a document is good."""
+    """block_rows: labelled rows in a block, about; pairs: preference pairs drawn from all
+    blocks, more where that is less than two a row; ridge: weight of the squared norm;
+    threshold: score at and above which a document is good."""
 
-    most_labels: int = 20_000
+    block_rows: int = 20_000
     pairs: int = 200_000
     ridge: float = 1e-3
     threshold: float = 0.7
@@ -103,32 +107,115 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(x: np.ndarray, good: np.ndarray, how: Ranking = Ranking()) -> Scorer:
-    """Weights from preference pairs by Newton's method; without pairs all weights are 0."""
-    d = x.shape[1]
-    if not len(x):
+#: pairs whose differences are held at once
+_PAIRS = 1 << 15
+#: bins of the histogram of training scores
+_BINS = 1 << 16
+
+
+def _block(table: pa.Table) -> pa.Table:
+    """A block's rows (bucket, h, doc_id, quality, x) as one row (bucket, x, good)."""
+    table = table.sort_by([("h", "ascending"), ("doc_id", "ascending"), ("quality", "ascending")])
+    x = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table.column("x").chunks])
+    good = table.column("quality").to_numpy() == 1
+    return pa.table({"bucket": table.column("bucket").slice(0, 1), "x": pa.array([x.astype(np.float32).tobytes()], pa.binary()), "good": pa.array([good.tobytes()], pa.binary())})
+
+
+def _summed(blocks: DataFrame, size: int, of) -> np.ndarray:
+    """The sum of the `size` numbers of(bucket, x, good) over all blocks; a task sends one row."""
+
+    def run(batches):
+        total = np.zeros(size)
+        for batch in batches:
+            for bucket, x, good in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                total += of(bucket, np.frombuffer(x, np.float32).reshape(-1, N_FEATURES).astype(np.float64), np.frombuffer(good, bool))
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["s"])
+
+    return np.sum([np.zeros(size), *[r["s"] for r in blocks.select("bucket", "x", "good").mapInArrow(run, "s array<double>").collect()]], axis=0)
+
+
+def fit(blocks: DataFrame, how: Ranking = Ranking()) -> Scorer:
+    """Weights from preference pairs of blocks (bucket, x, good) by Newton's method; without pairs all weights are 0."""
+    d = N_FEATURES
+    first = _summed(blocks, d + 3, lambda _, x, good: np.concatenate((x.sum(0), [len(x), good.sum(), 1])))
+    n, n_good, n_blocks = first[d], first[d + 1], first[d + 2]
+    if not n:
         return Scorer(np.zeros(d), np.ones(d), np.zeros(d), 0.0, 1.0, how.threshold)
-    mean, scale = x.mean(0), np.maximum(x.std(0), 1e-4)
-    z = np.clip((x - mean) / scale, -8, 8).astype(np.float64)
-    rng, weight = np.random.default_rng(how.seed), np.zeros(d)
-    better, worse = np.flatnonzero(good), np.flatnonzero(~good)
-    if len(better) and len(worse):
-        diff = z[rng.choice(better, how.pairs)] - z[rng.choice(worse, how.pairs)]
-        for _ in range(25):
+    mean = first[:d] / n
+    scale = np.maximum(np.sqrt(_summed(blocks, d, lambda _, x, good: ((x - mean) ** 2).sum(0)) / n), 1e-4)
+    shifted = lambda x: np.clip((x - mean) / scale, -8, 8)
+    weight = np.zeros(d)
+
+    def newton(bucket: int, x: np.ndarray, good: np.ndarray) -> np.ndarray:
+        z, rng, out = shifted(x), np.random.default_rng((how.seed, bucket)), np.zeros(d + d * d + 1)
+        better, worse = np.flatnonzero(good), np.flatnonzero(~good)
+        if not len(better) or not len(worse):
+            return out
+        # in turn, so that every row is in a pair
+        pairs = max(int(how.pairs / n_blocks), 2 * len(x))
+        left, right = (rng.permutation(np.resize(rng.permutation(side), pairs)) for side in (better, worse))
+        for i in range(0, pairs, _PAIRS):
+            diff = z[left[i : i + _PAIRS]] - z[right[i : i + _PAIRS]]
             p = 1 / (1 + np.exp(-np.clip(diff @ weight, -30, 30)))
-            slope = diff.T @ (p - 1) / len(diff) + how.ridge * weight
-            bend = (diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + how.ridge * np.eye(d)
-            step = np.linalg.solve(bend, slope)
-            weight -= step
-            if np.abs(step).max() < 1e-6:
-                break
-    raw = z @ weight
-    # of the quantiles near the share of bad documents, the one that separates best
-    order, share = np.sort(raw), 1 - good.mean()
-    levels = np.clip(share + np.linspace(-0.05, 0.1, 31), 0, 1)
-    cuts = np.quantile(order, levels)
-    balance = [((raw >= c) & good).sum() / max(1, good.sum()) + ((raw < c) & ~good).sum() / max(1, (~good).sum()) for c in cuts]
-    return Scorer(mean, scale, weight, float(cuts[int(np.argmax(balance))]), float(max(raw.std(), 1e-6)), how.threshold)
+            out[:d] += diff.T @ (p - 1)
+            out[d:-1] += ((diff * (p * (1 - p))[:, None]).T @ diff).ravel()
+        out[-1] = pairs
+        return out
+
+    for _ in range(25):
+        told = _summed(blocks, d + d * d + 1, newton)
+        if not told[-1]:
+            break
+        step = np.linalg.solve(told[d:-1].reshape(d, d) / told[-1] + how.ridge * np.eye(d), told[:d] / told[-1] + how.ridge * weight)
+        weight = weight - step
+        if np.abs(step).max() < 1e-6:
+            break
+    low, high, middle, spread = _range(blocks, lambda x: shifted(x) @ weight)
+    if high <= low:
+        return Scorer(mean, scale, weight, low, 1.0, how.threshold)
+    counts = _histogram(blocks, lambda x: shifted(x) @ weight, low, high)
+    # of the quantiles near the share of bad documents, the one that separates best; counts below each edge are of all rows
+    below = np.vstack((np.zeros(2), counts.cumsum(0)))
+    levels = np.clip(1 - n_good / n + np.linspace(-0.05, 0.1, 31), 0, 1)
+    edges = np.unique(np.minimum(np.searchsorted(below.sum(1), levels * n), _BINS))
+    balance = (n_good - below[edges, 1]) / max(1, n_good) + below[edges, 0] / max(1, n - n_good)
+    cut = low + (high - low) / _BINS * edges[int(np.argmax(balance))]
+    return Scorer(mean, scale, weight, float(cut), float(max(spread, 1e-6)), how.threshold)
+
+
+def _range(blocks: DataFrame, raw) -> tuple[float, float, float, float]:
+    """(least, greatest, mean, standard deviation) of raw(x) over all rows."""
+
+    def run(batches):
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                r = raw(np.frombuffer(x, np.float32).reshape(-1, N_FEATURES).astype(np.float64))
+                yield pa.RecordBatch.from_pydict({"n": [len(r)], "low": [r.min()], "high": [r.max()], "mean": [r.mean()], "square": [((r - r.mean()) ** 2).sum()]})
+
+    # Chan's formula adds up squares around the blocks' own means
+    each = blocks.select("x").mapInArrow(run, "n long, low double, high double, mean double, square double")
+    n, m = F.sum("n"), F.sum(F.col("n") * F.col("mean")) / F.sum("n")
+    one = each.agg(F.min("low"), F.max("high"), m, F.sum("square") / n, F.sum(F.col("n") * F.col("mean") * F.col("mean")) / n).first()
+    return one[0], one[1], one[2], float(np.sqrt(max(0.0, one[3] + one[4] - one[2] ** 2)))
+
+
+def _histogram(blocks: DataFrame, raw, low: float, high: float) -> np.ndarray:
+    """Rows with raw(x) in each bin from low to high: (bad, good)."""
+
+    def run(batches):
+        total = np.zeros((_BINS, 2), np.int64)
+        for batch in batches:
+            for x, good in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                r = raw(np.frombuffer(x, np.float32).reshape(-1, N_FEATURES).astype(np.float64))
+                at = np.clip(((r - low) / (high - low) * _BINS).astype(np.int64), 0, _BINS - 1)
+                total += np.bincount(2 * at + np.frombuffer(good, bool), minlength=2 * _BINS).reshape(-1, 2)
+        some = np.flatnonzero(total.any(1))
+        yield pa.RecordBatch.from_pydict({"bin": some, "bad": total[some, 0], "good": total[some, 1]})
+
+    out = np.zeros((_BINS, 2))
+    for r in blocks.select("x", "good").mapInArrow(run, "bin long, bad long, good long").groupBy("bin").agg(F.sum("bad"), F.sum("good")).collect():
+        out[r[0]] = r[1], r[2]
+    return out
 
 
 def featurize(docs: DataFrame) -> DataFrame:
@@ -149,21 +236,17 @@ def score_documents(docs: DataFrame, labels: DataFrame, how: Ranking = Ranking()
 
     Only the text enters a score.  Null texts count as empty and get a score too; a
     text of any length gives one row of features.  Rows of labels with a null are
-    ignored; repeated rows count as often as they occur, and of labels that tie in
-    the hash of doc_id the order is that of doc_id and quality.  Without both kinds
+    ignored, all others are learnt from; repeated rows count as often as they occur.  Without both kinds
     of label every score is the threshold.  An empty table gives an empty result;
     other columns are ignored.
     """
     known = materialize(featurize(docs))
-    told = labels.select("doc_id", "quality").where("doc_id IS NOT NULL AND quality IN (0, 1)").withColumn("_h", F.xxhash64("doc_id"))
-    # a cut by hash leaves few more labels than the fit may see, so no task sends more than those
-    many = told.count()
-    if many > how.most_labels:
-        told = told.where(F.pmod(F.col("_h"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.1 * how.most_labels / many)))
-    told = told.orderBy(F.pmod(F.col("_h"), F.lit(1 << 30)), "doc_id", "quality").limit(how.most_labels)
-    sample = known.join(F.broadcast(told), "doc_id").orderBy(F.pmod(F.col("_h"), F.lit(1 << 30)), "doc_id", "quality").limit(how.most_labels).toPandas()
-    x = np.stack(sample["x"].to_list()).astype(np.float64) if len(sample) else np.zeros((0, N_FEATURES))
-    scorer = fit(x, sample["quality"].to_numpy() == 1, how)
+    told = labels.select("doc_id", "quality").where("doc_id IS NOT NULL AND quality IN (0, 1)").withColumn("h", F.xxhash64("doc_id"))
+    buckets = max(1, -(-told.count() // how.block_rows))
+    rows = known.join(told, "doc_id").select(F.pmod("h", F.lit(buckets)).alias("bucket"), "h", "doc_id", F.col("quality").cast("int").alias("quality"), "x")
+    blocks = materialize(rows.groupBy("bucket").applyInArrow(_block, "bucket long, x binary, good binary"))
+    scorer = fit(blocks, how)
+    drop_table(blocks)
 
     def run(batches):
         for batch in batches:

@@ -304,6 +304,28 @@ def test_quality_ranking(spark):
     assert len(none) == 1
 
 
+def test_quality_learns_from_every_label(spark):
+    """With more labels than a block holds, the fit sees all of them."""
+    text = lambda i: f"word {i} and some more of it" if i % 2 else "#" * (5 + i % 7)
+    table = spark.createDataFrame([(i, text(i)) for i in range(600)], "doc_id bigint, text string")
+    labels = table.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    seen = []
+    known = op2._summed
+
+    def counted(blocks, size, of):
+        seen.append(sum(len(r["good"]) for r in blocks.select("good").collect()) if not seen else 0)
+        return known(blocks, size, of)
+
+    op2._summed = counted
+    try:
+        some = op2.score_documents(table, labels, op2.Ranking(block_rows=50, pairs=2000)).collect()
+    finally:
+        op2._summed = known
+    assert seen[0] == 600  # rows that the fit sees
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in some)
+
+
+
 def test_mixing_reaches_targets(docs):
     rows = mix(docs).toPandas()
     size = {r[0]: len(words(r[1])) for r in docs.collect()}
