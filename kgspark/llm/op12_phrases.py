@@ -44,6 +44,8 @@ _GAP = _PIECE.copy()
 _GAP[[9, 32]] = True
 #: bits of a phrase's id that tell its list within its first block; the others tell the block
 _LIST_BITS = 28
+#: blocks in a file, so that a task that reads or writes many holds few at once
+_ROWS_A_FILE = 4
 #: languages up to which their totals are broadcast; beyond it they are shuffled
 _FEW = 100_000
 
@@ -289,7 +291,7 @@ def phrases(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    lists = materialize(rows.mapInArrow(_blocks(mining.block_bytes), "block bigint, lang string, words array<string>, n array<bigint>, lists binary"))
+    lists = materialize(rows.mapInArrow(_blocks(mining.block_bytes), "block bigint, lang string, words array<string>, n array<bigint>, lists binary"), rows_a_file=_ROWS_A_FILE)
     totals = materialize(lists.groupBy("lang").agg(F.sum(F.expr("aggregate(n, 0L, (a, x) -> a + x)")).alias("n")))
     words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     told, thin = _frequent(lists, ["words"], mining, words)
@@ -300,7 +302,7 @@ def phrases(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
         if not told.limit(1).count():
             break
         longer = thin.groupBy("block").cogroup(told.select("block", "list", "id").groupBy("block")).applyInArrow(_extended, _LONGER)
-        lists = materialize(longer, lists, told)
+        lists = materialize(longer, lists, told, rows_a_file=_ROWS_A_FILE)
         told, thin = _frequent(lists, ["prefix", "suffix"], mining, words)
         p, s = (known[-1].select(*[F.col(c).alias(f"{side}_{c}") for c in names]) for side, names in (("p", ("id", "lang", "phrase", "first")), ("s", ("id", "end", "last"))))
         grown = told.where("prefix IS NOT NULL").select("id", "prefix", "suffix", "f").join(p, F.col("prefix") == F.col("p_id")).join(s, F.col("suffix") == F.col("s_id"))

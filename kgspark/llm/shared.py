@@ -33,12 +33,16 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/kgspark/{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, *used: DataFrame) -> DataFrame:
-    """Write df as a shared table and read it back; then delete the tables `used`, which nothing else needs."""
+def materialize(df: DataFrame, *used: DataFrame, rows_a_file: int = 0) -> DataFrame:
+    """Write df as a shared table and read it back; then delete the tables `used`, which nothing else needs.
+
+    rows_a_file: rows of a file at most, for rows of megabytes: Parquet's writer and
+    reader hold thousands of rows at once, as many as a file has (0: no limit).
+    """
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
     if _scopes:
         _scopes[-1].append(path)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", rows_a_file).parquet(path)
     for table in used:
         drop_table(table)
     return spark.read.schema(df.schema).parquet(path)

@@ -209,3 +209,12 @@ def test_the_queries_of_phrases_and_divergences(spark, tmp_path):
     assert dict(got.dtypes)["rank"] == "bigint" and sorted(map(tuple, got.collect())) == mined(rows, 100, 5, 2000)
     got = op13.query(spark, str(tmp_path))
     assert dict(got.dtypes)["rank"] == "int" and sorted(map(tuple, got.collect())) == diverged(rows, 3, 200)
+
+
+def test_files_of_large_rows_are_short(spark):
+    """Parquet holds as many rows at once as a file has, so large rows get files of few."""
+    from kgspark.llm.shared import materialize
+
+    table = materialize(spark.range(0, 20, 1, 2), rows_a_file=4)
+    assert len(table.inputFiles()) == 6 and sorted(r["id"] for r in table.collect()) == list(range(20))
+    assert len(materialize(spark.range(0, 20, 1, 2)).inputFiles()) == 2
