@@ -13,7 +13,8 @@ list of positions are neighbours in a piece.  Level by level:
    begins at p + 1, is frequent too; the positions p of each such pair are the list of
    a phrase one word longer.
 
-No more than lists of positions, lengths and ids ever moves.  The id of a phrase is the
+No more than lists of positions, lengths and ids ever moves; of phrases of two and more
+words a block sends what falls into a bucket of phrases as one row, and gets its answers so.  The id of a phrase is the
 place (block and list) where it first occurs, so phrases are told apart exactly.  What
 follows works on frequent phrases alone: each carries the frequencies of its first and
 of its last 1, 2, ... words, from which all cuts are scored.
@@ -46,6 +47,8 @@ _GAP[[9, 32]] = True
 _LIST_BITS = 28
 #: blocks in a file, so that a task that reads or writes many holds few at once
 _ROWS_A_FILE = 4
+#: words of all texts for each bucket of phrases, about
+_BUCKET = 1 << 23
 #: languages up to which their totals are broadcast; beyond it they are shuffled
 _FEW = 100_000
 
@@ -167,7 +170,11 @@ def _extended(lists: pa.Table, told: pa.Table) -> pa.Table:
     n = lists.column("n")[0].values.to_numpy()
     at = np.cumsum(_unpack(lists.column("lists")[0].as_py(), np.int64))
     ids = np.full(len(n), -1, np.int64)
-    ids[told.column("list").to_numpy()] = told.column("id").to_numpy()
+    if "ids" in told.column_names:
+        for place, found in zip(told.column("list"), told.column("ids")):
+            ids[np.cumsum(_unpack(place.as_py(), np.int64))] = _unpack(found.as_py(), np.int64)
+    else:
+        ids[told.column("list").to_numpy()] = told.column("id").to_numpy()
     id_ = np.repeat(ids, n)
     at, id_ = at[id_ >= 0], id_[id_ >= 0]
     # all lists merged by position: what follows at once begins with the next word
@@ -225,6 +232,88 @@ def _told(key: list[str], sent, full: int):
     return run
 
 
+_SENT = "bucket int, block bigint, list binary, n binary, prefix binary, suffix binary"
+_COUNTED = "block bigint, list binary, ids binary, id bigint, prefix bigint, suffix bigint, f bigint"
+
+
+def _steps(x: np.ndarray) -> bytes:
+    return _pack(np.diff(x, prepend=0))
+
+
+def _sent(key: list[str], sent, full: int, buckets: int):
+    """The lists that the sketch lets pass, numbered in their order: a row for each block and bucket of phrases."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.schema.names
+            for row in range(len(batch)):
+                h = _hashes(batch, row, key)
+                at = np.flatnonzero(sketch.passes(sent.value, h, full))
+                bucket = ((h[at] >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                n, prefix, suffix = (batch.column(names.index(c))[row].values.to_numpy() for c in ("n", *key))
+                cells = {c: [] for c in ("list", "n", "prefix", "suffix")}
+                some = np.flatnonzero(np.diff(edge))
+                for b in some.tolist():
+                    mine = order[edge[b] : edge[b + 1]]
+                    for c, x in zip(cells, (_steps(mine), _pack(n[at[mine]]), _steps(prefix[at[mine]]), _pack(suffix[at[mine]]))):
+                        cells[c].append(x)
+                if len(some):
+                    yield pa.RecordBatch.from_pydict({"bucket": pa.array(some, pa.int32()), "block": pa.repeat(batch.column(names.index("block"))[row], len(some)), **{c: pa.array(x, pa.binary()) for c, x in cells.items()}})
+        tx.trim()
+
+    return run
+
+
+def _counted(least: int):
+    """Rows in order of their bucket: for each block the ids of its frequent lists (list, ids), and each frequent phrase (id, prefix, suffix, f)."""
+    kinds = [pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 4]
+    names = [x.split(" ")[0] for x in _COUNTED.split(", ")]
+
+    def rows(m: int, **cells) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(cells[c], k) if c in cells else pa.nulls(m, k) for c, k in zip(names, kinds)], names=names)
+
+    def close(held: list) -> Iterator[pa.RecordBatch]:
+        blocks, lists, n, prefix, suffix = zip(*held)
+        block, list_ = np.repeat(blocks, [len(x) for x in lists]), np.concatenate(lists)
+        n, prefix, suffix = np.concatenate(n), np.concatenate(prefix), np.concatenate(suffix)
+        place = block << _LIST_BITS | list_
+        order = np.lexsort((place, suffix, prefix))
+        new = np.ones(len(order), bool)
+        new[1:] = (prefix[order[1:]] != prefix[order[:-1]]) | (suffix[order[1:]] != suffix[order[:-1]])
+        head = np.flatnonzero(new)
+        f = np.add.reduceat(n[order], head)
+        stay = f >= least
+        if not stay.any():
+            return
+        first = order[head]
+        ids = np.full(len(order), -1, np.int64)
+        ids[order] = np.repeat(np.where(stay, place[first], -1), np.diff(np.append(head, len(order))))
+        yield rows(int(stay.sum()), id=place[first][stay], prefix=prefix[first][stay], suffix=suffix[first][stay], f=f[stay])
+        edge = np.cumsum([0, *map(len, lists)]).tolist()
+        for one, a, b in zip(blocks, edge[:-1], edge[1:]):
+            known = ids[a:b] >= 0
+            if known.any():
+                yield rows(1, block=[one], list=[_steps(list_[a:b][known])], ids=[_pack(ids[a:b][known])])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for batch in batches:
+            for bucket, block, *cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *batch.columns[2:]):
+                if bucket != last and held:
+                    yield from close(held)
+                    held = []
+                last = bucket
+                list_, n, prefix, suffix = (_unpack(x.as_py(), np.int64) for x in cells)
+                held.append((block, np.cumsum(list_), n, np.cumsum(prefix), suffix))
+        if held:
+            yield from close(held)
+        tx.trim()
+
+    return run
+
+
 def _thinned(key: list[str], sent, full: int):
     """Rows (block, n, lists) with the lists only that the sketch lets pass: what is left moves to the answers."""
 
@@ -248,7 +337,8 @@ def _frequent(lists: DataFrame, key: list[str], mining: Mining, words: int) -> t
     """(told, thinned): (block, list, id, f, *key) of what is frequent, as a table, and the blocks' lists that it may
     be about, (block, n, lists), in the same numbering.  Rows of lists have the key's arrays, n and lists.
 
-    The key is given once for each phrase, in the row of the place that is its id.
+    The key is given once for each phrase, in the row of the place that is its id; where it is two
+    ids, told has rows of their own for the phrases (see _counted).
     words: of all texts; the sketch has a cell for each eight of them.
     """
     # a language is part of a word's key; ids of phrases differ between languages
@@ -256,13 +346,17 @@ def _frequent(lists: DataFrame, key: list[str], mining: Mining, words: int) -> t
     full, width = max(1, min(mining.min_count, 255)), sketch.width_for(words // 8, mining.most_cells)
     told = lists.select("block", *lead, "n", *key)
     sent = spark.sparkContext.broadcast(sketch.merged(told.mapInArrow(_sketched(key, width, full), sketch.SCHEMA), width, full, 1))
-    kinds = ", ".join(f"{c} {'string' if c == 'words' else 'bigint'}" for c in key)
-    rows = told.mapInArrow(_told(key, sent, full), f"block bigint, list bigint{''.join(f', {c} string' for c in lead)}, n bigint, {kinds}")
+    thin = lists.select("block", *lead, "n", *key, "lists").mapInArrow(_thinned(key, sent, full), "block bigint, n array<bigint>, lists binary")
+    if key == ["prefix", "suffix"]:
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words // _BUCKET))
+        dealt = told.mapInArrow(_sent(key, sent, full, parts), _SENT).repartition(parts, "bucket").sortWithinPartitions("bucket")
+        return materialize(dealt.mapInArrow(_counted(mining.min_count), _COUNTED)), thin
+    rows = told.mapInArrow(_told(key, sent, full), f"block bigint, list bigint, lang string, n bigint, {key[0]} string")
     place = F.shiftleft("block", _LIST_BITS) + F.col("list")
     over = Window.partitionBy(*lead, *key)
     found = rows.select("*", F.sum("n").over(over).alias("f"), F.min(place).over(over).alias("id")).where(F.col("f") >= mining.min_count)
     out = materialize(found.select("block", "list", "id", "f", *[F.when(place == F.col("id"), F.col(k)).alias(k) for k in [*lead, *key]]))
-    return out, lists.select("block", *lead, "n", *key, "lists").mapInArrow(_thinned(key, sent, full), "block bigint, n array<bigint>, lists binary")
+    return out, thin
 
 
 def _best_cut(k: int) -> Column:
@@ -301,7 +395,8 @@ def phrases(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
     for k in range(2, mining.most_words + 1):
         if not told.limit(1).count():
             break
-        longer = thin.groupBy("block").cogroup(told.select("block", "list", "id").groupBy("block")).applyInArrow(_extended, _LONGER)
+        answers = told.where("block IS NOT NULL").select("block", "list", "ids" if "ids" in told.columns else "id")
+        longer = thin.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_extended, _LONGER)
         lists = materialize(longer, lists, told, rows_a_file=_ROWS_A_FILE)
         told, thin = _frequent(lists, ["prefix", "suffix"], mining, words)
         p, s = (known[-1].select(*[F.col(c).alias(f"{side}_{c}") for c in names]) for side, names in (("p", ("id", "lang", "phrase", "first")), ("s", ("id", "end", "last"))))

@@ -218,3 +218,21 @@ def test_files_of_large_rows_are_short(spark):
     table = materialize(spark.range(0, 20, 1, 2), rows_a_file=4)
     assert len(table.inputFiles()) == 6 and sorted(r["id"] for r in table.collect()) == list(range(20))
     assert len(materialize(spark.range(0, 20, 1, 2)).inputFiles()) == 2
+
+
+def test_blocks_send_their_phrases_in_buckets(spark):
+    """What moves of the lengths of phrases is a row for each block and bucket, not one for each list; sums and ids are those of all blocks."""
+    blocks = [(b, [7, 7, 9], [8, 9, 1], [60, 30, 50 + b]) for b in (0, 1, 2)]
+    lists = spark.createDataFrame(blocks, "block bigint, prefix array<bigint>, suffix array<bigint>, n array<bigint>").withColumn("lists", F.lit(b""))
+    told, _ = op12._frequent(lists, ["prefix", "suffix"], op12.Mining(min_count=100), 1000)
+    rows = told.collect()
+    phrases = {(r.prefix, r.suffix): (r.id, r.f) for r in rows if r.block is None}
+    assert phrases == {(7, 8): (0, 180), (9, 1): (1, 153)}
+    sent = lists.select("block", "n", "prefix", "suffix").mapInArrow(op12._sent(["prefix", "suffix"], spark.sparkContext.broadcast(np.full((1, 1 << 16), 100, np.uint8)), 100, 1), op12._SENT)
+    assert sent.count() == 3
+    got = {}
+    for r in rows:
+        if r.block is not None:
+            for at, id_ in zip(np.cumsum(op12._unpack(bytes(r.list), np.int64)), op12._unpack(bytes(r.ids), np.int64)):
+                got[r.block, int(at)] = int(id_)
+    assert len(got) == 6 and set(got.values()) == {0, 1}
