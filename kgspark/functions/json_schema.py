@@ -12,6 +12,7 @@ assert anything else, and schemas that refer to themselves, are errors when comp
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -41,18 +42,26 @@ def _unless(good: Column, at: Column, rule: str) -> Column:
     return F.when(F.coalesce(good, F.lit(False)), _none()).otherwise(F.array(_error(at, rule)))
 
 
+def _once(value: Column, found: Callable[[Column], Column]) -> Column:
+    """found(value) with the value computed once a row; as plain text it would stand, and be computed, wherever found reads it."""
+    return F.get(F.transform(F.array(value), lambda x: found(x)), F.lit(0))
+
+
 class _Value:
-    """A VARIANT column seen as each of JSON's types."""
+    """A VARIANT column seen as each of JSON's types.
+
+    Objects and arrays are known by what they hold: schema_of_variant spells out all below them.
+    """
 
     def __init__(self, v: Column):
         self.v, kind = v, F.schema_of_variant(v)
         self.is_string, self.is_boolean, self.is_null = kind == "STRING", kind == "BOOLEAN", kind == "VOID"
-        self.is_object, self.is_array = kind.startswith("OBJECT"), kind.startswith("ARRAY")
         self.is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
         self.number = F.try_variant_get(v, "$", "double")
         self.string = F.try_variant_get(v, "$", "string")
         self.items = F.try_variant_get(v, "$", "array<variant>")
         self.members = F.try_variant_get(v, "$", "map<string,variant>")
+        self.is_object, self.is_array = self.members.isNotNull(), self.items.isNotNull()
         self.text = F.to_json(v)
 
     def of(self, name: str) -> Column:
@@ -75,8 +84,7 @@ class _Value:
 
 def errors(schema: dict | bool, value: Column) -> Column:
     """What breaks the schema in a VARIANT column, as an array of (pointer, rule); null, which no JSON text gives, has the rule `json`."""
-    found = _check(schema, schema, value, F.lit(""), 0)
-    return F.when(value.isNull(), F.array(_error(F.lit(""), "json"))).otherwise(found)
+    return _once(value, lambda v: F.when(v.isNull(), F.array(_error(F.lit(""), "json"))).otherwise(_check(schema, schema, v, F.lit(""), 0, True)))
 
 
 def errors_of_text(schema: dict | bool, text: Column) -> Column:
@@ -99,15 +107,20 @@ def _resolved(root: Any, ref: str) -> Any:
     return found
 
 
-def _check(schema: dict | bool, root: Any, v: Column, at: Column, depth: int) -> Column:
+def _check(schema: dict | bool, root: Any, v: Column, at: Column, depth: int, held: bool = False) -> Column:
+    """held: v is computed already (see _once)."""
     if schema is True or schema == {}:
         return _none()
     if schema is False:
         return F.array(_error(at, "false"))
     if depth > _DEEP:
         raise ValueError("the schema refers to itself")
+    return _broken(schema, root, v, at, depth) if held else _once(v, lambda one: _broken(schema, root, one, at, depth))
+
+
+def _broken(schema: dict, root: Any, v: Column, at: Column, depth: int) -> Column:
     x, parts = _Value(v), []
-    sub = lambda s, value, where: _check(s, root, value, where, depth + 1)
+    sub = lambda s, value, where: _check(s, root, value, where, depth + 1, value is v)
     holds = lambda s: F.size(sub(s, v, at)) == 0
     if unknown := set(schema) - _NOTES - set(_SIMPLE) - {"$ref", "type", "enum", "const", "required", "properties", "additionalProperties", "items", "oneOf", "anyOf", "allOf", "not"}:
         raise ValueError(f"unsupported keywords: {', '.join(sorted(unknown))}")
@@ -164,19 +177,25 @@ _SIMPLE = {
 
 
 def _object(schema: dict, x: _Value, at: Column, sub) -> list[Column]:
-    """Errors of required, properties and additionalProperties."""
+    """Errors of required, properties and additionalProperties, which concern objects."""
+    if not schema.get("required") and not schema.get("properties") and schema.get("additionalProperties", True) is True:
+        return []
+    return [_once(x.members, lambda members: F.when(members.isNotNull(), _members(schema, members, at, sub)).otherwise(_none()))]
+
+
+def _members(schema: dict, members: Column, at: Column, sub) -> Column:
     parts, named = [], schema.get("properties", {})
-    member = lambda k: F.try_element_at(x.members, F.lit(k))
+    member = lambda k: F.try_element_at(members, F.lit(k))
     below = lambda k: F.concat(at, F.lit("/" + _escaped(k)))
     for key in schema.get("required", []):
-        parts.append(F.when(x.is_object, _unless(F.map_contains_key(x.members, F.lit(key)), below(key), "required")).otherwise(_none()))
+        parts.append(_unless(F.map_contains_key(members, F.lit(key)), below(key), "required"))
     for key, wanted in named.items():
-        there = x.is_object & F.coalesce(F.map_contains_key(x.members, F.lit(key)), F.lit(False))
+        there = F.coalesce(F.map_contains_key(members, F.lit(key)), F.lit(False))
         parts.append(F.when(there, sub(wanted, member(key), below(key))).otherwise(_none()))
     more = schema.get("additionalProperties", True)
     if more is not True:
-        others = F.filter(F.map_entries(x.members), lambda e: ~e["key"].isin(*named) if named else F.lit(True))
+        others = F.filter(F.map_entries(members), lambda e: ~e["key"].isin(*named) if named else F.lit(True))
         place = lambda e: F.concat(at, F.lit("/"), F.replace(F.replace(e["key"], F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1")))
         each = F.transform(others, lambda e: F.array(_error(place(e), "additionalProperties")) if more is False else sub(more, e["value"], place(e)))
-        parts.append(F.when(x.is_object, F.flatten(each)).otherwise(_none()))
-    return parts
+        parts.append(F.flatten(each))
+    return F.concat(*parts)
