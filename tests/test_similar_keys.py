@@ -21,3 +21,14 @@ def test_similar_sets_share_a_key(spark):
     one = spark.createDataFrame([(0, list(range(15))), (1, [0, *range(100, 114)])], "i int, g array<bigint>")
     got = [set(r["k"]) for r in one.select(resolution._keys(F.col("g"), F.size("g"), least).alias("k")).collect()]
     assert not got[0] & got[1]
+
+
+def test_names_of_middle_length_are_not_joined_by_single_grams(spark):
+    least, rng = 0.75, random.Random(5)
+    for n in (19, 22):  # before, sets of over 18 grams had a key for each single gram of their prefix
+        one = spark.createDataFrame([(0, list(range(n))), (1, [0, 1, *range(100, 98 + n)])], "i int, g array<bigint>")
+        got = [set(r["k"]) for r in one.select(resolution._keys(F.col("g"), F.size("g"), least).alias("k")).collect()]
+        assert got[0] and not got[0] & got[1]
+    # equal sizes need no more keys than equal sizes do: 15 choices of four, and 35 and 5 of three for others (before, 70 of four)
+    n16 = spark.createDataFrame([(rng.sample(range(99), 16),)], "g array<bigint>").select(F.size(resolution._keys(F.col("g"), F.size("g"), least)).alias("k"))
+    assert n16.first()["k"] <= 55
